@@ -160,18 +160,32 @@ def metrics(matrix: DataFrame) -> DataFrame:
     )
 
 
-def fit_and_measure(df: DataFrame, task: Task, sample_by: Sequence[str] | None = None) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Train on one part and measure on the other: model, metrics row, scored test rows.
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def fit_and_measure(
+    df: DataFrame, task: Task, path: str, sample_by: Sequence[str] | None = None
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Train on one part, save to ``path``, measure the saved model on the other part.
 
-    The sampled rows are kept for the passes of the fit and freed when the
-    metrics have been computed.
+    Returns the model, one row of metrics and the scored test rows. The sampled
+    rows are kept for the passes of the fit and freed when the metrics are
+    there. The model is read back because a freshly fitted one holds on to its
+    training session, which cannot be sent to tasks once the session has
+    observed a query.
     """
     rows = model_rows(df, task, sample_by)
     kept = keep(rows, rows.columns)
+    test = F.col("PART") == TEST
     try:
         found = check_input(kept, task)
-        model = train(kept, task)
-        test = F.col("PART") == TEST
+        save_model(train(kept, task), path)
+        model = load_model(path)
         result = metrics(confusion(score(model, kept.filter(test)), task.label)).first()
     finally:
         kept.unpersist()
@@ -182,14 +196,6 @@ def fit_and_measure(df: DataFrame, task: Task, sample_by: Sequence[str] | None =
     return model, table, score(model, rows.filter(test))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
-
-
 def category_indexes(df: DataFrame, column: str) -> DataFrame:
     """Index and frequency of each value of one column, as the indexer assigns them."""
     fitted = indexing({column: column}).fit(df.select(column))

@@ -96,11 +96,10 @@ def train(spark: SparkSession, source: str, target: str) -> DataFrame:
     results = None
     for name, task in (("delay", classifier.DELAY), ("cancellation", classifier.CANCELLATION)):
         try:
-            model, measured, _ = classifier.fit_and_measure(flights, task)
+            _, measured, _ = classifier.fit_and_measure(flights, task, f"{target}/{name}_prediction")
         except classifier.UnfitInput as reason:
             print(f"{name}: not trained: {reason}")
             continue
-        classifier.save_model(model, f"{target}/{name}_prediction")
         results = measured if results is None else results.unionByName(measured)
     if results is None:
         raise classifier.UnfitInput("neither classifier could be trained")

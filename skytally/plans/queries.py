@@ -204,11 +204,11 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "late")
     rows, ts = events(spark, sf_dir), F.col("ts")
     middle, early, after = [F.lit(day).cast("timestamp_ntz") for day in ("2024-01-15", "2024-01-05", "2024-01-06")]
-    stream = spark.readStream.schema(EVENT_SCHEMA).parquet(f"{folder}/in")
-    counted = counts.tumbling_count(stream, "ts", "event_type", "1 hour", "1 hour", "n")
     # Each slice arrives while the query is down; the restart takes it up as one micro-batch.
     for arrived in (ts < middle, ts >= middle, (ts >= early) & (ts < after)):
         rows.filter(arrived).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(EVENT_SCHEMA).parquet(f"{folder}/in")
+        counted = counts.tumbling_count(stream, "ts", "event_type", "1 hour", "1 hour", "n")
         control.run_available(counted, batch_folder_writer(f"{folder}/out"), f"{folder}/checkpoint", "append")
     emitted = read_batches(spark, f"{folder}/out", counted.schema)
     return emitted.select(
@@ -255,7 +255,7 @@ def ml_feature_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _measured(task: classifier.Task, spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flights(spark, sf_dir, *dict.fromkeys([*IDENTITY, *task.columns]))
-    return classifier.fit_and_measure(rows, task, IDENTITY)[1]
+    return classifier.fit_and_measure(rows, task, work_folder(spark, "model"), IDENTITY)[1]
 
 
 def queries() -> dict[str, Query]:
