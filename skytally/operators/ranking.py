@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skytally.operators.normalise import required
+
 
 def top_counts(df: DataFrame, column: str, k: int, name: str = "count", label: str | None = None) -> DataFrame:
     """The k most frequent values. Equal counts are ordered by value, so the cut is stable."""
-    counts = df.select(column).dropna().groupBy(column).agg(F.count("*").alias(name))
+    counts = required(df.select(column), [column]).groupBy(column).agg(F.count("*").alias(name))
     top = counts.orderBy(F.desc(name), F.asc(column)).limit(k)
     return top.withColumnRenamed(column, label) if label else top
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytally.functions.keys import joined_id
+from skytally.operators.normalise import required
 
 ROWS = "N_ROWS"
 
@@ -24,7 +25,7 @@ def mean_by(df: DataFrame, keys: Sequence[str], means: Mapping[str, str]) -> Dat
 
 def total_by(df: DataFrame, keys: Sequence[str], totals: Mapping[str, str]) -> DataFrame:
     """Sum of each measure per key, over rows in which all measures have a value."""
-    present = df.dropna(subset=list(totals.values()))
+    present = required(df, list(totals.values()))
     return present.groupBy(*keys).agg(*[F.sum(column).alias(name) for name, column in totals.items()])
 
 
@@ -70,6 +71,17 @@ def _with_percentages(counted: DataFrame, keys: Sequence[str], events: Sequence[
     return counted.select(*keys, *shaped, total)
 
 
+def partials_by(
+    df: DataFrame,
+    keys: Sequence[str],
+    means: Sequence[str] = (),
+    totals: Sequence[str] = (),
+    events: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Mergeable sums and counts for one key set."""
+    return df.groupBy(*keys).agg(*_parts(means, totals, events))
+
+
 def partial_rollup(
     df: DataFrame,
     grains: Mapping[str, Sequence[str]],
@@ -83,19 +95,12 @@ def partial_rollup(
     from ``grouping_id``: a key that is NULL in the data and a key that the
     grain leaves out look the same otherwise.
     """
-    all_keys = list(dict.fromkeys(key for keys in grains.values() for key in keys))
-    parts = [F.count("*").alias(ROWS)]
-    for column in dict.fromkeys([*means, *totals]):
-        parts += [F.sum(column).alias(f"{column}_SUM"), F.count(column).alias(f"{column}_N")]
-    for name, condition in (events or {}).items():
-        parts.append(F.count_if(condition).alias(f"{name}_COUNT"))
-    return grouped_sets(df, grains, all_keys, parts)
+    return grouped_sets(df, grains, _all_keys(grains), _parts(means, totals, events))
 
 
 def merge_partials(partials: DataFrame, grains: Mapping[str, Sequence[str]]) -> DataFrame:
     """Partial sums of coarser key sets, added up from finer ones."""
-    all_keys = list(dict.fromkeys(key for keys in grains.values() for key in keys))
-    return grouped_sets(partials, grains, all_keys, _added_up(partials))
+    return grouped_sets(partials, grains, _all_keys(grains), _added_up(partials))
 
 
 def merge_means(partials: DataFrame, keys: Sequence[str], means: Mapping[str, str]) -> DataFrame:
@@ -151,6 +156,19 @@ def _merge(partials: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> Da
     return partials.groupBy(*keys).agg(*[F.sum(part).alias(part) for part in dict.fromkeys(parts)])
 
 
+def _all_keys(grains: Mapping[str, Sequence[str]]) -> list[str]:
+    return list(dict.fromkeys(key for keys in grains.values() for key in keys))
+
+
+def _parts(means: Sequence[str], totals: Sequence[str], events: Mapping[str, Column] | None) -> list[Column]:
+    parts = [F.count("*").alias(ROWS)]
+    for column in dict.fromkeys([*means, *totals]):
+        parts += [F.sum(column).alias(f"{column}_SUM"), F.count(column).alias(f"{column}_N")]
+    for name, condition in (events or {}).items():
+        parts.append(F.count_if(condition).alias(f"{name}_COUNT"))
+    return parts
+
+
 def _added_up(partials: DataFrame) -> list[Column]:
     parts = [c for c in partials.columns if c == ROWS or c.endswith(("_SUM", "_N", "_COUNT"))]
     return [F.sum(part).alias(part) for part in parts]

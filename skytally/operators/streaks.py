@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytally.functions.calendar import day_number
+from skytally.operators.normalise import required
 
 
 def daily_means(df: DataFrame, keys: Sequence[str], date: str, measure: str) -> DataFrame:
     """One row per key and day with the day's mean in ``DAY_MEAN``."""
-    present = df.dropna(subset=[date, measure])
+    present = required(df, [date, measure])
     return present.groupBy(*keys, date).agg(F.avg(measure).alias("DAY_MEAN"))
 
 

@@ -134,9 +134,9 @@ def all_grains(flights: DataFrame) -> DataFrame:
     """
     finest = list(dict.fromkeys(key for keys in ALL_GRAINS.values() for key in keys))
     columns = [*finest, *MEANS.values(), *DISTANCE.values(), "CANCELLED", "DIVERTED"]
-    base = rollups.partial_rollup(
-        flights.select(*columns), {"base": finest}, list(MEANS.values()), list(DISTANCE.values()), events()
-    ).drop("GRAIN")
+    base = rollups.partials_by(
+        flights.select(*columns), finest, list(MEANS.values()), list(DISTANCE.values()), events()
+    )
     merged = rollups.merge_partials(base, ALL_GRAINS)
     return merged.select(
         "GRAIN",

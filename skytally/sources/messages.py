@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.functions.conversion import as_double
 from skytally.functions.keys import payload_id, position_id
 from skytally.schemas import RAW_COLUMNS, WIRE_NUMBERS, WIRE_SCHEMA, ZERO_DEFAULT_COLUMNS
 
@@ -88,14 +87,12 @@ def typed_rows(
     """
     numeric, zeros = set(numbers), set(zero_defaults)
 
-    def typed(name: str):
-        text = F.col(name)
-        empty = text.isNull() | (text == "")
+    def typed(name: str) -> str:
         if name in zeros:
-            return F.when(empty, F.lit(0.0)).otherwise(as_double(text))
-        return as_double(text) if name in numeric else F.coalesce(text, F.lit(""))
+            return f"CASE WHEN coalesce(`{name}`, '') = '' THEN 0D ELSE try_cast(`{name}` AS DOUBLE) END"
+        return f"try_cast(`{name}` AS DOUBLE)" if name in numeric else f"coalesce(`{name}`, '')"
 
-    return raw.select([typed(c).alias(c) for c in raw.columns])
+    return raw.selectExpr(*[f"{typed(c)} AS `{c}`" for c in raw.columns])
 
 
 def raw_messages(raw: DataFrame) -> DataFrame:

@@ -6,56 +6,52 @@ customer's nation the destination, its part's brand the carrier.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skytally.functions.calendar import calendar_parts
 from skytally.schemas import RAW_COLUMNS
 
+_CANCELLED = "(l_returnflag = 'R' AND o_orderstatus = 'F')"
+_DEPARTURE = f"CASE WHEN NOT {_CANCELLED} THEN l_quantity - 20 END"
+_ARRIVAL = f"CASE WHEN NOT {_CANCELLED} THEN l_quantity - 20 + l_linenumber - 3 END"
+_DATE = "CAST(l_shipdate AS DATE)"
+
+# Column -> (expression, sides of the star it needs).
+COLUMNS: dict[str, tuple[str, set[str]]] = {
+    "FL_DATE": (_DATE, set()),
+    "YEAR": (f"year({_DATE})", set()),
+    "MONTH": (f"month({_DATE})", set()),
+    "DAYOFMONTH": (f"dayofmonth({_DATE})", set()),
+    "DAYOFWEEK": (f"dayofweek({_DATE})", set()),
+    "OP_CARRIER": ("p_brand", {"part"}),
+    "Reporting_Airline": ("p_brand", {"part"}),
+    "OP_CARRIER_FL_NUM": ("concat_ws('-', l_orderkey, l_linenumber)", set()),
+    "ORIGIN": ("origin_nation", {"supplier"}),
+    "DEST": ("dest_nation", {"orders", "customer"}),
+    "OriginCityName": ("concat_ws(', ', origin_nation, origin_region)", {"supplier", "region"}),
+    "DestCityName": ("concat_ws(', ', dest_nation, c_mktsegment)", {"orders", "customer"}),
+    "CRSDepTime": ("lpad(string(l_linenumber + 5), 2, '0') || lpad(string(int(l_quantity)), 2, '0')", set()),
+    "CANCELLED": (f"int({_CANCELLED})", {"orders"}),
+    "DIVERTED": ("int(l_returnflag = 'N' AND l_linestatus = 'F' AND o_orderstatus = 'P')", {"orders"}),
+    "CANCELLATION_CODE": (f"CASE WHEN {_CANCELLED} THEN substring(o_orderpriority, 1, 1) ELSE '' END", {"orders"}),
+    "DEP_DELAY": (_DEPARTURE, {"orders"}),
+    "ARR_DELAY": (_ARRIVAL, {"orders"}),
+    "DepDelayMinutes": (f"CASE WHEN {_DEPARTURE} < 0 THEN 0D ELSE {_DEPARTURE} END", {"orders"}),
+    "ArrDelayMinutes": (f"CASE WHEN {_ARRIVAL} < 0 THEN 0D ELSE {_ARRIVAL} END", {"orders"}),
+    "IS_DELAY": (f"int({_ARRIVAL} > 0)", {"orders"}),
+    "DISTANCE": ("double(p_size * 50)", {"part"}),
+}
+
+_schemas: dict[str, T.StructType] = {}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _columns() -> dict[str, tuple[Column, set[str]]]:
-    """Column name -> (expression, sides of the star it needs)."""
-    cancelled = (F.col("l_returnflag") == "R") & (F.col("o_orderstatus") == "F")
-    diverted = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F") & (F.col("o_orderstatus") == "P")
-    departure = F.when(~cancelled, F.col("l_quantity") - 20)
-    arrival = F.when(~cancelled, F.col("l_quantity") - 20 + F.col("l_linenumber") - 3)
-
-    def minutes(delay: Column) -> Column:
-        return F.when(delay < 0, 0.0).otherwise(delay)
-
-    date = F.col("l_shipdate").cast("date")
-    dated = {name: (part, set()) for name, part in calendar_parts(date).items()}
-    return {
-        "FL_DATE": (date, set()),
-        **dated,
-        "OP_CARRIER": (F.col("p_brand"), {"part"}),
-        "Reporting_Airline": (F.col("p_brand"), {"part"}),
-        "OP_CARRIER_FL_NUM": (F.concat_ws("-", "l_orderkey", "l_linenumber"), set()),
-        "ORIGIN": (F.col("origin_nation"), {"supplier"}),
-        "DEST": (F.col("dest_nation"), {"orders", "customer"}),
-        "OriginCityName": (F.concat_ws(", ", "origin_nation", "origin_region"), {"supplier", "region"}),
-        "DestCityName": (F.concat_ws(", ", "dest_nation", "c_mktsegment"), {"orders", "customer"}),
-        "CRSDepTime": (
-            F.concat(
-                F.lpad((F.col("l_linenumber") + 5).cast("string"), 2, "0"),
-                F.lpad(F.col("l_quantity").cast("int").cast("string"), 2, "0"),
-            ),
-            set(),
-        ),
-        "CANCELLED": (cancelled.cast("int"), {"orders"}),
-        "DIVERTED": (diverted.cast("int"), {"orders"}),
-        "CANCELLATION_CODE": (F.when(cancelled, F.substring("o_orderpriority", 1, 1)).otherwise(""), {"orders"}),
-        "DEP_DELAY": (departure, {"orders"}),
-        "ARR_DELAY": (arrival, {"orders"}),
-        "DepDelayMinutes": (minutes(departure), {"orders"}),
-        "ArrDelayMinutes": (minutes(arrival), {"orders"}),
-        "IS_DELAY": ((arrival > 0).cast("int"), {"orders"}),
-        "DISTANCE": ((F.col("p_size") * 50).cast("double"), {"part"}),
-    }
+    """A table of the star. Its footer is read once per process, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -68,9 +64,8 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     take the sort-merge join with skew splitting. Orders meet their customers
     before the line items: the largest table is then not moved by customer key.
     """
-    known = _columns()
-    wanted = columns or tuple(known)
-    sides = set().union(*[known[c][1] for c in wanted])
+    wanted = columns or tuple(COLUMNS)
+    sides = set().union(*[COLUMNS[c][1] for c in wanted])
     rows = _table(spark, sf_dir, "lineitem")
     nation = _table(spark, sf_dir, "nation")
     if "part" in sides:
@@ -93,36 +88,35 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             orders = orders.join(_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
             orders = orders.join(dest, F.col("c_nationkey") == F.col("dest_key"))
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.select([known[c][0].alias(c) for c in wanted])
+    return rows.selectExpr(*[f"{COLUMNS[c][0]} AS {c}" for c in wanted])
 
 
 def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The view written the way raw files are: text only, numbers with two decimals, NULL elsewhere."""
 
-    def decimals(column: str) -> Column:
-        return F.col(column).cast("decimal(10,2)").cast("string")
+    def decimals(column: str) -> str:
+        return f"string(CAST({column} AS DECIMAL(10, 2)))"
 
     known = {
-        "Year": F.col("YEAR").cast("string"),
-        "Month": F.col("MONTH").cast("string"),
-        "DayofMonth": F.col("DAYOFMONTH").cast("string"),
-        "FlightDate": F.date_format("FL_DATE", "yyyy-MM-dd"),
-        "Reporting_Airline": F.col("OP_CARRIER"),
-        "IATA_CODE_Reporting_Airline": F.col("OP_CARRIER"),
-        "Flight_Number_Reporting_Airline": F.col("OP_CARRIER_FL_NUM"),
-        "Origin": F.col("ORIGIN"),
-        "OriginCityName": F.col("OriginCityName"),
-        "Dest": F.col("DEST"),
-        "DestCityName": F.col("DestCityName"),
-        "CRSDepTime": F.col("CRSDepTime"),
+        "Year": "string(YEAR)",
+        "Month": "string(MONTH)",
+        "DayofMonth": "string(DAYOFMONTH)",
+        "FlightDate": "date_format(FL_DATE, 'yyyy-MM-dd')",
+        "Reporting_Airline": "OP_CARRIER",
+        "IATA_CODE_Reporting_Airline": "OP_CARRIER",
+        "Flight_Number_Reporting_Airline": "OP_CARRIER_FL_NUM",
+        "Origin": "ORIGIN",
+        "OriginCityName": "OriginCityName",
+        "Dest": "DEST",
+        "DestCityName": "DestCityName",
+        "CRSDepTime": "CRSDepTime",
         "DepDelay": decimals("DEP_DELAY"),
         "DepDelayMinutes": decimals("DepDelayMinutes"),
         "ArrDelay": decimals("ARR_DELAY"),
         "ArrDelayMinutes": decimals("ArrDelayMinutes"),
         "Cancelled": decimals("CANCELLED"),
-        "CancellationCode": F.col("CANCELLATION_CODE"),
+        "CancellationCode": "CANCELLATION_CODE",
         "Diverted": decimals("DIVERTED"),
         "Distance": decimals("DISTANCE"),
     }
-    absent = F.lit(None).cast("string")
-    return flights(spark, sf_dir).select([known.get(c, absent).alias(c) for c in RAW_COLUMNS])
+    return flights(spark, sf_dir).selectExpr(*[f"{known.get(c, 'string(NULL)')} AS {c}" for c in RAW_COLUMNS])
