@@ -78,4 +78,4 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "speed":
         path = args.source if args.format == "text" else None
         stream = message_stream(spark, args.format, _pairs(args.option), path)
-        await_any(jobs.speed_layer(stream, args.target, args.checkpoint, args.interval), spark, args.timeout)
+        await_any(jobs.speed_layer(stream, args.target, args.checkpoint, args.interval), args.timeout)

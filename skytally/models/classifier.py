@@ -214,7 +214,7 @@ def feature_moments(df: DataFrame, output: str = "FEATURES_UNSCALED") -> DataFra
     stages = preparation()
     # The scaler needs a pass of its own; it is fitted only when its output is asked for.
     prepared = Pipeline(stages=stages if output == "FEATURES" else stages[:-1]).fit(df).transform(df)
-    attributes = prepared.schema[output].metadata["ml_attr"]["attrs"]
+    attributes = prepared.schema["FEATURES_UNSCALED"].metadata["ml_attr"]["attrs"]
     names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
     summary = prepared.agg(Summarizer.metrics("mean", "std").summary(F.col(output)).alias("s"))
     slots = F.arrays_zip(

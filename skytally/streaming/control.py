@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -47,10 +49,17 @@ def run_available(
     return query
 
 
-def await_any(queries: Sequence[StreamingQuery], spark: SparkSession, timeout: float | None = None) -> None:
-    """Wait until one of the queries ends or fails, or the time is over; then stop them all."""
+def await_any(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait until one of the queries ends or fails, or the time is over; then stop them all.
+
+    Each query is asked in turn, since the session-wide wait also reports
+    queries that ended before.
+    """
+    until = None if timeout is None else time.monotonic() + timeout
     try:
-        spark.streams.awaitAnyTermination(timeout) if timeout is not None else spark.streams.awaitAnyTermination()
+        for query in itertools.cycle(queries):
+            if query.awaitTermination(1) or (until is not None and time.monotonic() >= until):
+                return
     finally:
         for query in queries:
             if query.isActive:
