@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from skytally.operators.normalise import required
 from skytally.operators.sampling import bucket_sample, bucket_split
-from skytally.sources.tables import keep
+from skytally.session import stage
 
 CATEGORIES = {"OP_CARRIER": "CARRIER", "ORIGIN": "ORIGIN", "DEST": "DEST"}
 CALENDAR = ["MONTH", "DAYOFMONTH", "DAYOFWEEK"]
@@ -174,26 +174,22 @@ def fit_and_measure(
     """Train on one part, save to ``path``, measure the saved model on the other part.
 
     Returns the model, one row of metrics and the scored test rows. The sampled
-    rows are kept for the passes of the fit and freed when the metrics are
-    there. The model is read back because a freshly fitted one holds on to its
-    training session, which cannot be sent to tasks once the session has
-    observed a query.
+    rows are written to the shared folder for the passes of the fit, so that
+    none of them reads the source again. The model is read back because a
+    freshly fitted one holds on to its training session, which cannot be sent
+    to tasks once the session has observed a query.
     """
-    rows = model_rows(df, task, sample_by)
-    kept = keep(rows, rows.columns)
-    test = F.col("PART") == TEST
-    try:
-        found = check_input(kept, task)
-        save_model(train(kept, task), path)
-        model = load_model(path)
-        result = metrics(confusion(score(model, kept.filter(test)), task.label)).first()
-    finally:
-        kept.unpersist()
+    rows = stage(model_rows(df, task, sample_by), "model-rows")
+    found = check_input(rows, task)
+    save_model(train(rows, task), path)
+    model = load_model(path)
+    scored = score(model, rows.filter(F.col("PART") == TEST))
+    result = metrics(confusion(scored, task.label)).first()
     table = df.sparkSession.createDataFrame(
         [(task.label, found["train_rows"], result["test_rows"], result["accuracy"], result["f1"])],
         "label string, train_rows bigint, test_rows bigint, accuracy double, f1 double",
     )
-    return model, table, score(model, rows.filter(test))
+    return model, table, scored
 
 
 def category_indexes(df: DataFrame, column: str) -> DataFrame:

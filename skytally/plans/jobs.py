@@ -13,7 +13,7 @@ from skytally.models import classifier
 from skytally.operators import ranking, rollups
 from skytally.operators.normalise import clean, numeric, project_published
 from skytally.plans.catalogue import TABLES, day_partials, result_from_partials, result_table
-from skytally.session import work_folder
+from skytally.session import size_for, stage
 from skytally.sinks.tables import ResultSink, batch_folder_writer, counted, write_messages, write_published
 from skytally.sources import messages, tables
 from skytally.streaming import control, counts
@@ -22,16 +22,23 @@ SUMMARY_KEYS = ["Reporting_Airline", "OriginCityName", "DestCityName"]
 SUMMARY_MEANS = {"avg_arrival_delay": "ArrDelayMinutes", "avg_departure_delay": "DepDelayMinutes"}
 
 
+# From this size of raw text on, a month holds many files and is clustered by day.
+CLUSTER_BY_DAY_FROM = 1 << 40
+
+
 def preprocess(spark: SparkSession, source: str, target: str, by_name: bool = False) -> dict[str, int]:
     """Raw text files to the published table, in one pass over the text.
 
-    Returns the rows read and written. Both counts ride on the write, and a
-    stage that runs again after a lost executor may be counted again.
+    Splits and shuffle partitions are fitted to the size of the files. Returns
+    the rows read and written. Both counts ride on the write, and a stage that
+    runs again after a lost executor may be counted again.
     """
+    size = tables.total_bytes(spark, source)
+    size_for(spark, size)
     # Counted above the projection: the scan still reads the published columns only.
     read, rows_read = counted(project_published(tables.read_raw_csv(spark, source, by_name)), "read")
     cleaned, rows_written = counted(clean(read), "written")
-    write_published(cleaned, target)
+    write_published(cleaned, target, cluster=["FL_DATE"] if size >= CLUSTER_BY_DAY_FROM else [])
     return {"read": rows_read.get["rows"], "written": rows_written.get["rows"]}
 
 
@@ -60,12 +67,11 @@ def analyse(
     result tables are written at a time, since most of them are small.
     """
     names = list(names or TABLES)
+    size_for(spark, tables.total_bytes(spark, source))
     flights = tables.read_published(spark, source)
     build: Callable[[str], DataFrame]
     if one_pass:
-        folder = work_folder(spark, "day-partials")
-        day_partials(flights).write.partitionBy("GRAIN").parquet(folder)
-        partials = spark.read.parquet(folder)
+        partials = stage(day_partials(flights), "day-partials", ["GRAIN"])
         build = lambda name: result_from_partials(partials, name)
     else:
         build = lambda name: result_table(flights, name)

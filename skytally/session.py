@@ -7,8 +7,9 @@ import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning, skew splitting and off-heap streaming state are what the
 # operators rely on. Sizes are left to the cluster's own configuration.
@@ -59,3 +60,41 @@ def _local_folder() -> str:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing folder below the shared folder."""
     return f"{shared_folder(spark)}/skytally/{purpose}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write a table that several later jobs read to the shared folder, and read it back.
+
+    Unlike cached blocks it outlives the executors, and it cuts the lineage.
+    """
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.partitionBy(*partition_by).parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
+_MIB = 1 << 20
+
+
+def sizing(input_bytes: int) -> dict[str, int]:
+    """Split size and shuffle partitions for a job that reads so many bytes.
+
+    Splits grow only when there would be more than 100,000 of them, up to
+    1 GiB; a shuffle partition takes what came from 512 MiB of input, or from
+    one split if that is more. At 100 TB both numbers are about 100,000, which
+    keeps the driver's map of shuffle blocks in memory.
+    """
+    split = min(max(128 * _MIB, -(-input_bytes // 100_000)), 1024 * _MIB)
+    return {
+        "spark.sql.files.maxPartitionBytes": split,
+        "spark.sql.shuffle.partitions": -(-input_bytes // max(512 * _MIB, split)),
+    }
+
+
+def size_for(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the session's settings to :func:`sizing`; larger settings stay."""
+    for key, value in sizing(input_bytes).items():
+        current = spark.conf.get(key)
+        now = int(current[:-1]) if current.endswith("b") and current[:-1].isdigit() else current
+        if not str(now).isdigit() or int(now) >= value:
+            continue
+        spark.conf.set(key, str(value))

@@ -15,14 +15,20 @@ from skytally.operators.ranking import latest_per_key
 BATCH = "batch_id"
 
 
-def write_published(df: DataFrame, path: str, by: Sequence[str] = ("YEAR", "MONTH")) -> None:
+def write_published(
+    df: DataFrame, path: str, by: Sequence[str] = ("YEAR", "MONTH"), cluster: Sequence[str] = (), date: str = "FL_DATE"
+) -> None:
     """Overwrite a Parquet table partitioned by date columns.
 
-    The rebalance step gathers a month's rows so that a folder gets few files,
-    while runtime planning splits months that are larger than the advised size
-    and merges small ones. No task count is fixed here.
+    The rebalance step gathers rows that agree on ``cluster`` (by default the
+    partition columns), so that a folder gets few files, while runtime planning
+    splits groups that are larger than the advised size and merges small ones.
+    No task count is fixed here. For very large tables cluster by the date:
+    a file then holds few days, and later daily aggregates combine well before
+    their exchange. Files are sorted by date, which lets scans skip row groups.
     """
-    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
+    gathered = df.hint("rebalance", *(cluster or by)).sortWithinPartitions(*by, date)
+    gathered.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

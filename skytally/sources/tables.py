@@ -84,6 +84,11 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     )
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files of a scan, from their listing."""
+    return list_files(spark, path).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+
+
 def rows_per_file(scan: DataFrame) -> DataFrame:
     """Row count of each file that a file scan reads."""
     return scan.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("row_count"))

@@ -190,6 +190,20 @@ def test_await_stops_after_the_timeout(spark, tmp_path):
     assert not query.isActive
 
 
+def test_one_failure_stops_all(spark, tmp_path):
+    put(tmp_path / "in", "0.json", {"name": "a"})
+
+    def broken(batch, batch_id):
+        raise RuntimeError("no sink")
+
+    stream = read_in(spark, tmp_path / "in")
+    good = control.start(stream, batch_folder_writer(f"{tmp_path}/out"), f"{tmp_path}/cp1", interval="1 second")
+    bad = control.start(stream, broken, f"{tmp_path}/cp2", interval="1 second")
+    with pytest.raises(StreamingQueryException, match="no sink"):
+        control.await_any([good, bad], 60)
+    assert not good.isActive and not bad.isActive
+
+
 def test_speed_layer(spark, tmp_path):
     cities = ["Omaha, NE", "Omaha, NE", "New York, NY"]
     put(tmp_path / "in", "0.json", *[{"OriginCityName": c, "CRSDepTime": "0856", "ArrDelay": -1.5} for c in cities], "{broken")
