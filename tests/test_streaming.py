@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from conftest import rows
@@ -23,9 +24,11 @@ def lines(spark, *texts):
 
 
 def put(folder, name, *records):
-    """One file of messages, moved in as a whole."""
+    """One file of messages. Files arrive a second apart: the source orders them by modification time."""
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("".join((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in records))
+    arrival = 1_700_000_000 + len(list(folder.iterdir()))
+    os.utime(folder / name, (arrival, arrival))
 
 
 # Parsing ---------------------------------------------------------------------
