@@ -200,6 +200,17 @@ LATE = f"""
 SELECT * FROM ({TUMBLING}) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 """
 
+SPEED = FLIGHTS + """
+SELECT "OriginCityName", count(*) AS recent_flight_count, "OriginCityName" AS id FROM flights GROUP BY "OriginCityName"
+"""
+
+MINUTES = FLIGHTS + """
+SELECT CAST("FL_DATE" AS TIMESTAMP) + to_minutes(60 * CAST(substr("CRSDepTime", 1, 2) AS INTEGER)
+         + CAST(substr("CRSDepTime", 3, 2) AS INTEGER)) AS window_start,
+       "OriginCityName", count(*) AS n
+FROM flights GROUP BY ALL
+"""
+
 LATEST = """
 SELECT user_id, last.event_id AS event_id, last.ts AS ts, last.event_type AS event_type,
        last.value AS value, last.props AS props
@@ -233,6 +244,20 @@ FROM flights GROUP BY "DestCityName"
 """
 
 
+RULE_METRICS = FLIGHTS + """
+, scored AS (SELECT "IS_DELAY" AS y, CAST("DEP_DELAY" > 0 AS INTEGER) AS p FROM flights WHERE "IS_DELAY" IS NOT NULL),
+classes AS (
+  SELECT k, CAST(count(*) FILTER (WHERE y = k) AS DOUBLE) AS actual,
+         CAST(count(*) FILTER (WHERE y = k AND p = k) AS DOUBLE) / count(*) FILTER (WHERE p = k) AS prec,
+         CAST(count(*) FILTER (WHERE y = k AND p = k) AS DOUBLE) / count(*) FILTER (WHERE y = k) AS rec
+  FROM scored, (VALUES (0), (1)) AS c(k) GROUP BY k
+)
+SELECT CAST(sum(actual) AS BIGINT) AS test_rows, round(sum(actual * rec) / sum(actual), 9) AS accuracy,
+       round(sum(actual * 2 * prec * rec / (prec + rec)) / sum(actual), 9) AS f1
+FROM classes
+"""
+
+
 def _moments() -> str:
     """Slot moments: of the columns themselves, and of a 0/1 column per category value."""
     plain = [
@@ -280,11 +305,14 @@ def oracle_sql() -> dict[str, str]:
         "stream_running_count": RUNNING,
         "stream_tumbling_count": TUMBLING,
         "stream_late_drop": LATE,
+        "flight_summary_speed": SPEED,
+        "stream_origin_minutes": MINUTES,
         "latest_per_key": LATEST,
         "hash_sample": SAMPLE,
         "hash_split": SPLIT,
         "label_classes": CLASSES,
         "ml_string_index": STRING_INDEX,
         "ml_feature_moments": _moments(),
+        "ml_rule_metrics": RULE_METRICS,
     }
     return found

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.functions.calendar import calendar_parts
+from skytally.functions.calendar import calendar_parts, clock_timestamp
 from skytally.models import classifier
 from skytally.operators import normalise, ranking, rollups, sampling
 from skytally.plans import catalogue, jobs
@@ -127,8 +127,9 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of the line item and order tables with their row counts."""
-    listed = tables.list_files(spark, sf_dir, "{lineitem,orders}.parquet")
-    scans = [tables.rows_per_file(spark.read.parquet(f"{sf_dir}/{name}.parquet")) for name in ("lineitem", "orders")]
+    paths = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders")]
+    listed = tables.list_files(spark, paths)
+    scans = [tables.rows_per_file(spark.read.parquet(path)) for path in paths]
     return (
         listed.filter(F.col("bytes") > 0)
         .join(scans[0].unionByName(scans[1]), "file_name")
@@ -164,7 +165,8 @@ def delay_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table as an unbounded source; everything there now is read."""
-    return spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # The star makes it a pattern: a stream takes a single file only by pattern.
+    return spark.readStream.schema(EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet*")
 
 
 def _batches(spark: SparkSession, stream: DataFrame, purpose: str, mode: str) -> DataFrame:
@@ -195,6 +197,29 @@ def stream_tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _flight_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flight messages as a stream of JSON lines, parsed under the wire schema."""
+    folder = work_folder(spark, "flight-messages")
+    fields = raw_flights(spark, sf_dir).select("FlightDate", "CRSDepTime", "OriginCityName")
+    write_messages(messages.to_messages(fields), "text", folder)
+    return messages.parse_messages(messages.message_stream(spark, "text", path=folder))
+
+
+def flight_summary_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running count of flights per origin city."""
+    counted = counts.running_count(_flight_stream(spark, sf_dir), "OriginCityName")
+    return latest_view(_batches(spark, counted, "speed", "update"), ["id"])
+
+
+def stream_origin_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights per origin city and minute of scheduled departure."""
+    moment = clock_timestamp(F.col("FlightDate"), F.col("CRSDepTime"))
+    departures = _flight_stream(spark, sf_dir).select(moment.alias("departure"), "OriginCityName")
+    counted = counts.tumbling_count(departures, "departure", "OriginCityName", "1 minute", "1 hour", "n")
+    latest = latest_view(_batches(spark, counted, "minutes", "update"), ["window_start", "OriginCityName"])
+    return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "OriginCityName", "n")
+
+
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events in two slices, then one early day once more.
 
@@ -253,6 +278,14 @@ def ml_feature_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moments.select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
+def ml_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of a known predictor: late departure means late arrival."""
+    rows = normalise.required(flights(spark, sf_dir, "DEP_DELAY", "IS_DELAY"), ["IS_DELAY"])
+    scored = rows.select("IS_DELAY", (F.col("DEP_DELAY") > 0).cast("double").alias("prediction"))
+    measured = classifier.metrics(classifier.confusion(scored, "IS_DELAY"))
+    return measured.select("test_rows", *[F.round(c, 9).alias(c) for c in ("accuracy", "f1")])
+
+
 def _measured(task: classifier.Task, spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flights(spark, sf_dir, *dict.fromkeys([*IDENTITY, *task.columns]))
     return classifier.fit_and_measure(rows, task, work_folder(spark, "model"), IDENTITY)[1]
@@ -281,12 +314,15 @@ def queries() -> dict[str, Query]:
         "stream_running_count": stream_running_count,
         "stream_tumbling_count": stream_tumbling_count,
         "stream_late_drop": stream_late_drop,
+        "flight_summary_speed": flight_summary_speed,
+        "stream_origin_minutes": stream_origin_minutes,
         "latest_per_key": latest_per_key,
         "hash_sample": hash_sample,
         "hash_split": hash_split,
         "label_classes": label_classes,
         "ml_string_index": ml_string_index,
         "ml_feature_moments": ml_feature_moments,
+        "ml_rule_metrics": ml_rule_metrics,
         "ml_delay_metrics": partial(_measured, classifier.DELAY),
         "ml_cancel_metrics": partial(_measured, classifier.CANCELLATION),
     }

@@ -12,12 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning, skew splitting and off-heap streaming state are what the
-# operators rely on. Sizes are left to the cluster's own configuration.
+# operators rely on. HotSpot does not compile methods above 8000 bytes of
+# bytecode, so wider generated code (the 35-column projection) is split instead.
+# Sizes are left to the cluster's own configuration and to ``size_for``.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -63,14 +63,14 @@ def keep(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Files below a folder. Contents are not read; a missing folder gives no rows."""
+def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str = "*") -> DataFrame:
+    """Files below a folder or folders. Contents are not read; a missing folder gives no rows."""
     try:
         found = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", glob)
-            .load(folder)
+            .load(folder if isinstance(folder, str) else list(folder))
         )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
