@@ -44,10 +44,11 @@ def parser() -> argparse.ArgumentParser:
     publish = command("publish", "raw text files to JSON messages", target=False)
     publish.add_argument("--format", default="text", choices=["text", "kafka"])
     publish.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    publish.add_argument("--typed", action="store_true", help="send numbers, fill empty delays with 0.0")
+    publish.add_argument("--fill", action="store_true", help="send 0.0 for empty delays")
     speed = command("speed", "message stream to raw rows and running counts", source=False)
     speed.add_argument("--format", default="text", choices=["text", "kafka"])
     speed.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    speed.add_argument("--index-nodes", help="append to the search index at this address instead of folders")
     speed.add_argument("--checkpoint", required=True)
     speed.add_argument("--interval", default="30 seconds")
     speed.add_argument("--timeout", type=float, help="stop after this many seconds")
@@ -74,8 +75,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "train":
         jobs.train(spark, args.source, args.target).show(truncate=False)
     elif args.job == "publish":
-        jobs.publish(spark, args.source, args.format, args.target, _pairs(args.option), args.typed)
+        jobs.publish(spark, args.source, args.format, args.target, _pairs(args.option), args.fill)
     elif args.job == "speed":
         path = args.source if args.format == "text" else None
         stream = message_stream(spark, args.format, _pairs(args.option), path)
-        await_any(jobs.speed_layer(stream, args.target, args.checkpoint, args.interval), args.timeout)
+        if args.index_nodes:
+            writers = jobs.connector_writers(search_index_sink(args.target, args.index_nodes))
+        else:
+            writers = jobs.folder_writers(args.target)
+        await_any(jobs.speed_layer(stream, *writers, args.checkpoint, args.interval), args.timeout)

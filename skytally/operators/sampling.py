@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.functions.keys import portable_bucket
+from skytally.functions.keys import portable_bucket, value_bucket
 
 _BUCKETS = 10_000
 
@@ -22,31 +22,41 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
     return df.randomSplit(list(weights), seed=seed)
 
 
-def bucket_sample(df: DataFrame, columns: Sequence[str], fraction: float, salt: str = "") -> DataFrame:
+def bucket_sample(
+    df: DataFrame, columns: Sequence[str], fraction: float, salt: str = "", portable: bool = False
+) -> DataFrame:
     """Rows whose values fall into the first ``fraction`` of the hash range.
 
     The same rows are chosen whatever the partitioning, also when a lost task
-    is run again. Rows that agree on ``columns`` are chosen together.
+    is run again. Rows that agree on ``columns`` are chosen together, so
+    ``columns`` should tell rows apart.
     """
-    return _bucketed(df, columns, salt).filter(F.col("_BUCKET") < round(fraction * _BUCKETS)).drop("_BUCKET")
+    chosen = _bucketed(df, columns, salt, portable).filter(F.col("_BUCKET") < round(fraction * _BUCKETS))
+    return chosen.drop("_BUCKET")
 
 
 def bucket_split(
-    df: DataFrame, columns: Sequence[str], shares: Mapping[str, float], salt: str = "", name: str = "PART"
+    df: DataFrame,
+    columns: Sequence[str],
+    shares: Mapping[str, float],
+    salt: str = "",
+    name: str = "PART",
+    portable: bool = False,
 ) -> DataFrame:
     """Name each row's part. Shares add up to 1 and cover the hash range in the given order."""
     if abs(sum(shares.values()) - 1) > 1e-9:
         raise ValueError("shares must add up to 1")
     *head, last = shares
-    upper, part = 0.0, None
+    upper, part = 0.0, F.lit(last)
+    bounds = []
     for share in head:
         upper += shares[share]
-        within = F.col("_BUCKET") < round(upper * _BUCKETS)
-        part = F.when(within, share) if part is None else part.when(within, share)
-    part = F.lit(last) if part is None else part.otherwise(last)
-    return _bucketed(df, columns, salt).withColumn(name, part).drop("_BUCKET")
+        bounds.append((share, round(upper * _BUCKETS)))
+    for share, bound in reversed(bounds):
+        part = F.when(F.col("_BUCKET") < bound, share).otherwise(part)
+    return _bucketed(df, columns, salt, portable).withColumn(name, part).drop("_BUCKET")
 
 
-def _bucketed(df: DataFrame, columns: Sequence[str], salt: str) -> DataFrame:
-    salted = df.withColumn("_SALT", F.lit(salt))
-    return salted.withColumn("_BUCKET", portable_bucket(["_SALT", *columns], _BUCKETS)).drop("_SALT")
+def _bucketed(df: DataFrame, columns: Sequence[str], salt: str, portable: bool) -> DataFrame:
+    bucket = portable_bucket if portable else value_bucket
+    return df.withColumn("_SALT", F.lit(salt)).withColumn("_BUCKET", bucket(["_SALT", *columns], _BUCKETS)).drop("_SALT")

@@ -14,10 +14,21 @@ from skytally.operators import ranking, rollups
 from skytally.operators.normalise import clean, numeric, project_published
 from skytally.plans.catalogue import TABLES, day_partials, result_from_partials, result_table
 from skytally.session import size_for, stage
-from skytally.sinks.tables import ResultSink, batch_folder_writer, counted, write_messages, write_published
+from skytally.sinks.tables import (
+    ResultSink,
+    batch_folder_writer,
+    connector_batch_writer,
+    counted,
+    write_messages,
+    write_published,
+)
 from skytally.sources import messages, tables
 from skytally.streaming import control, counts
 
+BatchWriter = Callable[[DataFrame, int], None]
+
+# Together these tell the flights of a published table apart.
+FLIGHT_IDENTITY = ["FL_DATE", "OP_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "DEST", "CRSDepTime"]
 SUMMARY_KEYS = ["Reporting_Airline", "OriginCityName", "DestCityName"]
 SUMMARY_MEANS = {"avg_arrival_delay": "ArrDelayMinutes", "avg_departure_delay": "DepDelayMinutes"}
 
@@ -102,7 +113,7 @@ def train(spark: SparkSession, source: str, target: str) -> DataFrame:
     results = None
     for name, task in (("delay", classifier.DELAY), ("cancellation", classifier.CANCELLATION)):
         try:
-            _, measured, _ = classifier.fit_and_measure(flights, task, f"{target}/{name}_prediction")
+            _, measured, _ = classifier.fit_and_measure(flights, task, f"{target}/{name}_prediction", FLIGHT_IDENTITY)
         except classifier.UnfitInput as reason:
             print(f"{name}: not trained: {reason}")
             continue
@@ -113,23 +124,28 @@ def train(spark: SparkSession, source: str, target: str) -> DataFrame:
 
 
 def publish(
-    spark: SparkSession, source: str, fmt: str, path: str | None = None, options: dict | None = None, typed: bool = False
+    spark: SparkSession, source: str, fmt: str, path: str | None = None, options: dict | None = None, fill: bool = False
 ) -> None:
-    """Raw text files to JSON messages. ``typed`` sends numbers and fills empty delays with 0.0."""
-    raw = tables.read_raw_csv(spark, source)
-    rows = messages.to_messages(messages.typed_rows(raw)) if typed else messages.raw_messages(raw)
-    write_messages(rows, fmt, path, options)
+    """Raw text files to JSON messages, numbers as numbers. ``fill`` sends 0.0 for empty delays."""
+    rows = messages.typed_rows(tables.read_raw_csv(spark, source), fill)
+    write_messages(messages.to_messages(rows), fmt, path, options)
 
 
 def speed_layer(
-    stream: DataFrame, target: str, checkpoint: str, interval: str | None = "30 seconds"
+    stream: DataFrame, write_raw: BatchWriter, write_counts: BatchWriter, checkpoint: str, interval: str | None = "30 seconds"
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the raw append and the running count per origin city on one message stream."""
-    raw = control.start(
-        messages.parse_messages(stream), batch_folder_writer(f"{target}/raw"), f"{checkpoint}_raw", "append", interval
-    )
+    raw = control.start(messages.parse_messages(stream), write_raw, f"{checkpoint}_raw", "append", interval)
     cities = counts.running_count(messages.parse_messages(stream), "OriginCityName")
-    running = control.start(
-        cities, batch_folder_writer(f"{target}/by_origin", files=1), f"{checkpoint}_agg", "update", interval
-    )
+    running = control.start(cities, write_counts, f"{checkpoint}_agg", "update", interval)
     return raw, running
+
+
+def folder_writers(target: str) -> tuple[BatchWriter, BatchWriter]:
+    """Batch folders for the raw rows and for the counts."""
+    return batch_folder_writer(f"{target}/raw"), batch_folder_writer(f"{target}/by_origin", files=1)
+
+
+def connector_writers(sink: ResultSink) -> tuple[BatchWriter, BatchWriter]:
+    """Keyed appends of the raw rows and of the counts."""
+    return connector_batch_writer(sink, "raw"), connector_batch_writer(sink, "by_origin")

@@ -185,6 +185,12 @@ SELECT "ORIGIN" AS "Origin", "DEST" AS "Dest", CAST("CANCELLED" AS DOUBLE) AS "C
 FROM flights GROUP BY ALL
 """
 
+WIRE_FLIGHTS = FLIGHTS + """
+SELECT "ORIGIN" AS "Origin", "DestCityName", "CANCELLATION_CODE" AS "CancellationCode", count("ARR_DELAY") AS n_arr_delay,
+       sum("ARR_DELAY") AS arr_delay, sum("DISTANCE") AS distance, CAST(0 AS BIGINT) AS n_taxi_out
+FROM flights GROUP BY ALL
+"""
+
 RAW_APPEND = "SELECT event_id, ts, user_id, event_type, value, props, CAST(64 AS INTEGER) AS id_length FROM events"
 
 RUNNING = "SELECT event_type, count(*) AS recent_flight_count, event_type AS id FROM events GROUP BY event_type"
@@ -301,6 +307,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_manifest": MANIFEST,
         "wire_roundtrip": EVENTS,
         "delay_defaults": DEFAULTS,
+        "wire_flights": WIRE_FLIGHTS,
         "stream_raw_append": RAW_APPEND,
         "stream_running_count": RUNNING,
         "stream_tumbling_count": TUMBLING,

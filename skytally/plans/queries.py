@@ -146,7 +146,7 @@ def wire_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delay_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed messages of the flights, parsed under the wire schema."""
-    typed = messages.to_messages(messages.typed_rows(raw_flights(spark, sf_dir)))
+    typed = messages.to_messages(messages.typed_rows(raw_flights(spark, sf_dir), fill=True))
     parsed = messages.parse_messages(typed)
     keys = ["Origin", "Dest", "Cancelled"]
     return parsed.groupBy(*keys).agg(
@@ -160,6 +160,18 @@ def delay_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wire_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flight messages as published by default, parsed and summed up: empty numbers stay empty."""
+    fields = raw_flights(spark, sf_dir).select("Origin", "DestCityName", "ArrDelay", "Distance", "CancellationCode", "TaxiOut")
+    parsed = messages.parse_messages(messages.to_messages(messages.typed_rows(fields)))
+    return parsed.groupBy("Origin", "DestCityName", "CancellationCode").agg(
+        F.count("ArrDelay").alias("n_arr_delay"),
+        F.sum("ArrDelay").alias("arr_delay"),
+        F.sum("Distance").alias("distance"),
+        F.count("TaxiOut").alias("n_taxi_out"),
+    )
+
+
 # Streams ---------------------------------------------------------------------
 
 
@@ -250,12 +262,12 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flights(spark, sf_dir, *IDENTITY, "DISTANCE")
-    return sampling.bucket_sample(rows, IDENTITY, 0.2, salt="sample")
+    return sampling.bucket_sample(rows, IDENTITY, 0.2, salt="sample", portable=True)
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flights(spark, sf_dir, *IDENTITY)
-    parts = sampling.bucket_split(rows, IDENTITY, {"train": 0.8, "test": 0.2}, salt="split")
+    parts = sampling.bucket_split(rows, IDENTITY, {"train": 0.8, "test": 0.2}, salt="split", portable=True)
     return rollups.count_by(parts, ["PART", "OP_CARRIER"], "n")
 
 
@@ -310,6 +322,7 @@ def queries() -> dict[str, Query]:
         "ingest_manifest": ingest_manifest,
         "wire_roundtrip": wire_roundtrip,
         "delay_defaults": delay_defaults,
+        "wire_flights": wire_flights,
         "stream_raw_append": stream_raw_append,
         "stream_running_count": stream_running_count,
         "stream_tumbling_count": stream_tumbling_count,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytally.functions.keys import payload_id, position_id
-from skytally.schemas import RAW_COLUMNS, WIRE_NUMBERS, WIRE_SCHEMA, ZERO_DEFAULT_COLUMNS
+from skytally.schemas import WIRE_NUMBERS, WIRE_SCHEMA, ZERO_DEFAULT_COLUMNS
 
 # Full precision and NULL fields written out: a message keeps all its row's fields.
 JSON_OPTIONS = {
@@ -23,6 +23,11 @@ def kafka_options(servers: str, topic: str, starting: str = "earliest") -> dict[
     return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
 
 
+def kafka_writer_options(servers: str, topic: str) -> dict[str, str]:
+    """A message counts as sent when all replicas have it; a failed send is tried again."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all", "kafka.retries": "5"}
+
+
 def message_stream(spark: SparkSession, fmt: str, options: Mapping[str, str] | None = None, path: str | None = None) -> DataFrame:
     """Unbounded messages with their text in ``value`` and a repeatable ``id``.
 
@@ -77,24 +82,23 @@ def to_messages(df: DataFrame) -> DataFrame:
 
 def typed_rows(
     raw: DataFrame,
+    fill: bool = False,
     numbers: Sequence[str] = tuple(WIRE_NUMBERS),
     zero_defaults: Sequence[str] = tuple(ZERO_DEFAULT_COLUMNS),
 ) -> DataFrame:
-    """Raw text with its numeric fields as doubles and empty delay fields as 0.0.
+    """Raw text with its numeric fields as doubles; empty fields are NULL.
 
-    Only an empty delay becomes 0.0; text that is no number stays NULL. Empty
-    text fields become empty strings.
+    With ``fill``, empty delay fields become 0.0 and empty text fields empty
+    strings. Only an empty delay is filled: text that is no number stays NULL.
     """
     numeric, zeros = set(numbers), set(zero_defaults)
 
     def typed(name: str) -> str:
-        if name in zeros:
-            return f"CASE WHEN coalesce(`{name}`, '') = '' THEN 0D ELSE try_cast(`{name}` AS DOUBLE) END"
-        return f"try_cast(`{name}` AS DOUBLE)" if name in numeric else f"coalesce(`{name}`, '')"
+        number = f"try_cast(`{name}` AS DOUBLE)"
+        if fill and name in zeros:
+            return f"CASE WHEN coalesce(`{name}`, '') = '' THEN 0D ELSE {number} END"
+        if name in numeric:
+            return number
+        return f"coalesce(`{name}`, '')" if fill else f"`{name}`"
 
     return raw.selectExpr(*[f"{typed(c)} AS `{c}`" for c in raw.columns])
-
-
-def raw_messages(raw: DataFrame) -> DataFrame:
-    """Messages that hold the raw fields as they are, NULL where empty."""
-    return to_messages(raw.select(*RAW_COLUMNS))

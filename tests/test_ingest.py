@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skytally.functions.calendar import calendar_parts, clock_timestamp, day_number
 from skytally.functions.conversion import as_date, as_flag, as_float
-from skytally.functions.keys import joined_id, portable_bucket, safe_id
+from skytally.functions.keys import joined_id, portable_bucket, safe_id, value_bucket
 from skytally.operators import normalise
 from skytally.schemas import CLOCK_COLUMNS, PROCESSED_SCHEMA, RAW_COLUMNS, WIRE_SCHEMA
 from skytally.sinks.tables import counted, write_published
@@ -169,10 +169,11 @@ def test_ids(spark):
 
 def test_bucket_is_the_same_in_any_partitioning(spark):
     frame = spark.range(1000).selectExpr("id", "string(id % 7) AS t")
-    one = frame.coalesce(1).select("id", portable_bucket(["id", "t"], 100).alias("b"))
-    many = frame.repartition(13).select("id", portable_bucket(["id", "t"], 100).alias("b"))
-    assert rows(one) == rows(many)
-    assert all(0 <= r.b < 100 for r in one.collect())
+    for bucket in (portable_bucket, value_bucket):
+        one = frame.coalesce(1).select("id", bucket(["id", "t"], 100).alias("b"))
+        many = frame.repartition(13).select("id", bucket(["id", "t"], 100).alias("b"))
+        assert rows(one) == rows(many)
+        assert all(0 <= r.b < 100 for r in one.collect())
 
 
 def test_numeric_and_required(spark):

@@ -47,10 +47,11 @@ def test_summary_and_ranking_jobs(spark, csv, sf_dir, tmp_path):
 
 def test_publish_job(spark, csv, tmp_path):
     jobs.publish(spark, csv, "text", f"{tmp_path}/raw")
-    jobs.publish(spark, csv, "text", f"{tmp_path}/typed", typed=True)
-    parsed = messages.parse_messages(spark.read.text(f"{tmp_path}/typed"))
-    assert parsed.count() == 6000 and parsed.filter("ArrDelay IS NULL").count() == 0
-    assert spark.read.text(f"{tmp_path}/raw").count() == 6000
+    jobs.publish(spark, csv, "text", f"{tmp_path}/filled", fill=True)
+    cancelled = tables.read_raw_csv(spark, csv).filter("ArrDelay IS NULL").count()
+    for name, missing in (("raw", cancelled), ("filled", 0)):
+        parsed = messages.parse_messages(spark.read.text(f"{tmp_path}/{name}"))
+        assert parsed.count() == 6000 and parsed.filter("ArrDelay IS NULL").count() == missing
 
 
 def test_training_job(spark, published, tmp_path):
@@ -108,6 +109,18 @@ def test_sink_options():
         "es.resource": "flights_delay", "es.mapping.id": "OP_CARRIER",
     }
     assert messages.kafka_options("b:9092", "t")["startingOffsets"] == "earliest"
+    assert messages.kafka_writer_options("b:9092", "t")["kafka.acks"] == "all"
+
+
+def test_keyed_appends(spark, tmp_path):
+    """Connector writers append every batch under the names of the two streams, keyed by id."""
+    sink = ResultSink(str(tmp_path), "json", id_option="key")
+    write_raw, write_counts = jobs.connector_writers(sink)
+    for batch_id in (0, 1):
+        write_raw(spark.createDataFrame([("a", batch_id)], "id string, n int"), batch_id)
+    write_counts(spark.createDataFrame([("x", 1)], "id string, n int"), 0)
+    assert spark.read.json(f"{tmp_path}/raw").count() == 2
+    assert spark.read.json(f"{tmp_path}/by_origin").count() == 1
 
 
 def test_shared_folder_comes_from_the_session(spark):

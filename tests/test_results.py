@@ -203,8 +203,9 @@ def test_latest_per_key(spark):
 
 def test_samples(spark):
     frame = spark.range(20_000).selectExpr("id", "string(id % 13) AS t")
+    for portable in (False, True):
+        assert abs(sampling.bucket_sample(frame, ["id"], 0.2, portable=portable).count() - 4000) < 300
     chosen = sampling.bucket_sample(frame, ["id"], 0.2)
-    assert abs(chosen.count() - 4000) < 300
     assert rows(chosen) == rows(sampling.bucket_sample(frame.repartition(7), ["id"], 0.2))
     assert rows(chosen) != rows(sampling.bucket_sample(frame, ["id"], 0.2, salt="other"))
     parts = sampling.bucket_split(frame, ["id"], {"a": 0.5, "b": 0.3, "c": 0.2})

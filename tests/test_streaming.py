@@ -88,17 +88,26 @@ def raw(spark, **values):
 
 def test_typed_messages(spark):
     frame = raw(spark, DepDelay="-5.00", ArrDelay="", CarrierDelay="x", TaxiOut=None, CRSDepTime="0856", Origin=None)
-    message = json.loads(messages.to_messages(messages.typed_rows(frame)).first().value)
+    message = json.loads(messages.to_messages(messages.typed_rows(frame, fill=True)).first().value)
     assert list(message) == RAW_COLUMNS
     assert (message["DepDelay"], message["ArrDelay"], message["CarrierDelay"]) == (-5.0, 0.0, None)
     assert (message["TaxiOut"], message["CRSDepTime"], message["Origin"]) == (None, "0856", "")
     assert all(message[c] == 0.0 for c in ZERO_DEFAULT_COLUMNS if c not in ("DepDelay", "CarrierDelay"))
 
 
-def test_raw_messages_keep_every_field(spark):
-    message = json.loads(messages.raw_messages(raw(spark, CRSDepTime="0856")).first().value)
+def test_messages_keep_empty_fields_empty(spark):
+    frame = raw(spark, CRSDepTime="0856", DepDelay="-5.00", ArrDelay="")
+    message = json.loads(messages.to_messages(messages.typed_rows(frame)).first().value)
     assert list(message) == RAW_COLUMNS
-    assert message["CRSDepTime"] == "0856" and message["Origin"] is None
+    assert (message["CRSDepTime"], message["DepDelay"]) == ("0856", -5.0)
+    assert message["ArrDelay"] is None and message["Origin"] is None
+
+
+def test_published_messages_parse_to_their_rows(spark):
+    """What is sent under the wire schema is read back under it."""
+    frame = messages.typed_rows(raw(spark, Year="2024", CRSDepTime="0856", DepDelay="-5.00", OriginCityName="Omaha, NE"))
+    assert frame.schema == WIRE_SCHEMA
+    assert rows(messages.parse_messages(messages.to_messages(frame))) == rows(frame)
 
 
 # Streams ---------------------------------------------------------------------
@@ -211,7 +220,7 @@ def test_speed_layer(spark, tmp_path):
     cities = ["Omaha, NE", "Omaha, NE", "New York, NY"]
     put(tmp_path / "in", "0.json", *[{"OriginCityName": c, "CRSDepTime": "0856", "ArrDelay": -1.5} for c in cities], "{broken")
     stream = messages.message_stream(spark, "text", path=str(tmp_path / "in"))
-    for query in jobs.speed_layer(stream, f"{tmp_path}/out", f"{tmp_path}/cp", interval=None):
+    for query in jobs.speed_layer(stream, *jobs.folder_writers(f"{tmp_path}/out"), f"{tmp_path}/cp", interval=None):
         control.await_end(query)
     raw_rows = spark.read.parquet(f"{tmp_path}/out/raw")
     assert raw_rows.count() == 4
