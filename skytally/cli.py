@@ -51,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
     speed.add_argument("--index-nodes", help="append to the search index at this address instead of folders")
     speed.add_argument("--checkpoint", required=True)
     speed.add_argument("--interval", default="30 seconds")
+    speed.add_argument("--state-partitions", type=int, help="partitions of the count's state, fixed at its first start")
     speed.add_argument("--timeout", type=float, help="stop after this many seconds")
     return top
 
@@ -83,4 +84,5 @@ def main(argv: list[str] | None = None) -> None:
             writers = jobs.connector_writers(search_index_sink(args.target, args.index_nodes))
         else:
             writers = jobs.folder_writers(args.target)
-        await_any(jobs.speed_layer(stream, *writers, args.checkpoint, args.interval), args.timeout)
+        layer = jobs.speed_layer(stream, *writers, args.checkpoint, args.interval, args.state_partitions)
+        await_any(layer, args.timeout)

@@ -132,12 +132,17 @@ def publish(
 
 
 def speed_layer(
-    stream: DataFrame, write_raw: BatchWriter, write_counts: BatchWriter, checkpoint: str, interval: str | None = "30 seconds"
+    stream: DataFrame,
+    write_raw: BatchWriter,
+    write_counts: BatchWriter,
+    checkpoint: str,
+    interval: str | None = "30 seconds",
+    state_partitions: int | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the raw append and the running count per origin city on one message stream."""
     raw = control.start(messages.parse_messages(stream), write_raw, f"{checkpoint}_raw", "append", interval)
     cities = counts.running_count(messages.parse_messages(stream), "OriginCityName")
-    running = control.start(cities, write_counts, f"{checkpoint}_agg", "update", interval)
+    running = control.start(cities, write_counts, f"{checkpoint}_agg", "update", interval, state_partitions)
     return raw, running
 
 

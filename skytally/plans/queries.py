@@ -181,9 +181,16 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet*")
 
 
-def _batches(spark: SparkSession, stream: DataFrame, purpose: str, mode: str) -> DataFrame:
+# Counts by event type or city hold few keys; windows of all hours still hold few per partition.
+FEW_KEYS = 8
+
+
+def _batches(
+    spark: SparkSession, stream: DataFrame, purpose: str, mode: str, state_partitions: int | None = FEW_KEYS
+) -> DataFrame:
     folder = work_folder(spark, purpose)
-    control.run_available(stream, batch_folder_writer(f"{folder}/out"), f"{folder}/checkpoint", mode)
+    writer = batch_folder_writer(f"{folder}/out")
+    control.run_available(stream, writer, f"{folder}/checkpoint", mode, state_partitions)
     return read_batches(spark, f"{folder}/out", stream.schema)
 
 
@@ -228,7 +235,8 @@ def stream_origin_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     moment = clock_timestamp(F.col("FlightDate"), F.col("CRSDepTime"))
     departures = _flight_stream(spark, sf_dir).select(moment.alias("departure"), "OriginCityName")
     counted = counts.tumbling_count(departures, "departure", "OriginCityName", "1 minute", "1 hour", "n")
-    latest = latest_view(_batches(spark, counted, "minutes", "update"), ["window_start", "OriginCityName"])
+    # One key per city and minute: as many state partitions as the session has shuffle partitions.
+    latest = latest_view(_batches(spark, counted, "minutes", "update", None), ["window_start", "OriginCityName"])
     return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "OriginCityName", "n")
 
 
@@ -246,7 +254,7 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.filter(arrived).write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(EVENT_SCHEMA).parquet(f"{folder}/in")
         counted = counts.tumbling_count(stream, "ts", "event_type", "1 hour", "1 hour", "n")
-        control.run_available(counted, batch_folder_writer(f"{folder}/out"), f"{folder}/checkpoint", "append")
+        control.run_available(counted, batch_folder_writer(f"{folder}/out"), f"{folder}/checkpoint", "append", FEW_KEYS)
     emitted = read_batches(spark, f"{folder}/out", counted.schema)
     return emitted.select(
         *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "event_type", "n"

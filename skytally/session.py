@@ -79,17 +79,19 @@ _MIB = 1 << 20
 
 
 def sizing(input_bytes: int) -> dict[str, int]:
-    """Split size and shuffle partitions for a job that reads so many bytes.
+    """Split size, shuffle partitions and size of written files for a job that reads so many bytes.
 
     Splits grow only when there would be more than 100,000 of them, up to
     1 GiB; a shuffle partition takes what came from 512 MiB of input, or from
     one split if that is more. At 100 TB both numbers are about 100,000, which
-    keeps the driver's map of shuffle blocks in memory.
+    keeps the driver's map of shuffle blocks in memory. The advised size is
+    what a rebalanced write gathers for one file; it grows for the same reason.
     """
     split = min(max(128 * _MIB, -(-input_bytes // 100_000)), 1024 * _MIB)
     return {
         "spark.sql.files.maxPartitionBytes": split,
         "spark.sql.shuffle.partitions": -(-input_bytes // max(512 * _MIB, split)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": min(max(64 * _MIB, input_bytes // 40_000), 512 * _MIB),
     }
 
 

@@ -4,27 +4,48 @@ from __future__ import annotations
 
 import itertools
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: object | None) -> Iterator[None]:
+    """A session setting for the time of a block; None leaves it alone."""
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start(
     stream: DataFrame,
     write_batch: Callable[[DataFrame, int], None],
     checkpoint: str,
     mode: str = "append",
     interval: str | None = "30 seconds",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Run ``write_batch`` on every micro-batch.
 
     ``interval`` is the processing-time trigger; None takes what is there now
     and ends. ``checkpoint`` belongs to this one query and lies on shared storage.
+
+    A query keeps the number of its state partitions for life. It goes by the
+    number of keys in state, not by the size of the input, which is folded
+    before it gets there; None takes the session's shuffle partitions.
     """
     writer = stream.writeStream.outputMode(mode).foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    with _setting(stream.sparkSession, "spark.sql.shuffle.partitions", state_partitions):
+        return writer.trigger(**trigger).start()
 
 
 def await_end(query: StreamingQuery, timeout: float | None = None) -> bool:
@@ -41,10 +62,14 @@ def await_end(query: StreamingQuery, timeout: float | None = None) -> bool:
 
 
 def run_available(
-    stream: DataFrame, write_batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+    stream: DataFrame,
+    write_batch: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    mode: str = "append",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Process everything available now and return the finished query with its progress."""
-    query = start(stream, write_batch, checkpoint, mode, interval=None)
+    query = start(stream, write_batch, checkpoint, mode, None, state_partitions)
     await_end(query)
     return query
 

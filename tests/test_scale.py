@@ -9,6 +9,7 @@ from skytally.plans import catalogue, jobs
 from skytally.session import size_for, sizing, stage
 from skytally.sinks.tables import write_published
 from skytally.sources.star import flights
+from skytally.sources.tables import keep
 
 MIB = 1 << 20
 BATCH_QUERIES = sorted(n for n in driver.queries() if not n.startswith(("stream_", "ml_", "csv_", "parquet_", "flight_summary_speed")))
@@ -110,11 +111,16 @@ def _metrics(plan, name):
 
 def test_sizing():
     small, middle, large = sizing(10 * MIB), sizing(10 << 40), sizing(100 << 40)
-    assert small == {"spark.sql.files.maxPartitionBytes": 128 * MIB, "spark.sql.shuffle.partitions": 1}
+    assert small == {
+        "spark.sql.files.maxPartitionBytes": 128 * MIB,
+        "spark.sql.shuffle.partitions": 1,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": 64 * MIB,
+    }
     assert middle["spark.sql.files.maxPartitionBytes"] == 128 * MIB
     assert middle["spark.sql.shuffle.partitions"] == 20_480
     assert large["spark.sql.files.maxPartitionBytes"] == 1024 * MIB
     assert large["spark.sql.shuffle.partitions"] == 102_400
+    assert large["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == 512 * MIB
 
 
 def test_settings_are_only_raised(spark):
@@ -142,6 +148,16 @@ def test_clustered_by_day(spark, sf_dir, tmp_path):
     assert {r.n for r in files.collect()} == {1}
 
 
+def test_kept_columns(spark, sf_dir):
+    kept = keep(flights(spark, sf_dir, "ORIGIN", "DEST", "YEAR"), ["ORIGIN", "YEAR"])
+    try:
+        assert kept.columns == ["ORIGIN", "YEAR"] and kept.storageLevel.useDisk
+        assert kept.count() == 6000
+        assert "InMemoryTableScan" in plan_of(kept.groupBy("YEAR").count())
+    finally:
+        kept.unpersist()
+
+
 def test_stage_cuts_the_lineage(spark, sf_dir):
     source = flights(spark, sf_dir, "ORIGIN", "YEAR")
     staged = stage(source, "test", ["YEAR"])

@@ -132,6 +132,15 @@ def test_running_count_over_batches(spark, tmp_path):
     assert rows(batches.filter("batch_id = 1").select("name", "n")) == [("a", 3), ("c", 1)]
 
 
+def test_state_partitions_belong_to_the_query(spark, tmp_path):
+    put(tmp_path / "in", "0.json", {"name": "a"})
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream = counts.running_count(read_in(spark, tmp_path / "in"), "name", "n")
+    query = control.run_available(stream, batch_folder_writer(f"{tmp_path}/out"), f"{tmp_path}/cp", "update", 3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before != "3"
+    assert {s.numShufflePartitions for p in query.recentProgress for s in p.stateOperators} == {3}
+
+
 def test_restart_takes_up_where_it_ended(spark, tmp_path):
     for i, names in enumerate((["a", "b"], ["a"])):
         put(tmp_path / "in", f"{i}.json", *[{"name": n} for n in names])
