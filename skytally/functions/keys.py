@@ -8,15 +8,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Stands for a missing key part: a document id must not be NULL.
+MISSING = "(none)"
+
+
+def single_id(column: str) -> Column:
+    """A key as its own document id."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
+
+
 def joined_id(columns: Sequence[str], separator: str = "-") -> Column:
-    """Readable id of several key parts; NULL if any part is NULL.
+    """Readable id of several key parts.
 
     Two keys can read the same when a part holds the separator. Use
     :func:`safe_id` where the id must be unique.
     """
     parts = []
     for column in columns:
-        parts += [F.lit(separator), F.col(column).cast("string")]
+        parts += [F.lit(separator), single_id(column)]
     return F.concat(*parts[1:])
 
 

@@ -50,8 +50,7 @@ def summary_by(
 ) -> DataFrame:
     """Means and row count per key, for rows whose first key has a value, with a joined id.
 
-    The condition on the key is applied before grouping. The id is NULL when
-    any other key is NULL.
+    The condition on the key is applied before grouping.
     """
     summary = (
         df.filter(F.col(keys[0]).isNotNull())

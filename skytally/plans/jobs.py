@@ -13,7 +13,7 @@ from skytally.models import classifier
 from skytally.operators import ranking, rollups
 from skytally.operators.normalise import clean, numeric, project_published
 from skytally.plans.catalogue import TABLES, day_partials, result_from_partials, result_table
-from skytally.session import size_for, stage
+from skytally.session import size_for, staged
 from skytally.sinks.tables import (
     ResultSink,
     batch_folder_writer,
@@ -80,19 +80,19 @@ def analyse(
     names = list(names or TABLES)
     size_for(spark, tables.total_bytes(spark, source))
     flights = tables.read_published(spark, source)
-    build: Callable[[str], DataFrame]
-    if one_pass:
-        partials = stage(day_partials(flights), "day-partials", ["GRAIN"])
-        build = lambda name: result_from_partials(partials, name)
-    else:
-        build = lambda name: result_table(flights, name)
+    if not one_pass:
+        return _write_tables(names, lambda name: result_table(flights, name), sink, parallel)
+    with staged(day_partials(flights), "day-partials", ["GRAIN"]) as partials:
+        return _write_tables(names, lambda name: result_from_partials(partials, name), sink, parallel)
 
+
+def _write_tables(names: list[str], build: Callable[[str], DataFrame], sink: ResultSink, parallel: int) -> list[str]:
     def write(name: str) -> str:
         sink.write(build(name), name, TABLES[name].id_columns)
         return name
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(write), names))
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(write), names))
 
 
 def summarise(spark: SparkSession, source: str, sink: ResultSink, infer: bool = False) -> None:

@@ -7,7 +7,8 @@ import functools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,6 +76,19 @@ def stage(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Data
     return df.sparkSession.read.parquet(folder)
 
 
+@contextmanager
+def staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """Like :func:`stage`, for the time of a block: the table is removed at its end."""
+    spark = df.sparkSession
+    folder = work_folder(spark, purpose)
+    try:
+        df.write.partitionBy(*partition_by).parquet(folder)
+        yield spark.read.parquet(folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _MIB = 1 << 20
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skytally.functions.keys import single_id
+
 
 def running_count(stream: DataFrame, key: str, name: str = "recent_flight_count", id_column: str = "id") -> DataFrame:
     """Count per key since the start, with the key as document id. Use ``update`` mode.
@@ -12,7 +14,7 @@ def running_count(stream: DataFrame, key: str, name: str = "recent_flight_count"
     State is one row per distinct key, whatever the number of messages.
     """
     counts = stream.groupBy(key).agg(F.count("*").alias(name))
-    return counts.withColumn(id_column, F.col(key).cast("string"))
+    return counts.withColumn(id_column, single_id(key))
 
 
 def tumbling_count(

@@ -162,7 +162,7 @@ def test_flags_and_floats(spark):
 def test_ids(spark):
     frame = spark.createDataFrame([("a-b", "c"), ("a", "b-c"), (None, "c"), ("null", "c"), ("", "c")], "x string, y string")
     joined = [r[0] for r in frame.select(joined_id(["x", "y"])).collect()]
-    assert joined == ["a-b-c", "a-b-c", None, "null-c", "-c"]
+    assert joined == ["a-b-c", "a-b-c", "(none)-c", "null-c", "-c"]
     safe = [r[0] for r in frame.select(safe_id(["x", "y"])).collect()]
     assert None not in safe and len(set(safe)) == 5
 

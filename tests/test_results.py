@@ -188,7 +188,7 @@ def test_summary_keys(spark):
         "Reporting_Airline string, OriginCityName string, DestCityName string, ArrDelayMinutes string, DepDelayMinutes string",
     )
     result = jobs.route_summary(frame)
-    assert rows(result) == sorted([("9E", "A-B", "C", 1.0, 4.0, 2, "9E-A-B-C"), ("9E", None, "C", 2.0, 2.0, 1, None)], key=repr)
+    assert rows(result) == sorted([("9E", "A-B", "C", 1.0, 4.0, 2, "9E-A-B-C"), ("9E", None, "C", 2.0, 2.0, 1, "9E-(none)-C")], key=repr)
     assert result.columns == [
         "Reporting_Airline", "OriginCityName", "DestCityName", "avg_arrival_delay", "avg_departure_delay", "total_flights", "id"
     ]

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from skytally.plans import catalogue, jobs
-from skytally.session import size_for, sizing, stage
+from skytally.session import size_for, sizing, stage, staged
 from skytally.sinks.tables import write_published
 from skytally.sources.star import flights
-from skytally.sources.tables import keep
+from skytally.sources.tables import keep, list_files
 
 MIB = 1 << 20
 BATCH_QUERIES = sorted(n for n in driver.queries() if not n.startswith(("stream_", "ml_", "csv_", "parquet_", "flight_summary_speed")))
@@ -148,6 +148,13 @@ def test_clustered_by_day(spark, sf_dir, tmp_path):
     assert {r.n for r in files.collect()} == {1}
 
 
+def test_staged_table_is_removed(spark, sf_dir):
+    with staged(flights(spark, sf_dir, "ORIGIN"), "test") as table:
+        assert table.count() == 6000
+        (path,) = {r[0].rsplit("/", 1)[0] for r in table.select("_metadata.file_path").distinct().collect()}
+    assert list_files(spark, path).count() == 0
+
+
 def test_kept_columns(spark, sf_dir):
     kept = keep(flights(spark, sf_dir, "ORIGIN", "DEST", "YEAR"), ["ORIGIN", "YEAR"])
     try:

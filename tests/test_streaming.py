@@ -237,7 +237,7 @@ def test_speed_layer(spark, tmp_path):
     assert raw_rows.filter("OriginCityName IS NULL AND id IS NOT NULL").count() == 1
     view = latest_view(spark.read.parquet(f"{tmp_path}/out/by_origin"), ["OriginCityName"])
     assert rows(view.select("OriginCityName", "recent_flight_count", "id")) == sorted(
-        [("Omaha, NE", 2, "Omaha, NE"), ("New York, NY", 1, "New York, NY"), (None, 1, None)], key=repr
+        [("Omaha, NE", 2, "Omaha, NE"), ("New York, NY", 1, "New York, NY"), (None, 1, "(none)")], key=repr
     )
 
 
