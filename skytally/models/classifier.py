@@ -141,15 +141,16 @@ def metrics(matrix: DataFrame) -> DataFrame:
     The matrix has one row per pair of classes, so the sums run over few rows.
     """
     n = F.col("n")
-    hit = F.col("label") == F.col("prediction")
+    right = F.when(F.col("label") == F.col("prediction"), n).otherwise(0)
+    actual = F.struct(F.col("label").alias("class"), n.alias("actual"), F.lit(0).alias("guessed"), right.alias("right"))
+    guessed = F.struct(
+        F.col("prediction").alias("class"), F.lit(0).alias("actual"), n.alias("guessed"), F.lit(0).alias("right")
+    )
     sides = (
-        matrix.select(F.explode(F.array(
-            F.struct(F.col("label").alias("class"), n.alias("actual"), F.lit(0).alias("guessed"), F.when(hit, n).otherwise(0).alias("right")),
-            F.struct(F.col("prediction").alias("class"), F.lit(0).alias("actual"), n.alias("guessed"), F.lit(0).alias("right")),
-        )).alias("s"))
-        .select("s.*")
+        matrix.select(F.explode(F.array(actual, guessed)).alias("side"))
+        .select("side.*")
         .groupBy("class")
-        .agg(F.sum("actual").alias("actual"), F.sum("guessed").alias("guessed"), F.sum("right").alias("right"))
+        .agg(*[F.sum(c).alias(c) for c in ("actual", "guessed", "right")])
     )
     # 2pr / (p + r) with p = right/guessed and r = right/actual; 0 for a class that is never hit.
     f1 = F.col("right") * 2.0 / (F.col("guessed") + F.col("actual"))
