@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import quality, sharding
+from skytally.llm import line_dedup, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "d2")
@@ -38,7 +43,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_quality_rules": op7_quality_rules, "op8_sharding": op8_sharding}
+    known = [op3_line_dedup, op7_quality_rules, op8_sharding]
+    return {query.__name__: query for query in known}
 
 
 def oracle_sql() -> dict[str, str]:
