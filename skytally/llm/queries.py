@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import line_dedup, quality, sharding
+from skytally.llm import line_dedup, packing, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,17 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the vocabulary files of public tokenizers are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "d2")
@@ -43,7 +54,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = [op3_line_dedup, op7_quality_rules, op8_sharding]
+    known = [op3_line_dedup, op4_packing, op7_quality_rules, op8_sharding]
     return {query.__name__: query for query in known}
 
 
