@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import html_labels, html_text, line_dedup, packing, quality, sharding
+from skytally.llm import embed_dedup, html_labels, html_text, line_dedup, packing, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = html_text.fit(spark, html_labels.labelled())
     return html_text.extract(_table(spark, sf_dir, "pages"), tree).select("page_id", "url", "text", "n_chars")
@@ -59,7 +63,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = [op2_html_extraction, op3_line_dedup, op4_packing, op7_quality_rules, op8_sharding]
+    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op7_quality_rules, op8_sharding]
     return {query.__name__: query for query in known}
 
 
