@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import embed_dedup, html_labels, html_text, line_dedup, packing, quality, sharding
+from skytally.llm import embed_dedup, html_labels, html_text, line_dedup, minhash, packing, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,8 +62,13 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op7_quality_rules, op8_sharding]
+    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op7_quality_rules, op8_sharding, op9_minhash_dedup]
     return {query.__name__: query for query in known}
 
 
