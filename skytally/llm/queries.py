@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import embed_dedup, html_labels, html_text, line_dedup, minhash, packing, quality, sharding
+from skytally.llm import debruijn, embed_dedup, html_labels, html_text, line_dedup, minhash, packing, quality, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def _cut(kept: DataFrame) -> DataFrame:
+    """Digest of texts after words were removed: the words joined by single spaces."""
+    words = F.regexp_replace(F.btrim("text", F.lit(quality.SPACE)), quality.SPACES, " ")
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cut(suffix_dedup.dedup_passages(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "d2")
@@ -67,8 +77,12 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cut(debruijn.dedup_passages(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op7_quality_rules, op8_sharding, op9_minhash_dedup]
+    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op5_suffix_array_dedup, op7_quality_rules, op8_sharding, op9_minhash_dedup, op10_substring_dedup]
     return {query.__name__: query for query in known}
 
 
