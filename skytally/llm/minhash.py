@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from skytally.llm.components import components
 from skytally.llm.embed_dedup import _roots, _segments
-from skytally.llm.rows import NO_ID, binary, keyed
+from skytally.llm.rows import NO_ID, binary, keyed, matching
 from skytally.llm.words import ODD, WordHashes, mix, run_hashes
 from skytally.session import stage
 
@@ -253,3 +253,11 @@ def near_duplicates(
         (F.col("__did") == F.col("least")).alias("kept"),
         F.col("__row").alias("row_hash"),
     )
+
+
+def keep_first(
+    docs: DataFrame, percent: int = 85, size: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, unchanged, that :func:`near_duplicates` keeps. Repeated rows with one id are one document: all stay."""
+    kept = near_duplicates(docs, percent, size, id_col, text_col).where("kept").select(id_col, "row_hash").distinct()
+    return matching(docs, kept, id_col, text_col)

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skytally.llm.rows import matching
 from skytally.session import stage
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -212,7 +213,4 @@ def keep_good(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
 ) -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, unchanged."""
-    good = judge(docs, id_col, text_col, lang_col, source_col).where("kept").select(F.col("row_hash").alias("__row"), F.col(id_col).alias("__id"))
-    keyed = docs.withColumns({"__row": F.xxhash64(id_col, text_col), "__id": F.col(id_col)})
-    same = (keyed["__row"] == good["__row"]) & keyed["__id"].eqNullSafe(good["__id"])
-    return keyed.join(good, same, "left_semi").drop("__row", "__id")
+    return matching(docs, judge(docs, id_col, text_col, lang_col, source_col).where("kept"), id_col, text_col)

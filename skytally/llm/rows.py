@@ -20,6 +20,14 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def matching(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and ``row_hash`` (of id and text) are in ``chosen``."""
+    some = chosen.select(F.col(id_col).alias("__id"), F.col("row_hash").alias("__hash"))
+    hashed = docs.withColumn("__row", F.xxhash64(id_col, text_col))
+    same = hashed["__row"].eqNullSafe(some["__hash"]) & hashed[id_col].eqNullSafe(some["__id"])
+    return hashed.join(some, same, "left_semi").drop("__row")
+
+
 def binary(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; NULL is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
