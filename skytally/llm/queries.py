@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import debruijn, embed_dedup, html_labels, html_text, line_dedup, minhash, packing, quality, sharding, suffix_dedup
+from skytally.llm import debruijn, embed_dedup, html_labels, html_text, line_dedup, minhash, packing, piece_lattice, quality, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,15 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cut(suffix_dedup.dedup_passages(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the hash of what they decode to."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    encoded = piece_lattice.encode(_table(spark, sf_dir, "documents"), model)
+    decoded = piece_lattice.decode(encoded, model)
+    text = F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", text)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "d2")
@@ -82,7 +91,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op5_suffix_array_dedup, op7_quality_rules, op8_sharding, op9_minhash_dedup, op10_substring_dedup]
+    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op5_suffix_array_dedup, op6_sentencepiece, op7_quality_rules, op8_sharding, op9_minhash_dedup, op10_substring_dedup]
     return {query.__name__: query for query in known}
 
 
