@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
 from skytally.plans import jobs
 from skytally.session import build_session
-from skytally.sinks.tables import ResultSink, search_index_sink
-from skytally.sources.messages import message_stream
+from skytally.sinks.tables import ResultSink, batch_folder_writer, search_index_sink
+from skytally.sources.messages import kafka_options, kafka_writer_options, message_stream
 from skytally.streaming.control import await_any
 
 
@@ -40,13 +41,25 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--format", default="parquet", help="Spark writer format")
         sub.add_argument("--index-nodes", help="write to the search index at this address instead")
         sub.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="writer option")
-    command("train", "published table to two classifiers")
+    train = command("train", "published table to classifiers")
+    train.add_argument("--models", nargs="*", default=list(jobs.MODELS), choices=list(jobs.MODELS))
+    score = command("score", "predictions of a saved classifier for a published table")
+    score.add_argument("--model", required=True)
+    score.add_argument("--preview", type=int, default=0, help="show so many scored rows")
+    compact = command("compact", "batch folders to one table with the current row of each key")
+    compact.add_argument("--keys", nargs="+", required=True)
     publish = command("publish", "raw text files to JSON messages", target=False)
     publish.add_argument("--format", default="text", choices=["text", "kafka"])
+    publish.add_argument("--servers", help="brokers, for kafka")
+    publish.add_argument("--topic", help="for kafka")
     publish.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     publish.add_argument("--fill", action="store_true", help="send 0.0 for empty delays")
     speed = command("speed", "message stream to raw rows and running counts", source=False)
     speed.add_argument("--format", default="text", choices=["text", "kafka"])
+    speed.add_argument("--servers", help="brokers, for kafka")
+    speed.add_argument("--topic", help="for kafka")
+    speed.add_argument("--windows", action="store_true", help="also count per origin city and minute of departure")
+    speed.add_argument("--lateness", default="1 day", help="how late a message may come for its window")
     speed.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     speed.add_argument("--index-nodes", help="append to the search index at this address instead of folders")
     speed.add_argument("--checkpoint", required=True)
@@ -56,6 +69,12 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _options(args: argparse.Namespace, defaults: Callable[[str, str], dict[str, str]]) -> dict[str, str]:
+    """Connector options; those given one by one win over the defaults of a broker and topic."""
+    known = defaults(args.servers, args.topic) if args.format == "kafka" and args.servers and args.topic else {}
+    return known | _pairs(args.option)
+
+
 def _sink(args: argparse.Namespace) -> ResultSink:
     if args.index_nodes:
         return search_index_sink(args.target, args.index_nodes)
@@ -74,15 +93,23 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "rank":
         jobs.rank_destinations(spark, args.source, _sink(args), args.k, args.infer)
     elif args.job == "train":
-        jobs.train(spark, args.source, args.target).show(truncate=False)
+        jobs.train(spark, args.source, args.target, args.models).show(truncate=False)
+    elif args.job == "score":
+        jobs.score(spark, args.source, args.model, args.target, args.preview)
+    elif args.job == "compact":
+        jobs.compact(spark, args.source, args.target, args.keys)
     elif args.job == "publish":
-        jobs.publish(spark, args.source, args.format, args.target, _pairs(args.option), args.fill)
+        options = _options(args, kafka_writer_options)
+        jobs.publish(spark, args.source, args.format, args.target, options, args.fill)
     elif args.job == "speed":
         path = args.source if args.format == "text" else None
-        stream = message_stream(spark, args.format, _pairs(args.option), path)
+        stream = message_stream(spark, args.format, _options(args, kafka_options), path)
         if args.index_nodes:
             writers = jobs.connector_writers(search_index_sink(args.target, args.index_nodes))
         else:
             writers = jobs.folder_writers(args.target)
-        layer = jobs.speed_layer(stream, *writers, args.checkpoint, args.interval, args.state_partitions)
+        windows = batch_folder_writer(f"{args.target}/by_minute") if args.windows else None
+        layer = jobs.speed_layer(
+            stream, *writers, args.checkpoint, args.interval, args.state_partitions, windows, args.lateness
+        )
         await_any(layer, args.timeout)

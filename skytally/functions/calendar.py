@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = dt.date(1900, 1, 1)
-
-
 def calendar_parts(date: Column) -> dict[str, Column]:
     """YEAR, MONTH, DAYOFMONTH and DAYOFWEEK, the last with Sunday = 1."""
     return {
@@ -21,17 +16,18 @@ def calendar_parts(date: Column) -> dict[str, Column]:
 
 
 def day_number(date: Column) -> Column:
-    """Days since 1900-01-01: consecutive dates have consecutive numbers."""
-    return F.datediff(date, F.lit(_EPOCH))
+    """Days since the Unix epoch: consecutive dates have consecutive numbers."""
+    return F.unix_date(date)
 
 
 def clock_timestamp(date: Column, hhmm: Column) -> Column:
-    """Timestamp of an ISO date text and an HHMM text; ``2400`` is the next midnight.
+    """Moment without zone of an ISO date text and an HHMM text of one to four digits; ``2400`` is the next midnight.
 
-    Anything unreadable gives NULL.
+    Anything else gives NULL.
     """
+    readable = F.trim(hhmm).rlike("^[0-9]{1,4}$") & F.trim(date).rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
     digits = F.lpad(F.trim(hhmm), 4, "0")
     next_midnight = digits == "2400"
-    text = F.concat_ws(" ", date, F.when(next_midnight, "0000").otherwise(digits))
-    moment = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HHmm"))
-    return F.when(next_midnight, moment + F.expr("INTERVAL 1 DAY")).otherwise(moment)
+    clock = F.when(next_midnight, "00:00").otherwise(F.concat_ws(":", F.substring(digits, 1, 2), F.substring(digits, 3, 2)))
+    moment = F.concat_ws(" ", F.trim(date), clock).try_cast("timestamp_ntz")
+    return F.when(readable, F.when(next_midnight, moment + F.expr("INTERVAL 1 DAY")).otherwise(moment))

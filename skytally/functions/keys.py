@@ -44,18 +44,18 @@ def position_id(topic: Column, partition: Column, offset: Column) -> Column:
     return F.concat_ws(":", topic, partition.cast("string"), offset.cast("string"))
 
 
-def value_bucket(columns: Sequence[str], buckets: int) -> Column:
-    """Bucket 0..buckets-1 from the row's own values.
+def value_hash(columns: Sequence[str], salt: str = "") -> Column:
+    """Signed 64-bit hash of the row's own values.
 
-    Membership does not depend on partitioning, so a recomputed task keeps its rows.
+    It does not depend on partitioning, so a recomputed task keeps its rows.
     """
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets))
+    return F.xxhash64(F.lit(salt), *columns)
 
 
-def portable_bucket(columns: Sequence[str], buckets: int) -> Column:
-    """Like :func:`value_bucket`, for use where another engine has to agree.
+def portable_hash(columns: Sequence[str], salt: str = "") -> Column:
+    """32-bit hash (0 to 2^32 - 1), for use where another engine has to agree.
 
     It takes MD5 over a JSON array of the values as text, which costs more.
     """
-    digest = F.md5(safe_id(columns))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
+    values = F.to_json(F.array(F.lit(salt), *[F.col(c).cast("string") for c in columns]), {"ignoreNullFields": "false"})
+    return F.conv(F.substring(F.md5(values), 1, 8), 16, 10).cast("bigint")

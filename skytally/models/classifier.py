@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.operators.normalise import required
-from skytally.operators.sampling import bucket_sample, bucket_split
+from skytally.operators.sampling import bucket_split, in_share
 from skytally.session import stage
 
 CATEGORIES = {"OP_CARRIER": "CARRIER", "ORIGIN": "ORIGIN", "DEST": "DEST"}
@@ -25,7 +25,10 @@ TRAIN, TEST = "train", "test"
 
 @dataclass(frozen=True)
 class Task:
-    """What to predict, from which rows."""
+    """What to predict, from which rows.
+
+    ``fraction`` bounds what the model is fitted on: this share of the training part. The test part is measured whole.
+    """
 
     label: str
     needed: tuple[str, ...]
@@ -36,8 +39,6 @@ class Task:
     # Centring fills every slot of the sparse one-hot vectors; scaling alone does not.
     centre: bool = False
     weight_column: str | None = None
-    # Category values are listed on the driver by the indexer, so their number is checked first.
-    max_categories: int = 100_000
 
     @property
     def columns(self) -> list[str]:
@@ -54,8 +55,8 @@ class UnfitInput(ValueError):
     """The rows cannot train a two-class model."""
 
 
-def model_rows(df: DataFrame, task: Task, sample_by: Sequence[str] | None = None) -> DataFrame:
-    """Columns, complete rows and sample of a task.
+def model_rows(df: DataFrame, task: Task, sample_by: Sequence[str] | None = None, portable: bool = False) -> DataFrame:
+    """Columns of a task, its complete rows and their part; of the training part a sample.
 
     ``sample_by`` are the columns that identify a row for sampling; by default
     all columns of ``df``. Membership is repeatable, so a task that is run
@@ -63,31 +64,31 @@ def model_rows(df: DataFrame, task: Task, sample_by: Sequence[str] | None = None
     """
     complete = required(df, task.needed)
     by = list(sample_by or df.columns)
-    sampled = complete if task.fraction >= 1 else bucket_sample(complete, by, task.fraction, salt="sample")
-    parts = bucket_split(sampled, by, {TRAIN: task.train_share, TEST: 1 - task.train_share}, salt="split")
-    return parts.select(*task.columns, "PART")
+    shares = {TRAIN: task.train_share, TEST: 1 - task.train_share}
+    parts = bucket_split(complete, by, shares, salt="split", portable=portable)
+    used = (F.col("PART") == TEST) | in_share(by, task.fraction, "sample", portable)
+    return parts.filter(used).select(*task.columns, "PART")
 
 
 def check_input(rows: DataFrame, task: Task) -> dict[str, int]:
-    """Counts of one aggregate pass; raises :class:`UnfitInput` on empty, one-class or unindexable input."""
+    """Counts of one aggregate pass; raises :class:`UnfitInput` on empty or one-class input."""
     training = F.col("PART") == TRAIN
     found = rows.agg(
         F.count("*").alias("rows"),
         F.count_if(training).alias("train_rows"),
         F.count_if(training & (F.col(task.label) == 0)).alias("negatives"),
         F.count_if(training & (F.col(task.label) == 1)).alias("positives"),
-        *[F.approx_count_distinct(c).alias(f"values_{c}") for c in CATEGORIES],
     ).first().asDict()
     if not found["negatives"] or not found["positives"]:
         raise UnfitInput(f"{task.label} needs training rows of both classes, found {found}")
-    wide = [c for c in CATEGORIES if found[f"values_{c}"] > task.max_categories]
-    if wide:
-        raise UnfitInput(f"more than {task.max_categories} values in {wide}")
     return found
 
 
 def indexing(names: dict[str, str] = CATEGORIES) -> StringIndexer:
-    """Most frequent value first, ties by value; NULL and unseen values share the last index."""
+    """Most frequent value first, ties by value; NULL and unseen values share the last index.
+
+    The values are listed on the driver. They are carriers and airports, a domain that does not grow with the rows.
+    """
     return StringIndexer(
         inputCols=list(names), outputCols=[f"INDEX_{n}" for n in names.values()], handleInvalid="keep"
     )
@@ -170,25 +171,31 @@ def load_model(path: str) -> PipelineModel:
 
 
 def fit_and_measure(
-    df: DataFrame, task: Task, path: str, sample_by: Sequence[str] | None = None
+    df: DataFrame, task: Task, path: str, sample_by: Sequence[str] | None = None, portable: bool = False
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Train on one part, save to ``path``, measure the saved model on the other part.
 
-    Returns the model, one row of metrics and the scored test rows. The sampled
+    Returns the model, one row of metrics and the scored test rows. The row has the part sizes, the classes of the
+    training rows and the confusion matrix: accuracy alone hides a model that never predicts a rare class. The
     rows are written to the shared folder for the passes of the fit, so that
     none of them reads the source again. The model is read back because a
     freshly fitted one holds on to its training session, which cannot be sent
     to tasks once the session has observed a query.
     """
-    rows = stage(model_rows(df, task, sample_by), "model-rows")
+    rows = stage(model_rows(df, task, sample_by, portable), "model-rows")
     found = check_input(rows, task)
     save_model(train(rows, task), path)
     model = load_model(path)
     scored = score(model, rows.filter(F.col("PART") == TEST))
-    result = metrics(confusion(scored, task.label)).first()
+    matrix = stage(confusion(scored, task.label), "confusion")
+    result = metrics(matrix).first()
+    cells = {(r["label"], r["prediction"]): r["n"] for r in matrix.collect()}  # a row for each pair of classes
+    hits = [cells.get((label, guess), 0) for label in (0, 1) for guess in (0, 1)]
     table = df.sparkSession.createDataFrame(
-        [(task.label, found["train_rows"], result["test_rows"], result["accuracy"], result["f1"])],
-        "label string, train_rows bigint, test_rows bigint, accuracy double, f1 double",
+        [(task.label, found["train_rows"], found["negatives"], found["positives"], *result, *hits)],
+        "label string, train_rows bigint, train_negatives bigint, train_positives bigint, test_rows bigint, "
+        "accuracy double, f1 double, true_negatives bigint, false_positives bigint, false_negatives bigint, "
+        "true_positives bigint",
     )
     return model, table, scored
 
@@ -206,7 +213,7 @@ def feature_moments(df: DataFrame, output: str = "FEATURES_UNSCALED") -> DataFra
     """Mean and standard deviation of each slot of the assembled vector, by slot name.
 
     One row is computed over all the data and spread out over its slots, whose
-    number is bounded by the category check.
+    number does not grow with the rows.
     """
     stages = preparation()
     # The scaler needs a pass of its own; it is fitted only when its output is asked for.

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytally.functions.keys import portable_bucket, value_bucket
-
-_BUCKETS = 10_000
+from skytally.functions.keys import portable_hash, value_hash
 
 
 def random_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
@@ -22,6 +20,17 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
     return df.randomSplit(list(weights), seed=seed)
 
 
+def in_share(columns: Sequence[str], share: float, salt: str = "", portable: bool = False) -> Column:
+    """Whether a row's hash lies in the first ``share`` of the hash range, which is not rounded to any grid."""
+    if not 0 < share <= 1:
+        raise ValueError(f"a share lies above 0 and up to 1, not {share}")
+    if share == 1:
+        return F.lit(True)
+    if portable:
+        return portable_hash(columns, salt) < F.lit(round(share * (1 << 32)))
+    return value_hash(columns, salt) < F.lit(round(share * (1 << 64)) - (1 << 63))
+
+
 def bucket_sample(
     df: DataFrame, columns: Sequence[str], fraction: float, salt: str = "", portable: bool = False
 ) -> DataFrame:
@@ -31,8 +40,7 @@ def bucket_sample(
     is run again. Rows that agree on ``columns`` are chosen together, so
     ``columns`` should tell rows apart.
     """
-    chosen = _bucketed(df, columns, salt, portable).filter(F.col("_BUCKET") < round(fraction * _BUCKETS))
-    return chosen.drop("_BUCKET")
+    return df.filter(in_share(columns, fraction, salt, portable))
 
 
 def bucket_split(
@@ -51,12 +59,7 @@ def bucket_split(
     bounds = []
     for share in head:
         upper += shares[share]
-        bounds.append((share, round(upper * _BUCKETS)))
+        bounds.append((share, upper))
     for share, bound in reversed(bounds):
-        part = F.when(F.col("_BUCKET") < bound, share).otherwise(part)
-    return _bucketed(df, columns, salt, portable).withColumn(name, part).drop("_BUCKET")
-
-
-def _bucketed(df: DataFrame, columns: Sequence[str], salt: str, portable: bool) -> DataFrame:
-    bucket = portable_bucket if portable else value_bucket
-    return df.withColumn("_SALT", F.lit(salt)).withColumn("_BUCKET", bucket(["_SALT", *columns], _BUCKETS)).drop("_SALT")
+        part = F.when(in_share(columns, bound, salt, portable), share).otherwise(part)
+    return df.withColumn(name, part)

@@ -7,18 +7,22 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from skytally.functions.calendar import clock_timestamp
 from skytally.models import classifier
 from skytally.operators import ranking, rollups
 from skytally.operators.normalise import clean, numeric, project_published
 from skytally.plans.catalogue import TABLES, day_partials, result_from_partials, result_table
-from skytally.session import size_for, staged
+from skytally.session import sized_for, staged
 from skytally.sinks.tables import (
+    BATCH,
     ResultSink,
     batch_folder_writer,
     connector_batch_writer,
     counted,
+    latest_view,
     write_messages,
     write_published,
 )
@@ -33,10 +37,6 @@ SUMMARY_KEYS = ["Reporting_Airline", "OriginCityName", "DestCityName"]
 SUMMARY_MEANS = {"avg_arrival_delay": "ArrDelayMinutes", "avg_departure_delay": "DepDelayMinutes"}
 
 
-# From this size of raw text on, a month holds many files and is clustered by day.
-CLUSTER_BY_DAY_FROM = 1 << 40
-
-
 def preprocess(spark: SparkSession, source: str, target: str, by_name: bool = False) -> dict[str, int]:
     """Raw text files to the published table, in one pass over the text.
 
@@ -44,12 +44,12 @@ def preprocess(spark: SparkSession, source: str, target: str, by_name: bool = Fa
     the rows read and written. Both counts ride on the write, and a stage that
     runs again after a lost executor may be counted again.
     """
-    size = tables.total_bytes(spark, source)
-    size_for(spark, size)
-    # Counted above the projection: the scan still reads the published columns only.
-    read, rows_read = counted(project_published(tables.read_raw_csv(spark, source, by_name)), "read")
-    cleaned, rows_written = counted(clean(read), "written")
-    write_published(cleaned, target, cluster=["FL_DATE"] if size >= CLUSTER_BY_DAY_FROM else [])
+    raw = tables.read_raw_csv(spark, source, by_name)
+    with sized_for(spark, tables.total_bytes(raw)):
+        # Counted above the projection: the scan still reads the published columns only.
+        read, rows_read = counted(project_published(raw), "read")
+        cleaned, rows_written = counted(clean(read), "written")
+        write_published(cleaned, target, cluster=["FL_DATE"])
     return {"read": rows_read.get["rows"], "written": rows_written.get["rows"]}
 
 
@@ -78,12 +78,12 @@ def analyse(
     result tables are written at a time, since most of them are small.
     """
     names = list(names or TABLES)
-    size_for(spark, tables.total_bytes(spark, source))
     flights = tables.read_published(spark, source)
-    if not one_pass:
-        return _write_tables(names, lambda name: result_table(flights, name), sink, parallel)
-    with staged(day_partials(flights), "day-partials", ["GRAIN"]) as partials:
-        return _write_tables(names, lambda name: result_from_partials(partials, name), sink, parallel)
+    with sized_for(spark, tables.total_bytes(flights)):
+        if not one_pass:
+            return _write_tables(names, lambda name: result_table(flights, name), sink, parallel)
+        with staged(day_partials(flights), "day-partials", ["GRAIN"]) as partials:
+            return _write_tables(names, lambda name: result_from_partials(partials, name), sink, parallel)
 
 
 def _write_tables(names: list[str], build: Callable[[str], DataFrame], sink: ResultSink, parallel: int) -> list[str]:
@@ -107,22 +107,35 @@ def rank_destinations(spark: SparkSession, source: str, sink: ResultSink, k: int
     sink.write(top_destinations(rows, k), "flight_wordcloud")
 
 
-def train(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Train, measure and save both classifiers; a task with unfit input is skipped."""
+MODELS = {"delay": classifier.DELAY, "cancellation": classifier.CANCELLATION}
+
+
+def train(spark: SparkSession, source: str, target: str, names: Iterable[str] = tuple(MODELS)) -> DataFrame:
+    """Train, measure and save the classifiers of ``names``; input unfit for one of them is an error.
+
+    Returns a row for each with its metrics and the confusion matrix of the test rows.
+    """
     flights = tables.read_published(spark, source)
     results = None
-    for name, task in (("delay", classifier.DELAY), ("cancellation", classifier.CANCELLATION)):
-        try:
-            _, measured, _ = classifier.fit_and_measure(flights, task, f"{target}/{name}_prediction", FLIGHT_IDENTITY)
-        except classifier.UnfitInput as reason:
-            print(f"{name}: not trained: {reason}")
-            continue
+    for name in names:
+        _, measured, _ = classifier.fit_and_measure(flights, MODELS[name], f"{target}/{name}_prediction", FLIGHT_IDENTITY)
         results = measured if results is None else results.unionByName(measured)
-    if results is None:
-        raise classifier.UnfitInput("neither classifier could be trained")
     return results
 
 
+def score(spark: SparkSession, source: str, model: str, target: str, preview: int = 0) -> None:
+    """Apply a saved classifier to a published table; writes the flights' identity and the prediction.
+
+    Rows without a value the model needs have no prediction and are left out. ``preview`` prints so many rows.
+    """
+    label = next((task.label for name, task in MODELS.items() if name in model), classifier.DELAY.label)
+    flights = tables.read_published(spark, source).dropna(subset=classifier.MEASURES)
+    scored = classifier.score(classifier.load_model(model), flights)
+    scored.select(*FLIGHT_IDENTITY, "prediction").write.mode("overwrite").parquet(target)
+    if preview:
+        classifier.score_preview(scored, label, preview).show(truncate=False)
+
+
 def publish(
     spark: SparkSession, source: str, fmt: str, path: str | None = None, options: dict | None = None, fill: bool = False
 ) -> None:
@@ -138,17 +151,40 @@ def speed_layer(
     checkpoint: str,
     interval: str | None = "30 seconds",
     state_partitions: int | None = None,
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start the raw append and the running count per origin city on one message stream."""
+    write_windows: BatchWriter | None = None,
+    lateness: str = "1 day",
+) -> tuple[StreamingQuery, ...]:
+    """Start the raw append and the running count per origin city on one message stream.
+
+    With ``write_windows``, also the count per origin city and minute of scheduled departure; ``lateness`` is how far
+    behind the newest departure a message may come.
+    """
     raw = control.start(messages.parse_messages(stream), write_raw, f"{checkpoint}_raw", "append", interval)
     cities = counts.running_count(messages.parse_messages(stream), "OriginCityName")
     running = control.start(cities, write_counts, f"{checkpoint}_agg", "update", interval, state_partitions)
-    return raw, running
+    if write_windows is None:
+        return raw, running
+    minutes = departures_per_minute(messages.parse_messages(stream), lateness)
+    windows = control.start(minutes, write_windows, f"{checkpoint}_windows", "update", interval, state_partitions)
+    return raw, running, windows
+
+
+def departures_per_minute(flights: DataFrame, lateness: str) -> DataFrame:
+    """Flights per origin city and minute of scheduled departure, of a stream."""
+    moment = clock_timestamp(F.col("FlightDate"), F.col("CRSDepTime"))
+    departures = flights.select(moment.alias("departure"), "OriginCityName")
+    return counts.tumbling_count(departures, "departure", "OriginCityName", "1 minute", lateness, "n")
 
 
 def folder_writers(target: str) -> tuple[BatchWriter, BatchWriter]:
     """Batch folders for the raw rows and for the counts."""
-    return batch_folder_writer(f"{target}/raw"), batch_folder_writer(f"{target}/by_origin", files=1)
+    return batch_folder_writer(f"{target}/raw"), batch_folder_writer(f"{target}/by_origin")
+
+
+def compact(spark: SparkSession, source: str, target: str, keys: Iterable[str]) -> None:
+    """The current row of each key over all batch folders below ``source``, as one table."""
+    batches = spark.read.option("basePath", source).parquet(f"{source}/{BATCH}=*")
+    latest_view(batches, list(keys)).write.mode("overwrite").parquet(target)
 
 
 def connector_writers(sink: ResultSink) -> tuple[BatchWriter, BatchWriter]:

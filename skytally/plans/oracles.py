@@ -43,7 +43,26 @@ WITH star AS (
          CASE WHEN dep < 0 THEN 0.0 ELSE dep END AS "DepDelayMinutes",
          CASE WHEN arr < 0 THEN 0.0 ELSE arr END AS "ArrDelayMinutes",
          CAST(arr > 0 AS INTEGER) AS "IS_DELAY",
-         CAST(p_size * 50 AS DOUBLE) AS "DISTANCE"
+         CAST(p_size * 50 AS DOUBLE) AS "DISTANCE",
+         'State of ' || origin_nation AS "OriginStateName",
+         dest_nation || ' ' || lower(c_mktsegment) AS "DestStateName",
+         lpad(CAST(l_linenumber + 6 AS VARCHAR), 2, '0') || '15' AS "DepTime",
+         CAST(dep >= 15 AS DOUBLE) AS "DepDel15",
+         round(l_tax * 100) + 5 AS "TAXI_OUT",
+         lpad(CAST(l_linenumber + 6 AS VARCHAR), 2, '0') || '25' AS "WheelsOff",
+         lpad(CAST(l_linenumber + 8 AS VARCHAR), 2, '0') || '35' AS "WheelsOn",
+         round(l_discount * 100) + 2 AS "TAXI_IN",
+         lpad(CAST(l_linenumber + 9 AS VARCHAR), 2, '0') || '45' AS "CRSArrTime",
+         lpad(CAST(l_linenumber + 10 AS VARCHAR), 2, '0') || '55' AS "ArrTime",
+         CAST(arr >= 15 AS DOUBLE) AS "ArrDel15",
+         CAST(p_size * 3 + 40 AS DOUBLE) AS "CRSElapsedTime",
+         CAST(p_size * 3 + 40 + l_linenumber AS DOUBLE) AS "ACTUAL_ELAPSED_TIME",
+         CAST(p_size * 3 AS DOUBLE) AS "AIR_TIME",
+         CAST(l_linenumber * 2 AS DOUBLE) AS "CARRIER_DELAY",
+         CAST(length(o_orderpriority) AS DOUBLE) AS "WEATHER_DELAY",
+         CAST(year(d) - 1990 AS DOUBLE) AS "NAS_DELAY",
+         CAST(length(origin_nation) AS DOUBLE) + 0.5 AS "SECURITY_DELAY",
+         CAST(length(dest_nation) AS DOUBLE) + 0.25 AS "LATE_AIRCRAFT_DELAY"
   FROM measured
 )
 """
@@ -141,11 +160,20 @@ FROM flights GROUP BY GROUPING SETS (
 
 # The published types: delays, minutes and distance are 32 bit; blank text fields read as NULL from text files.
 PUBLISHED = FLIGHTS + """
-SELECT DISTINCT "FL_DATE", "OP_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "OriginCityName", "DEST", "DestCityName",
-       "CRSDepTime", CAST("DEP_DELAY" AS FLOAT) AS "DEP_DELAY", CAST("DepDelayMinutes" AS FLOAT) AS "DepDelayMinutes",
-       CAST("ARR_DELAY" AS FLOAT) AS "ARR_DELAY", CAST("ArrDelayMinutes" AS FLOAT) AS "ArrDelayMinutes",
-       "CANCELLED", {code} AS "CANCELLATION_CODE", "DIVERTED", CAST("DISTANCE" AS FLOAT) AS "DISTANCE",
-       "YEAR", "MONTH", "DAYOFMONTH", "DAYOFWEEK", "IS_DELAY"
+SELECT DISTINCT
+       "FL_DATE", "OP_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "OriginCityName", "OriginStateName", "DEST",
+       "DestCityName", "DestStateName", "CRSDepTime", "DepTime", CAST("DEP_DELAY" AS FLOAT) AS "DEP_DELAY",
+       CAST("DepDelayMinutes" AS FLOAT) AS "DepDelayMinutes", CAST("DepDel15" AS FLOAT) AS "DepDel15",
+       CAST("TAXI_OUT" AS FLOAT) AS "TAXI_OUT", "WheelsOff", "WheelsOn", CAST("TAXI_IN" AS FLOAT) AS "TAXI_IN",
+       "CRSArrTime", "ArrTime", CAST("ARR_DELAY" AS FLOAT) AS "ARR_DELAY",
+       CAST("ArrDelayMinutes" AS FLOAT) AS "ArrDelayMinutes", CAST("ArrDel15" AS FLOAT) AS "ArrDel15", "CANCELLED",
+       {code} AS "CANCELLATION_CODE", "DIVERTED", CAST("CRSElapsedTime" AS FLOAT) AS "CRSElapsedTime",
+       CAST("ACTUAL_ELAPSED_TIME" AS FLOAT) AS "ACTUAL_ELAPSED_TIME", CAST("AIR_TIME" AS FLOAT) AS "AIR_TIME",
+       CAST("DISTANCE" AS FLOAT) AS "DISTANCE", CAST("CARRIER_DELAY" AS FLOAT) AS "CARRIER_DELAY",
+       CAST("WEATHER_DELAY" AS FLOAT) AS "WEATHER_DELAY", CAST("NAS_DELAY" AS FLOAT) AS "NAS_DELAY",
+       CAST("SECURITY_DELAY" AS FLOAT) AS "SECURITY_DELAY",
+       CAST("LATE_AIRCRAFT_DELAY" AS FLOAT) AS "LATE_AIRCRAFT_DELAY", "YEAR", "MONTH", "DAYOFMONTH", "DAYOFWEEK",
+       "IS_DELAY"
 FROM flights
 """
 CODE = '"CANCELLATION_CODE"'
@@ -170,9 +198,11 @@ WHERE "ARR_DELAY" IS NOT NULL AND "DISTANCE" IS NOT NULL AND "OP_CARRIER" IS NOT
 GROUP BY ALL
 """
 
+# One file at most for each month and task, so files are summed up by folder; the empty file stays.
 MANIFEST = """
-SELECT 'lineitem.parquet' AS file_name, count(*) AS row_count FROM lineitem
-UNION ALL SELECT 'orders.parquet', count(*) FROM orders
+SELECT 'month=' || CAST(month(l_shipdate) AS VARCHAR) AS folder, count(*) AS row_count, FALSE AS empty
+FROM lineitem GROUP BY ALL
+UNION ALL SELECT 'empty', 0, TRUE
 """
 
 EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
@@ -180,18 +210,20 @@ EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 DEFAULTS = FLIGHTS + """
 SELECT "ORIGIN" AS "Origin", "DEST" AS "Dest", CAST("CANCELLED" AS DOUBLE) AS "Cancelled", count(*) AS n,
        sum(coalesce("DEP_DELAY", 0.0)) AS dep_delay, sum(coalesce("ARR_DELAY", 0.0)) AS arr_delay,
-       CAST(0.0 AS DOUBLE) AS carrier_delay, sum("DISTANCE") AS distance, CAST(0 AS BIGINT) AS n_taxi_out,
-       min("CRSDepTime") AS first_clock
+       sum("CARRIER_DELAY") AS carrier_delay, sum("DISTANCE") AS distance, count("TAXI_OUT") AS n_taxi_out,
+       min(CAST("CRSDepTime" AS INTEGER)) AS first_clock
 FROM flights GROUP BY ALL
 """
 
 WIRE_FLIGHTS = FLIGHTS + """
 SELECT "ORIGIN" AS "Origin", "DestCityName", "CANCELLATION_CODE" AS "CancellationCode", count("ARR_DELAY") AS n_arr_delay,
-       sum("ARR_DELAY") AS arr_delay, sum("DISTANCE") AS distance, CAST(0 AS BIGINT) AS n_taxi_out
+       sum("ARR_DELAY") AS arr_delay, sum("DISTANCE") AS distance, count("TAXI_OUT") AS n_taxi_out
 FROM flights GROUP BY ALL
 """
 
-RAW_APPEND = "SELECT event_id, ts, user_id, event_type, value, props, CAST(64 AS INTEGER) AS id_length FROM events"
+RAW_APPEND = """
+SELECT event_id, ts, user_id, event_type, value, props, CAST(64 AS INTEGER) AS id_length, TRUE AS id_is_digest FROM events
+"""
 
 RUNNING = "SELECT event_type, count(*) AS recent_flight_count, event_type AS id FROM events GROUP BY event_type"
 
@@ -225,16 +257,16 @@ FROM (SELECT user_id, arg_max(events, {'ts': ts, 'event_id': event_id}) AS last
 
 BUCKET = """
 CAST('0x' || substr(md5('["{salt}","' || CAST("FL_DATE" AS VARCHAR) || '","' || "OP_CARRIER_FL_NUM" || '","'
-  || "OP_CARRIER" || '","' || "ORIGIN" || '","' || "DEST" || '"]'), 1, 8) AS BIGINT) % 10000
+  || "OP_CARRIER" || '","' || "ORIGIN" || '","' || "DEST" || '"]'), 1, 8) AS BIGINT)
 """
 
 SAMPLE = FLIGHTS + f"""
 SELECT "FL_DATE", "OP_CARRIER_FL_NUM", "OP_CARRIER", "ORIGIN", "DEST", "DISTANCE"
-FROM flights WHERE {BUCKET.format(salt="sample")} < 2000
+FROM flights WHERE {BUCKET.format(salt="sample")} < 858993459
 """
 
 SPLIT = FLIGHTS + f"""
-SELECT CASE WHEN {BUCKET.format(salt="split")} < 8000 THEN 'train' ELSE 'test' END AS "PART", "OP_CARRIER", count(*) AS n
+SELECT CASE WHEN {BUCKET.format(salt="split")} < 3435973837 THEN 'train' ELSE 'test' END AS "PART", "OP_CARRIER", count(*) AS n
 FROM flights GROUP BY ALL
 """
 
@@ -264,7 +296,53 @@ FROM classes
 """
 
 
-def _moments() -> str:
+# Parts of the two classifiers' rows by the 32-bit hash of what identifies a flight; the training part is sampled.
+PARTS = FLIGHTS + """
+, placed AS (
+  SELECT "{label}" AS y,
+         CAST('0x' || substr(md5('["split","' || CAST("FL_DATE" AS VARCHAR) || '","' || "OP_CARRIER_FL_NUM" || '"]'), 1, 8)
+              AS BIGINT) AS s,
+         CAST('0x' || substr(md5('["sample","' || CAST("FL_DATE" AS VARCHAR) || '","' || "OP_CARRIER_FL_NUM" || '"]'), 1, 8)
+              AS BIGINT) AS t
+  FROM flights WHERE "{needed}" IS NOT NULL
+)
+SELECT '{label}' AS label, count(*) FILTER (WHERE s < 3435973837 AND t < {bound}) AS train_rows,
+       count(*) FILTER (WHERE s < 3435973837 AND t < {bound} AND y = 0) AS train_negatives,
+       count(*) FILTER (WHERE s < 3435973837 AND t < {bound} AND y = 1) AS train_positives,
+       count(*) FILTER (WHERE s >= 3435973837) AS test_rows, count(*) FILTER (WHERE s >= 3435973837) AS measured_rows
+FROM placed
+"""
+
+# One column parts the classes with a wide margin, so every test row is predicted right.
+SEPARABLE = FLIGHTS + """
+, placed AS (
+  SELECT CAST("DISTANCE" > 1250 AS INTEGER) AS y,
+         CAST('0x' || substr(md5('["split","' || CAST("FL_DATE" AS VARCHAR) || '","' || "OP_CARRIER_FL_NUM" || '"]'), 1, 8)
+              AS BIGINT) AS s
+  FROM flights WHERE "DISTANCE" < 800 OR "DISTANCE" > 1700
+)
+SELECT y AS label, y AS prediction, count(*) AS n FROM placed WHERE s >= 3435973837 GROUP BY ALL
+"""
+
+DOCUMENT_IDS = FLIGHTS + """
+SELECT '["' || "ORIGIN" || '","' || "DEST" || '"]' AS id, "ORIGIN", "DEST",
+       avg("DEP_DELAY") AS "AVG_DEP_DELAY", avg("ARR_DELAY") AS "AVG_ARR_DELAY"
+FROM flights GROUP BY "ORIGIN", "DEST"
+"""
+
+COUNTS_ON_WRITE = f"""
+SELECT (SELECT count(*) FROM lineitem) AS rows_read, count(*) AS rows_written FROM ({PUBLISHED.format(code='"CANCELLATION_CODE"')})
+"""
+
+PREVIEW = FLIGHTS + """
+SELECT "OP_CARRIER", "YEAR", "MONTH", avg("DEP_DELAY") AS "AVG_DEP_DELAY", avg("ARR_DELAY") AS "AVG_ARR_DELAY"
+FROM flights GROUP BY ALL ORDER BY "OP_CARRIER", "YEAR", "MONTH" LIMIT 20
+"""
+
+KEPT = FLIGHTS + 'SELECT "YEAR", count(*) AS n, count(DISTINCT "ORIGIN") AS origins FROM flights GROUP BY "YEAR"'
+
+
+def _moments(scaled: bool = False) -> str:
     """Slot moments: of the columns themselves, and of a 0/1 column per category value."""
     plain = [
         f"SELECT '{c}' AS feature, avg(\"{c}\") AS mean, stddev_samp(\"{c}\") AS std FROM flights"
@@ -276,6 +354,8 @@ def _moments() -> str:
         for c, name in (("OP_CARRIER", "CARRIER"), ("ORIGIN", "ORIGIN"), ("DEST", "DEST"))
     ]
     slots = "\nUNION ALL ".join(plain + categories)
+    if scaled:  # by the standard deviation; a constant slot becomes 0
+        slots = f"SELECT feature, coalesce(mean / nullif(std, 0), 0) AS mean, CAST(std > 0 AS DOUBLE) AS std FROM ({slots})"
     return f"{FLIGHTS} SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std FROM ({slots})"
 
 
@@ -320,6 +400,15 @@ def oracle_sql() -> dict[str, str]:
         "label_classes": CLASSES,
         "ml_string_index": STRING_INDEX,
         "ml_feature_moments": _moments(),
+        "ml_scaled_moments": _moments(scaled=True),
         "ml_rule_metrics": RULE_METRICS,
+        "ml_delay_metrics": PARTS.format(label="IS_DELAY", needed="ARR_DELAY", bound=42949673),
+        "ml_cancel_metrics": PARTS.format(label="CANCELLED", needed="CANCELLED", bound=858993459),
+        "ml_separable": SEPARABLE,
+        "sink_document_ids": DOCUMENT_IDS,
+        "sink_top_destinations": TOP,
+        "counts_on_write": COUNTS_ON_WRITE,
+        "sorted_preview": PREVIEW,
+        "kept_columns": KEPT,
     }
     return found

@@ -9,26 +9,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.functions.calendar import calendar_parts, clock_timestamp
+from skytally.functions.calendar import calendar_parts
 from skytally.models import classifier
 from skytally.operators import normalise, ranking, rollups, sampling
 from skytally.plans import catalogue, jobs
-from skytally.session import work_folder
-from skytally.sinks.tables import batch_folder_writer, latest_view, read_batches, write_messages
+from skytally.schemas import PROCESSED_SCHEMA
+from skytally.session import stage, work_folder
+from skytally.sinks.tables import ResultSink, batch_folder_writer, latest_view, read_batches, write_messages
 from skytally.sources import messages, tables
 from skytally.sources.star import flights, raw_flights
 from skytally.streaming import control, counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Columns that ``normalise_flights`` and its kin show: all that the star fills.
-SHOWN = [
-    "FL_DATE", "OP_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "OriginCityName", "DEST", "DestCityName", "CRSDepTime",
+SHOWN = PROCESSED_SCHEMA.names
+# What ``dedup_flights`` shows.
+TYPED = [
+    "FL_DATE", "OP_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "OriginCityName", "DEST", "DestCityName",
     "DEP_DELAY", "DepDelayMinutes", "ARR_DELAY", "ArrDelayMinutes", "CANCELLED", "CANCELLATION_CODE", "DIVERTED",
     "DISTANCE", "YEAR", "MONTH", "DAYOFMONTH", "DAYOFWEEK", "IS_DELAY",
 ]
 # The fields that tell flights of the star apart; sampling goes by them.
 IDENTITY = ["FL_DATE", "OP_CARRIER_FL_NUM", "OP_CARRIER", "ORIGIN", "DEST"]
+# Two of them do so alone, and are columns of the line items: a filter on them reaches the scan.
+SCAN_IDENTITY = ["FL_DATE", "OP_CARRIER_FL_NUM"]
 
 EVENT_SCHEMA = (
     T.StructType()
@@ -89,7 +93,7 @@ def delay_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies planted by a union with itself."""
-    rows = flights(spark, sf_dir, *[c for c in SHOWN if c != "CRSDepTime"])
+    rows = flights(spark, sf_dir, *TYPED)
     return normalise.drop_copies(rows.unionByName(rows))
 
 
@@ -126,17 +130,53 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of the line item and order tables with their row counts."""
-    paths = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders")]
-    listed = tables.list_files(spark, paths)
-    scans = [tables.rows_per_file(spark.read.parquet(path)) for path in paths]
-    return (
-        listed.filter(F.col("bytes") > 0)
-        .join(scans[0].unionByName(scans[1]), "file_name")
-        .select("file_name", "row_count")
+    """Files of a partitioned folder of line items, and of an empty table, with their row counts, by folder."""
+    folder = work_folder(spark, "manifest")
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.month("l_shipdate").alias("month"), "l_orderkey")
+    items.write.partitionBy("month").parquet(f"{folder}/items")
+    items.where("false").select("l_orderkey").write.parquet(f"{folder}/none")
+    listed = tables.list_files(spark, [f"{folder}/items", f"{folder}/none"], "*.parquet")
+    scan = spark.read.schema("l_orderkey long").parquet(f"{folder}/items/*", f"{folder}/none")
+    found = tables.rows_per_file(listed, scan)
+    month = F.regexp_extract("path", "(month=[0-9]+)", 1)
+    return found.groupBy(F.when(month != "", month).otherwise("empty").alias("folder")).agg(
+        F.sum("row_count").alias("row_count"), F.bool_and(F.col("row_count") == 0).alias("empty")
     )
 
 
+def sink_document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result table through a sink with ids, read back. A file format takes the id option without using it."""
+    sink = ResultSink(work_folder(spark, "sink"), "json", id_option="id_column")
+    sink.write(_result_table("delay_total_src_dest", spark, sf_dir), "delays", ["ORIGIN", "DEST"])
+    schema = "id string, ORIGIN string, DEST string, AVG_DEP_DELAY double, AVG_ARR_DELAY double"
+    return spark.read.schema(schema).json(sink.location("delays"))
+
+
+def sink_top_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking job, from text files to its sink."""
+    sink = ResultSink(work_folder(spark, "sink"))
+    jobs.rank_destinations(spark, _staged_csv(spark, sf_dir), sink)
+    return spark.read.parquet(sink.location("flight_wordcloud"))
+
+
+def counts_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read and written by the preparation job, as counted on the way."""
+    found = jobs.preprocess(spark, _staged_csv(spark, sf_dir), work_folder(spark, "published"))
+    return spark.createDataFrame([(found["read"], found["written"])], "rows_read long, rows_written long")
+
+
+def sorted_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of a result table in the order of its keys."""
+    ordered = ranking.ordered(_result_table("delay_year_month_carrier", spark, sf_dir), ["OP_CARRIER", "YEAR", "MONTH"])
+    return ranking.preview(ordered, 20)
+
+
+def kept_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns persisted for several uses; Spark reads persisted rows again only if an executor is lost."""
+    kept = tables.keep(flights(spark, sf_dir, "ORIGIN", "DEST", "YEAR"), ["ORIGIN", "YEAR"])
+    return kept.groupBy("YEAR").agg(F.count("*").alias("n"), F.count_distinct("ORIGIN").alias("origins"))
+
+
 # Messages --------------------------------------------------------------------
 
 
@@ -156,7 +196,7 @@ def delay_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("CarrierDelay").alias("carrier_delay"),
         F.sum("Distance").alias("distance"),
         F.count("TaxiOut").alias("n_taxi_out"),
-        F.min("CRSDepTime").alias("first_clock"),
+        F.min(F.col("CRSDepTime").cast("int")).alias("first_clock"),
     )
 
 
@@ -175,22 +215,40 @@ def wire_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams ---------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as an unbounded source; everything there now is read."""
-    # The star makes it a pattern: a stream takes a single file only by pattern.
-    return spark.readStream.schema(EVENT_SCHEMA).parquet(f"{sf_dir}/events.parquet*")
+# Parts in which a stream's input arrives. Each run takes it in about so many micro-batches.
+SLICES = 6
+
+
+def _arrive(rows: DataFrame, moment: str, write: Callable[[DataFrame], None]) -> str:
+    """Write rows in slices of time, one after the other, as a source would see them arrive.
+
+    Returns how far a row may come behind the newest one: files of two slices can meet in a micro-batch.
+    """
+    second = F.col(moment).cast("timestamp").cast("double")
+    low, high = rows.agg(F.min(second), F.max(second)).first()
+    width = (high - low) / SLICES + 1 if low is not None else 1
+    place = F.coalesce(F.floor((second - (low or 0)) / width), F.lit(0))
+    for i in range(SLICES):
+        write(rows.filter(place == i))
+    return f"{int(2 * width) + 3600} seconds"
+
+
+def _limit(spark: SparkSession, folder: str, files: int | None) -> dict[str, str]:
+    """Files of a micro-batch, as given or so that there are :data:`SLICES` of them."""
+    return {"maxFilesPerTrigger": str(files or -(-tables.list_files(spark, folder, "part-*").count() // SLICES) or 1)}
 
 
-# Counts by event type or city hold few keys; windows of all hours still hold few per partition.
-FEW_KEYS = 8
+def _event_stream(spark: SparkSession, sf_dir: str, files: int | None = None) -> tuple[DataFrame, str]:
+    """The event table as an unbounded source that arrives in the order of time, and its lateness."""
+    folder = work_folder(spark, "events")
+    lateness = _arrive(events(spark, sf_dir), "ts", lambda part: part.write.mode("append").parquet(folder))
+    reader = spark.readStream.schema(EVENT_SCHEMA).options(**_limit(spark, folder, files))
+    return reader.parquet(folder), lateness
 
 
-def _batches(
-    spark: SparkSession, stream: DataFrame, purpose: str, mode: str, state_partitions: int | None = FEW_KEYS
-) -> DataFrame:
+def _batches(spark: SparkSession, stream: DataFrame, purpose: str, mode: str) -> DataFrame:
     folder = work_folder(spark, purpose)
-    writer = batch_folder_writer(f"{folder}/out")
-    control.run_available(stream, writer, f"{folder}/checkpoint", mode, state_partitions)
+    control.run_available(stream, batch_folder_writer(f"{folder}/out"), f"{folder}/checkpoint", mode)
     return read_batches(spark, f"{folder}/out", stream.schema)
 
 
@@ -200,44 +258,45 @@ def stream_raw_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_messages(messages.to_messages(events(spark, sf_dir)), "text", folder)
     stream = messages.parse_messages(messages.message_stream(spark, "text", path=folder), EVENT_SCHEMA)
     appended = _batches(spark, stream, "raw-append", "append")
-    return appended.select(*EVENT_SCHEMA.names, F.length("id").alias("id_length"))
+    line = F.to_json(F.struct(*EVENT_SCHEMA.names), messages.JSON_OPTIONS)
+    return appended.select(
+        *EVENT_SCHEMA.names, F.length("id").alias("id_length"), (F.col("id") == F.sha2(line, 256)).alias("id_is_digest")
+    )
 
 
-def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = counts.running_count(_event_stream(spark, sf_dir), "event_type")
+def stream_running_count(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    counted = counts.running_count(_event_stream(spark, sf_dir, files)[0], "event_type")
     return latest_view(_batches(spark, counted, "running-count", "update"), ["id"])
 
 
-def stream_tumbling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = counts.tumbling_count(_event_stream(spark, sf_dir), "ts", "event_type", "1 hour", "1 hour", "n")
-    latest = latest_view(_batches(spark, counted, "tumbling", "update"), ["window_start", "event_type"])
-    return latest.select(
-        *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "event_type", "n"
-    )
+def stream_tumbling_count(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    stream, lateness = _event_stream(spark, sf_dir, files)
+    counted = counts.tumbling_count(stream, "ts", "event_type", "1 hour", lateness, "n")
+    return latest_view(_batches(spark, counted, "tumbling", "update"), ["window_start", "event_type"])
 
 
-def _flight_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flight messages as a stream of JSON lines, parsed under the wire schema."""
+def _flight_stream(spark: SparkSession, sf_dir: str, files: int | None = None) -> tuple[DataFrame, str]:
+    """Flight messages as a stream of JSON lines in the order of their dates, and its lateness."""
     folder = work_folder(spark, "flight-messages")
     fields = raw_flights(spark, sf_dir).select("FlightDate", "CRSDepTime", "OriginCityName")
-    write_messages(messages.to_messages(fields), "text", folder)
-    return messages.parse_messages(messages.message_stream(spark, "text", path=folder))
+    lines = stage(messages.to_messages(fields).withColumn("day", F.get_json_object("value", "$.FlightDate").try_cast("date")), "lines")
+    lateness = _arrive(lines, "day", lambda part: write_messages(part, "text", folder))
+    stream = messages.message_stream(spark, "text", _limit(spark, folder, files), folder)
+    return messages.parse_messages(stream), lateness
 
 
-def flight_summary_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flight_summary_speed(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
     """Running count of flights per origin city."""
-    counted = counts.running_count(_flight_stream(spark, sf_dir), "OriginCityName")
+    counted = counts.running_count(_flight_stream(spark, sf_dir, files)[0], "OriginCityName")
     return latest_view(_batches(spark, counted, "speed", "update"), ["id"])
 
 
-def stream_origin_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_origin_minutes(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
     """Flights per origin city and minute of scheduled departure."""
-    moment = clock_timestamp(F.col("FlightDate"), F.col("CRSDepTime"))
-    departures = _flight_stream(spark, sf_dir).select(moment.alias("departure"), "OriginCityName")
-    counted = counts.tumbling_count(departures, "departure", "OriginCityName", "1 minute", "1 hour", "n")
-    # One key per city and minute: as many state partitions as the session has shuffle partitions.
-    latest = latest_view(_batches(spark, counted, "minutes", "update", None), ["window_start", "OriginCityName"])
-    return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "OriginCityName", "n")
+    stream, lateness = _flight_stream(spark, sf_dir, files)
+    counted = jobs.departures_per_minute(stream, lateness)
+    latest = latest_view(_batches(spark, counted, "minutes", "update"), ["window_start", "OriginCityName"])
+    return latest.select("window_start", "OriginCityName", "n")
 
 
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,11 +313,9 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.filter(arrived).write.mode("append").parquet(f"{folder}/in")
         stream = spark.readStream.schema(EVENT_SCHEMA).parquet(f"{folder}/in")
         counted = counts.tumbling_count(stream, "ts", "event_type", "1 hour", "1 hour", "n")
-        control.run_available(counted, batch_folder_writer(f"{folder}/out"), f"{folder}/checkpoint", "append", FEW_KEYS)
+        control.run_available(counted, batch_folder_writer(f"{folder}/out"), f"{folder}/checkpoint", "append")
     emitted = read_batches(spark, f"{folder}/out", counted.schema)
-    return emitted.select(
-        *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "event_type", "n"
-    )
+    return emitted.select("window_start", "window_end", "event_type", "n")
 
 
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,9 +363,33 @@ def ml_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("test_rows", *[F.round(c, 9).alias(c) for c in ("accuracy", "f1")])
 
 
+def ml_scaled_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = [*classifier.CALENDAR, *classifier.CATEGORIES, *classifier.MEASURES]
+    moments = classifier.feature_moments(flights(spark, sf_dir, *columns), "FEATURES")
+    return moments.select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
 def _measured(task: classifier.Task, spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flights(spark, sf_dir, *dict.fromkeys([*IDENTITY, *task.columns]))
-    return classifier.fit_and_measure(rows, task, work_folder(spark, "model"), IDENTITY)[1]
+    """A classifier fitted, saved, loaded and measured: the sizes of its parts and classes.
+
+    What it predicts is the library's affair; ``measured_rows`` are the rows its confusion matrix holds.
+    """
+    rows = flights(spark, sf_dir, *dict.fromkeys([*SCAN_IDENTITY, *task.columns]))
+    found = classifier.fit_and_measure(rows, task, work_folder(spark, "model"), SCAN_IDENTITY, portable=True)[1]
+    cells = F.expr("true_negatives + false_positives + false_negatives + true_positives")
+    return found.select(
+        "label", "train_rows", "train_negatives", "train_positives", "test_rows", cells.alias("measured_rows")
+    )
+
+
+def ml_separable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The confusion matrix of a label that one feature parts with a wide margin."""
+    task = classifier.Task("FAR", ("DISTANCE",), fraction=1.0, max_iter=50, reg_param=0.0001)
+    columns = [*SCAN_IDENTITY, *classifier.CALENDAR, *classifier.CATEGORIES, *classifier.MEASURES]
+    rows = flights(spark, sf_dir, *columns).filter("DISTANCE < 800 OR DISTANCE > 1700")
+    rows = rows.withColumn("FAR", (F.col("DISTANCE") > 1250).cast("int"))
+    scored = classifier.fit_and_measure(rows, task, work_folder(spark, "model"), SCAN_IDENTITY, portable=True)[2]
+    return classifier.confusion(scored, "FAR")
 
 
 def queries() -> dict[str, Query]:
@@ -343,8 +424,15 @@ def queries() -> dict[str, Query]:
         "label_classes": label_classes,
         "ml_string_index": ml_string_index,
         "ml_feature_moments": ml_feature_moments,
+        "ml_scaled_moments": ml_scaled_moments,
         "ml_rule_metrics": ml_rule_metrics,
         "ml_delay_metrics": partial(_measured, classifier.DELAY),
         "ml_cancel_metrics": partial(_measured, classifier.CANCELLATION),
+        "ml_separable": ml_separable,
+        "sink_document_ids": sink_document_ids,
+        "sink_top_destinations": sink_top_destinations,
+        "counts_on_write": counts_on_write,
+        "sorted_preview": sorted_preview,
+        "kept_columns": kept_columns,
     }
     return found

@@ -33,11 +33,7 @@ _LEGS = range(1, 6)
 
 RAW_COLUMNS = _RAW_HEAD + [f"Div{leg}{field}" for leg in _LEGS for field in _LEG_FIELDS]
 
-# The files end every line with a comma, which makes one more, unnamed column.
-TRAILING_COLUMN = "_trailing"
-
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
-RAW_FILE_SCHEMA = T.StructType(RAW_SCHEMA.fields + [T.StructField(TRAILING_COLUMN, T.StringType())])
 
 # HHMM clock times. Leading zeros carry meaning, so no reader may type them as numbers.
 CLOCK_COLUMNS = ["CRSDepTime", "DepTime", "WheelsOff", "WheelsOn", "CRSArrTime", "ArrTime", "FirstDepTime"] + [

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import functools
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -15,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime re-planning, skew splitting and off-heap streaming state are what the
 # operators rely on. HotSpot does not compile methods above 8000 bytes of
 # bytecode, so wider generated code (the 35-column projection) is split instead.
-# Sizes are left to the cluster's own configuration and to ``size_for``.
+# Sizes are left to the cluster's own configuration and to ``sized_for``.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -43,27 +40,32 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master, whose executors share this machine, may fall back to a
-    temporary folder. A cluster without the setting is a configuration error.
+    Only a local master, whose executors share this machine, may fall back to
+    the warehouse. A cluster without the setting is a configuration error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 @functools.cache
-def _local_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="skytally-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+def _session_folder(shared: str, application: str) -> str:
+    """Folder of one application, which the file system removes when the application ends."""
+    spark = SparkSession.active()
+    folder = f"{shared}/skytally/{application}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
     return folder
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, not yet existing folder below the shared folder."""
-    return f"{shared_folder(spark)}/skytally/{purpose}-{uuid.uuid4().hex}"
+    """A new, not yet existing folder below the shared folder. It is removed when the application ends."""
+    return f"{_session_folder(shared_folder(spark), spark.sparkContext.applicationId)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -109,11 +111,19 @@ def sizing(input_bytes: int) -> dict[str, int]:
     }
 
 
-def size_for(spark: SparkSession, input_bytes: int) -> None:
-    """Raise the session's settings to :func:`sizing`; larger settings stay."""
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Settings of at least :func:`sizing` for the time of a block; larger ones stay, and all are put back after it."""
+    before: dict[str, str] = {}
     for key, value in sizing(input_bytes).items():
         current = spark.conf.get(key)
         now = int(current[:-1]) if current.endswith("b") and current[:-1].isdigit() else current
         if not str(now).isdigit() or int(now) >= value:
             continue
+        before[key] = current
         spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.functions.keys import safe_id
+from skytally.functions.keys import safe_id, single_id
 from skytally.operators.ranking import latest_per_key
 
 BATCH = "batch_id"
@@ -54,12 +54,11 @@ class ResultSink:
     separator: str = "/"
 
     def write(self, df: DataFrame, name: str, id_columns: Sequence[str] = (), mode: str = "overwrite") -> None:
-        """Write one table. Several id columns are joined into an ``id`` column."""
+        """Write one table. Several id columns are joined into an ``id`` column; no id is NULL."""
         options = dict(self.options) | {self.name_option: self.location(name)}
         if id_columns and self.id_option:
-            keyed = id_columns[0]
-            if len(id_columns) > 1:
-                keyed, df = "id", df.withColumn("id", safe_id(id_columns))
+            keyed = id_columns[0] if len(id_columns) == 1 else "id"
+            df = df.withColumn(keyed, single_id(keyed) if len(id_columns) == 1 else safe_id(id_columns))
             options[self.id_option] = keyed
         df.write.format(self.fmt).options(**options).mode(mode).save()
 
@@ -85,23 +84,26 @@ def write_messages(messages: DataFrame, fmt: str, path: str | None = None, optio
     writer.save(path) if path else writer.save()
 
 
-def batch_folder_writer(path: str, files: int | None = None) -> Callable[[DataFrame, int], None]:
+def batch_folder_writer(path: str) -> Callable[[DataFrame, int], None]:
     """Micro-batch callback that gives every batch its own folder.
 
     A batch that is run again replaces its folder, so its rows do not appear
-    twice. ``files`` moves the emitted rows into that many files without
-    narrowing the stages before.
+    twice. Runtime planning gathers the emitted rows into files of the advised size.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch.repartition(files) if files else batch
-        out.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return write
 
 
 def connector_batch_writer(sink: ResultSink, name: str, id_column: str = "id") -> Callable[[DataFrame, int], None]:
-    """Micro-batch callback that appends to a keyed connector; a repeated id replaces its document."""
+    """Micro-batch callback that appends to a keyed connector; a repeated id replaces its document.
+
+    A sink without ids would hold the rows of a repeated batch twice, so it is refused.
+    """
+    if not sink.id_option:
+        raise ValueError("a sink of micro-batches needs ids; write batch folders instead")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sink.write(batch, name, [id_column], mode="append")

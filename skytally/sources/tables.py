@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from skytally.schemas import CLOCK_COLUMNS, PROCESSED_SCHEMA, RAW_COLUMNS, RAW_FILE_SCHEMA
+from skytally.schemas import CLOCK_COLUMNS, PROCESSED_SCHEMA, RAW_COLUMNS
 
 LISTING_SCHEMA = "path string, file_name string, bytes bigint, modified timestamp"
 
@@ -18,17 +18,20 @@ LISTING_SCHEMA = "path string, file_name string, bytes bigint, modified timestam
 def read_raw_csv(spark: SparkSession, path: str | Sequence[str], by_name: bool = False) -> DataFrame:
     """Raw rows as text; ``path`` may be a file, a folder or a glob.
 
-    Columns are taken by position under the declared schema, so planning opens
-    no file. ``by_name`` takes them by the header of the first file instead,
-    for files that hold other columns or another order.
+    Columns are expected as declared; ``by_name`` expects those of the first
+    file's header instead, for files that hold other columns or another order.
+    Planning reads that header only, but every file's own header is compared
+    when the file is read, and a file that differs fails with its name.
     """
-    reader = spark.read.option("header", True)
     paths = [path] if isinstance(path, str) else list(path)
-    if by_name:
-        named = reader.csv(paths)
-        present = set(named.columns)
-        return named.select([(F.col(c) if c in present else F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS])
-    return reader.schema(RAW_FILE_SCHEMA).csv(paths).select(*RAW_COLUMNS)
+    reader = spark.read.option("header", True)
+    found = reader.csv(paths).columns
+    # The unnamed column that a comma at the end of the line makes.
+    trailing = [""] if found[-1] == f"_c{len(found) - 1}" else []
+    names = [*(found[: len(found) - len(trailing)] if by_name else RAW_COLUMNS), *trailing]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    read = reader.option("enforceSchema", False).schema(schema).csv(paths)
+    return read.select([(F.col(c) if c in names else F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS])
 
 
 def read_inferred_csv(
@@ -84,11 +87,20 @@ def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str = "*"
     )
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    """Size of all files of a scan, from their listing."""
-    return list_files(spark, path).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+def total_bytes(scan: DataFrame) -> int:
+    """Size of all files of a scan, as its plan states it; no job is run."""
+    leaves = scan._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
-def rows_per_file(scan: DataFrame) -> DataFrame:
-    """Row count of each file that a file scan reads."""
-    return scan.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("row_count"))
+def rows_per_file(files: DataFrame, scan: DataFrame) -> DataFrame:
+    """The listed files (of :func:`list_files`) with ``row_count``; 0 for a file from which the scan reads no row.
+
+    Files are matched by their full path: tasks of one write use the same name in every folder.
+    """
+    plain = lambda path: F.regexp_replace(path, "^([a-z0-9]+:)/*", "$1/")  # noqa: E731  file:/x and file:///x are one
+    counted = scan.groupBy(F.col("_metadata.file_path").alias("_at")).agg(F.count("*").alias("row_count"))
+    # The scan's path is encoded as a URI, the listing's is not.
+    decoded = F.url_decode(F.replace(F.col("_at"), F.lit("+"), F.lit("%2B")))
+    joined = files.withColumn("_at", plain(F.col("path"))).join(counted.withColumn("_at", plain(decoded)), "_at", "left")
+    return joined.select(*files.columns, F.coalesce("row_count", F.lit(0)).alias("row_count"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skytally.functions.keys import single_id
 
@@ -23,11 +24,24 @@ def tumbling_count(
     """Count per key and event-time window.
 
     The watermark drops rows that come later than ``lateness`` and frees closed
-    windows, so state holds open windows only. The cast is needed because
-    watermarks take timestamps with a zone.
+    windows, so state holds open windows only. ``lateness`` has to cover the
+    disorder of the source, also across micro-batches. Watermarks take
+    timestamps with a zone: moments without one count as UTC, whatever the
+    session's zone, and the windows come back without one.
     """
-    timed = stream.withColumn(moment, F.col(moment).cast("timestamp")).withWatermark(moment, lateness)
+    plain = isinstance(stream.schema[moment].dataType, T.TimestampNTZType)
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    if plain:
+        since = f"(`{moment}` - {epoch})"  # an interval; differences by unit would go through the session's zone
+        minutes = f"((extract(DAY FROM {since}) * 24L + extract(HOUR FROM {since})) * 60 + extract(MINUTE FROM {since}))"
+        micros = F.expr(f"{minutes} * 60000000 + bigint(extract(SECOND FROM {since}) * 1000000)")
+        stream = stream.withColumn(moment, F.timestamp_micros(micros))
+    timed = stream.withWatermark(moment, lateness)
     counts = timed.groupBy(F.window(moment, width).alias("_w"), key).agg(F.count("*").alias(name))
-    return counts.select(
-        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), key, name
-    )
+
+    def bound(field: str) -> Column:
+        if plain:
+            return F.expr(f"{epoch} + make_dt_interval(0, 0, 0, unix_micros(_w.{field}) / 1000000)")
+        return F.col(f"_w.{field}")
+
+    return counts.select(bound("start").alias("window_start"), bound("end").alias("window_end"), key, name)

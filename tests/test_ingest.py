@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skytally.functions.calendar import calendar_parts, clock_timestamp, day_number
 from skytally.functions.conversion import as_date, as_flag, as_float
-from skytally.functions.keys import joined_id, portable_bucket, safe_id, value_bucket
+from skytally.functions.keys import joined_id, portable_hash, safe_id, value_hash
 from skytally.operators import normalise
 from skytally.schemas import CLOCK_COLUMNS, PROCESSED_SCHEMA, RAW_COLUMNS, WIRE_SCHEMA
 from skytally.sinks.tables import counted, write_published
@@ -81,6 +81,19 @@ def test_columns_by_position_and_by_name(spark, tmp_path):
     assert by_name.columns == RAW_COLUMNS
     (row,) = by_name.collect()
     assert (row.Origin, row.Div5TailNum) == ("LGA", None)
+    with pytest.raises(Exception, match="a.csv"):
+        tables.read_raw_csv(spark, path).select("Origin", "Dest").collect()
+
+
+@pytest.mark.parametrize("by_name", [False, True])
+def test_a_file_with_another_header_is_refused(spark, tmp_path, by_name):
+    swapped = list(RAW_COLUMNS)
+    a, b = swapped.index("Origin"), swapped.index("Dest")
+    swapped[a], swapped[b] = "Dest", "Origin"
+    write_csv(tmp_path / "1.csv", {})
+    write_csv(tmp_path / "2.csv", {}, columns=swapped)
+    with pytest.raises(Exception, match="[12].csv"):
+        tables.read_raw_csv(spark, str(tmp_path), by_name).select("Origin").collect()
 
 
 def test_folder_list_and_glob(spark, tmp_path):
@@ -117,7 +130,20 @@ def test_listing(spark, tmp_path):
     }
     assert tables.list_files(spark, f"{tmp_path}/absent").count() == 0
     scan = spark.read.option("recursiveFileLookup", True).option("header", True).csv(str(tmp_path))
-    assert rows(tables.rows_per_file(scan)) == [("a.csv", 1), ("b.csv", 2)]
+    found = tables.rows_per_file(tables.list_files(spark, str(tmp_path), "*.csv"), scan)
+    assert rows(found.select("file_name", "row_count")) == [("a.csv", 1), ("b.csv", 2)]
+    assert tables.total_bytes(scan) == sum(p.stat().st_size for p in tmp_path.rglob("*.csv"))
+
+
+def test_manifest_of_a_partitioned_table(spark, tmp_path):
+    """One task writes the same file name into every folder, and names may need escapes."""
+    table = spark.range(1000).selectExpr("id", "concat('k +%', id % 10) AS k").repartition(2)
+    table.write.partitionBy("k").parquet(f"{tmp_path}/t")
+    spark.range(0).write.parquet(f"{tmp_path}/t/k=none")
+    files = tables.list_files(spark, f"{tmp_path}/t", "*.parquet")
+    found = tables.rows_per_file(files, spark.read.schema("id long").parquet(f"{tmp_path}/t/*"))
+    assert found.count() == files.count() > 10 and found.filter("row_count = 0").count() == 1
+    assert found.agg(F.sum("row_count")).first()[0] == 1000
 
 
 def test_written_table_prunes_months(spark, tmp_path):
@@ -142,15 +168,16 @@ def test_calendar(spark):
     for row in parts.collect():
         assert (row.YEAR, row.MONTH, row.DAYOFMONTH) == (row.d.year, row.d.month, row.d.day)
         assert row.DAYOFWEEK == row.d.isoweekday() % 7 + 1
-        assert row.n == (row.d - dt.date(1900, 1, 1)).days
+        assert row.n == (row.d - dt.date(1970, 1, 1)).days
 
 
 def test_clock(spark):
     cases = [("2024-01-08", "0856"), ("2024-01-08", "5"), ("2024-12-31", "2400"), ("2024-01-08", "2561"), (None, "0856"), ("2024-01-08", None)]
+    cases += [("2024-01-08", c) for c in ("", " ", "23599", "12345", "8:56", "-856", "085a")] + [("2024-02-30", "0856"), ("x", "0856")]
     frame = spark.createDataFrame(cases, "d string, c string")
-    found = [r[0] for r in frame.select(clock_timestamp(F.col("d"), F.col("c")).cast("timestamp_ntz")).collect()]
+    found = [r[0] for r in frame.select(clock_timestamp(F.col("d"), F.col("c"))).collect()]
     moment = dt.datetime
-    assert found == [moment(2024, 1, 8, 8, 56), moment(2024, 1, 8, 0, 5), moment(2025, 1, 1), None, None, None]
+    assert found == [moment(2024, 1, 8, 8, 56), moment(2024, 1, 8, 0, 5), moment(2025, 1, 1)] + [None] * (len(cases) - 3)
 
 
 def test_flags_and_floats(spark):
@@ -167,13 +194,13 @@ def test_ids(spark):
     assert None not in safe and len(set(safe)) == 5
 
 
-def test_bucket_is_the_same_in_any_partitioning(spark):
+def test_hash_is_the_same_in_any_partitioning(spark):
     frame = spark.range(1000).selectExpr("id", "string(id % 7) AS t")
-    for bucket in (portable_bucket, value_bucket):
-        one = frame.coalesce(1).select("id", bucket(["id", "t"], 100).alias("b"))
-        many = frame.repartition(13).select("id", bucket(["id", "t"], 100).alias("b"))
+    for place, low, high in ((portable_hash, 0, 1 << 32), (value_hash, -(1 << 63), 1 << 63)):
+        one = frame.coalesce(1).select("id", place(["id", "t"], "s").alias("b"))
+        many = frame.repartition(13).select("id", place(["id", "t"], "s").alias("b"))
         assert rows(one) == rows(many)
-        assert all(0 <= r.b < 100 for r in one.collect())
+        assert all(low <= r.b < high for r in one.collect())
 
 
 def test_numeric_and_required(spark):

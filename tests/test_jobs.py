@@ -6,7 +6,7 @@ from conftest import rows
 from skytally import cli
 from skytally.plans import catalogue, jobs
 from skytally.session import shared_folder, work_folder
-from skytally.sinks.tables import ResultSink, search_index_sink
+from skytally.sinks.tables import ResultSink, connector_batch_writer, search_index_sink
 from skytally.sources import messages, tables
 from skytally.sources.star import flights, raw_flights
 
@@ -59,6 +59,31 @@ def test_training_job(spark, published, tmp_path):
     assert set(result) == {"IS_DELAY", "CANCELLED"}
     assert (tmp_path / "delay_prediction" / "metadata").exists() and (tmp_path / "cancellation_prediction").exists()
     assert all(0 <= r.accuracy <= 1 and 0 <= r.f1 <= 1 for r in result.values())
+    assert all(r.true_positives + r.false_negatives > 0 for r in result.values())
+    jobs.score(spark, published, f"{tmp_path}/delay_prediction", f"{tmp_path}/scored", preview=2)
+    scored = spark.read.parquet(f"{tmp_path}/scored")
+    assert scored.count() == 6000 and {r[0] for r in scored.select("prediction").distinct().collect()} <= {0.0, 1.0}
+
+
+def test_broker_options_and_what_wins_over_them():
+    args = cli.parser().parse_args(
+        ["speed", "--target", "t", "--checkpoint", "c", "--format", "kafka", "--servers", "b:9092", "--topic", "f"]
+        + ["--option", "startingOffsets=latest"]
+    )
+    assert cli._options(args, messages.kafka_options) == messages.kafka_options("b:9092", "f", "latest")
+    args = cli.parser().parse_args(["publish", "--source", "s", "--format", "kafka", "--servers", "b:9092", "--topic", "f"])
+    assert cli._options(args, messages.kafka_writer_options) == messages.kafka_writer_options("b:9092", "f")
+
+
+def test_a_sink_without_ids_takes_no_micro_batches(tmp_path):
+    with pytest.raises(ValueError, match="ids"):
+        connector_batch_writer(ResultSink(str(tmp_path)), "raw")
+
+
+def test_single_ids_are_never_null(spark, tmp_path):
+    sink = ResultSink(str(tmp_path), "json", id_option="key")
+    sink.write(spark.createDataFrame([("a", 1), (None, 2)], "k string, n int"), "t", ["k"])
+    assert rows(spark.read.json(f"{tmp_path}/t").select("k", "n")) == [("(none)", 2), ("a", 1)]
 
 
 def test_command_line(spark, csv, sf_dir, tmp_path, monkeypatch):
@@ -103,7 +128,10 @@ def test_sink_options():
     class Frame:
         write = Writer()
 
-    search_index_sink("flights_", "http://search:9200").write(Frame, "delay", ["OP_CARRIER"])
+        def withColumn(self, name, column):
+            return self
+
+    search_index_sink("flights_", "http://search:9200").write(Frame(), "delay", ["OP_CARRIER"])
     assert Frame.write.seen == {
         "format": "org.elasticsearch.spark.sql", "mode": "overwrite", "es.nodes": "http://search:9200",
         "es.resource": "flights_delay", "es.mapping.id": "OP_CARRIER",

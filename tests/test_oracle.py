@@ -5,6 +5,7 @@ from compare import connect, spark_rows, sql_rows
 
 import __spark_entry__ as driver
 from skytally.plans.oracles import oracle_sql
+from skytally.plans.queries import queries
 
 SQL = oracle_sql()
 
@@ -23,9 +24,9 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert found == wanted
 
 
-def test_every_query_but_training_has_sql():
-    assert set(driver.queries()) - set(SQL) == {"ml_delay_metrics", "ml_cancel_metrics"}
-    assert driver.oracle_sql() == SQL
+def test_every_query_has_sql():
+    assert set(queries()) == set(SQL)
+    assert SQL.items() <= driver.oracle_sql().items() and queries().keys() <= driver.queries().keys()
 
 
 def test_entry(spark):

@@ -1,18 +1,26 @@
 """Plans and settings that matter on large inputs."""
 
+import os
+import subprocess
+import sys
+import time
+from pathlib import Path
+
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from skytally.plans import catalogue, jobs
-from skytally.session import size_for, sizing, stage, staged
-from skytally.sinks.tables import write_published
-from skytally.sources.star import flights
-from skytally.sources.tables import keep, list_files
+from skytally.session import sized_for, sizing, stage, staged
+from skytally.plans.queries import queries
+from skytally.sinks.tables import ResultSink, write_published
+from skytally.sources.star import flights, raw_flights
+from skytally.sources.tables import keep, list_files, total_bytes
 
 MIB = 1 << 20
-BATCH_QUERIES = sorted(n for n in driver.queries() if not n.startswith(("stream_", "ml_", "csv_", "parquet_", "flight_summary_speed")))
+NOT_ONE_PLAN = ("stream_", "ml_", "csv_", "parquet_", "flight_summary_speed", "sink_", "counts_on_write", "ingest_", "kept_", "sorted_")
+BATCH_QUERIES = sorted(n for n in queries() if not n.startswith(NOT_ONE_PLAN))
 
 
 @pytest.fixture
@@ -126,16 +134,56 @@ def test_sizing():
 def test_settings_are_only_raised(spark):
     keys = list(sizing(0))
     before = {k: spark.conf.get(k) for k in keys}
-    try:
-        size_for(spark, 1)
+    with sized_for(spark, 1):
         assert {k: spark.conf.get(k) for k in keys} == before
-        size_for(spark, 100 << 40)
-        assert {k: int(spark.conf.get(k)) for k in keys} == sizing(100 << 40)
-        size_for(spark, 10 << 40)
+    with pytest.raises(RuntimeError), sized_for(spark, 100 << 40):
         assert {k: int(spark.conf.get(k)) for k in keys} == sizing(100 << 40)
+        with sized_for(spark, 10 << 40):
+            assert {k: int(spark.conf.get(k)) for k in keys} == sizing(100 << 40)
+        raise RuntimeError
+    assert {k: spark.conf.get(k) for k in keys} == before
+
+
+def test_jobs_leave_the_settings_alone(spark, sf_dir, tmp_path):
+    keys = list(sizing(0))
+    before = {k: spark.conf.get(k) for k in keys}
+    raw_flights(spark, sf_dir).write.option("header", True).csv(f"{tmp_path}/raw")
+    jobs.preprocess(spark, f"{tmp_path}/raw", f"{tmp_path}/published")
+    jobs.analyse(spark, f"{tmp_path}/published", ResultSink(f"{tmp_path}/out"), ["dist_total_carrier"])
+    assert {k: spark.conf.get(k) for k in keys} == before
+
+
+def test_total_bytes_runs_no_job(spark, sf_dir):
+    spark.sparkContext.setJobGroup("bytes", "none is expected")
+    try:
+        scan = spark.read.schema("l_orderkey long").parquet(f"{sf_dir}/lineitem.parquet")
+        assert total_bytes(scan) == Path(f"{sf_dir}/lineitem.parquet").stat().st_size
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("bytes")) == []
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_suppliers_meet_nations_before_line_items(spark, sf_dir, no_broadcast):
+    plan = plan_of(flights(spark, sf_dir, "ORIGIN", "FL_DATE"))
+    lines = [line for line in plan.splitlines() if "hashpartitioning(s_nationkey" in line or "hashpartitioning(l_" in line]
+    assert not any("hashpartitioning(s_nationkey" in line and "l_shipdate" in line for line in lines) and len(lines) == 2
+
+
+def test_work_folders_go_with_the_session(tmp_path):
+    """The shared folder is as empty after an application as before it."""
+    code = (
+        "from skytally.session import build_session, stage\n"
+        f"spark = build_session('w', 'local[1]', spark__checkpoint__dir='file://{tmp_path}', spark__ui__enabled='false')\n"
+        "assert stage(spark.range(3), 'x').count() == 3\n"
+        f"import os; assert len(os.listdir('{tmp_path}/skytally')) == 1\n"
+    )
+    env = os.environ | {"PYTHONPATH": str(Path(__file__).resolve().parent.parent)}
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=180, env=env)
+    for _ in range(50):  # the JVM ends a little later
+        if os.listdir(f"{tmp_path}/skytally") == []:
+            break
+        time.sleep(0.2)
+    assert os.listdir(f"{tmp_path}/skytally") == []
 
 
 def test_clustered_by_day(spark, sf_dir, tmp_path):

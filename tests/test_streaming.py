@@ -10,7 +10,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.plans import jobs
+from skytally.plans import jobs, queries
 from skytally.schemas import RAW_COLUMNS, WIRE_SCHEMA, ZERO_DEFAULT_COLUMNS
 from skytally.sinks.tables import batch_folder_writer, latest_view, read_batches
 from skytally.sources import messages
@@ -122,7 +122,7 @@ def test_running_count_over_batches(spark, tmp_path):
     for i, names in enumerate(wave):
         put(tmp_path / "in", f"{i}.json", *[{"name": n} for n in names])
     stream = counts.running_count(read_in(spark, tmp_path / "in", maxFilesPerTrigger="1"), "name", "n")
-    query = control.run_available(stream, batch_folder_writer(f"{tmp_path}/out", files=1), f"{tmp_path}/cp", "update")
+    query = control.run_available(stream, batch_folder_writer(f"{tmp_path}/out"), f"{tmp_path}/cp", "update")
     assert len([p for p in query.recentProgress if p.numInputRows]) == 3
     batches = read_batches(spark, f"{tmp_path}/out", stream.schema)
     assert rows(latest_view(batches, ["name"]).select("name", "n")) == sorted(
@@ -241,6 +241,55 @@ def test_speed_layer(spark, tmp_path):
     )
 
 
+@pytest.mark.parametrize("name", ["stream_running_count", "stream_tumbling_count", "flight_summary_speed", "stream_origin_minutes"])
+def test_counts_do_not_depend_on_batches(spark, sf_dir, name):
+    """Ten micro-batches or more, as many as there are files, and a single one give the same rows."""
+    query = getattr(queries, name)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        assert rows(query(spark, sf_dir, 1)) == rows(query(spark, sf_dir, 10_000))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_windows_of_moments_without_zone(spark, tmp_path, zone):
+    """The hours around a change of clocks stay apart."""
+    schema = T.StructType().add("t", T.TimestampNTZType()).add("name", T.StringType())
+    moments = [f"2024-10-27T0{h}:30:00.000000" for h in range(5)] + [f"2024-03-31T0{h}:30:00.000000" for h in range(5)]
+    put(tmp_path / "in", "0.json", *[{"t": t, "name": "a"} for t in moments])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        stream = counts.tumbling_count(read_in(spark, tmp_path / "in", schema), "t", "name", "1 hour", "400 days", "n")
+        control.run_available(stream, batch_folder_writer(f"{tmp_path}/out"), f"{tmp_path}/cp", "update")
+        found = sorted((str(r.window_start), r.n) for r in read_batches(spark, f"{tmp_path}/out", stream.schema).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == sorted((t[:13].replace("T", " ") + ":00:00", 1) for t in moments)
+
+
+def test_windows_of_the_speed_layer_and_compaction(spark, tmp_path):
+    flight = {"OriginCityName": "Omaha, NE", "FlightDate": "2024-01-08", "CRSDepTime": "0856"}
+    put(tmp_path / "in", "0.json", flight, flight, flight | {"CRSDepTime": ""})
+    stream = messages.message_stream(spark, "text", path=str(tmp_path / "in"))
+    out = f"{tmp_path}/out"
+    writers = (*jobs.folder_writers(out), f"{tmp_path}/cp", None, 2, batch_folder_writer(f"{out}/by_minute"))
+    for query in jobs.speed_layer(stream, *writers):
+        control.await_end(query)
+    (window,) = spark.read.parquet(f"{out}/by_minute").collect()
+    assert (str(window.window_start), window.n) == ("2024-01-08 08:56:00", 2)
+    put(tmp_path / "in", "1.json", flight)
+    for query in jobs.speed_layer(stream, *writers):
+        control.await_end(query)
+    batches = spark.read.parquet(f"{out}/by_origin")
+    jobs.compact(spark, f"{out}/by_origin", f"{tmp_path}/current", ["OriginCityName"])
+    current = spark.read.parquet(f"{tmp_path}/current")
+    assert rows(current) == rows(latest_view(batches, ["OriginCityName"]).select(*current.columns))
+    assert batches.count() == 2 and [r.recent_flight_count for r in current.collect()] == [4]
+
+
 def test_no_batches_give_no_rows(spark, tmp_path):
     empty = read_batches(spark, f"{tmp_path}/none", SMALL)
     assert empty.count() == 0 and empty.columns == ["name", "amount", "batch_id"]
