@@ -5,7 +5,7 @@ bounded length, the substrings joined with the piece table, and the pieces found
 lattice. A fold over the edges chooses the path. The vocabulary is one of byte-pair encoding, whose path isn't the one
 of the best sum of scores: it comes from merging, again and again, the two neighbours whose union is the best piece. So
 the fold, a higher-order aggregate with the open borders as its state, takes the best such edge in each step and
-closes the border inside it. (Units of more than 62 characters don't fit the state's bits; the same rule folds them
+closes the border inside it. (Units of more than 61 characters don't fit the state's bits; the same rule folds them
 with a heap.) Blocks of documents then put the ids of their units together.
 """
 
@@ -24,8 +24,8 @@ from skytally.llm.rows import binary
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
-#: Bits of the state, but for the sign and the end.
-LONGEST = 62
+#: Characters whose borders fit the bits of the state.
+LONGEST = 61
 #: Ids of <0x00> and the following bytes: fixed by vocabularies with byte fallback.
 BYTE_0 = 3
 #: Bytes of text in a block of documents, on average.
