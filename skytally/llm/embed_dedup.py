@@ -113,6 +113,8 @@ def _links(members: DataFrame, threshold: float, kind: str) -> DataFrame:
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             codes = np.frombuffer(b"".join(whole.column(10).to_pylist()), "<u8").reshape(size, -1)[:, :t]
             left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+            if not len(left) or not len(right):  # by chance no member has the block's number
+                continue
             found_a, found_b = [], []
             for i in range(0, len(left), 256):
                 some = left[i : i + 256]
