@@ -22,7 +22,12 @@ def repeated_edges(windows: DataFrame) -> DataFrame:
 
     ``next`` (``prev``) is the edge that follows (precedes) all occurrences, NULL if there is no such one.
     """
-    one = lambda c: F.when((F.min(c) == F.max(c)) & (F.count(c) == F.count("*")), F.min(c))
+    # The end of a text counts as an edge of its own, so that it tells occurrences apart like any other edge.
+    end = F.xxhash64("__did", "p")
+    windows = windows.select(
+        "edge", "__did", "p", F.coalesce("after", end).alias("after"), F.coalesce("before", end).alias("before")
+    )
+    one = lambda c: F.when(F.min(c) == F.max(c), F.min(c))
     edges = windows.groupBy("edge").agg(
         F.min("__did").alias("first"),
         F.max("__did").alias("last"),

@@ -92,13 +92,13 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
                 first.clear()
             if keys:
                 h1, key = pa.array(of, pa.int64()), np.array(keys, dtype=np.int64)
-                where = pa.array(np.where(known, np.array(of, dtype=np.int64), key))
                 at = pa.array(np.concatenate(places).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([where, pa.array(known), pa.array(key), h1, at], names)
+                yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(key), h1, at], names)
 
-    names = ["where", "known", "key", "__h1", "at"]
-    found = docs.select("__h1", "__text").mapInArrow(scan, "where long, known boolean, key long, __h1 long, at int")
-    ordered = found.repartition("where").drop("where").sortWithinPartitions("known", "key", "__h1", "at")
+    names = ["known", "key", "__h1", "at"]
+    found = docs.select("__h1", "__text").mapInArrow(scan, "known boolean, key long, __h1 long, at int")
+    place = F.when(F.col("known"), F.col("__h1")).otherwise(F.col("key"))
+    ordered = found.repartition(place).sortWithinPartitions("known", "key", "__h1", "at")
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
