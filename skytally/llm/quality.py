@@ -3,12 +3,15 @@
 Four statistics of a text become a vector of rates. For each language and source the
 minimum-covariance-determinant estimate of centre and covariance is found by concentration
 steps: take the three quarters of rows that lie nearest to the present estimate, estimate
-again from them. After a reweighting step, a row is rejected when its Mahalanobis distance
-is beyond what the estimate allows. Everything is DataFrame functions; the text is read once.
+again from them. The same is done for each language as a whole, and a source's estimate is drawn
+towards its language's the more the fewer rows it has; languages never share an estimate. After
+a reweighting step, a row is rejected when its Mahalanobis distance is beyond what the estimate
+and the number of rows behind it allow. Everything is DataFrame functions; the text is read once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -32,10 +35,10 @@ SHARE = 0.75
 CONSISTENCY = 1.487
 #: 97.5 % of the chi-squared distribution with four degrees of freedom: what the reweighting step keeps.
 REWEIGHT = 11.143
-#: Rejected beyond this squared distance; normal vectors lie beyond it once in 600,000.
+#: Rejected beyond this squared distance where the estimate rests on very many rows; see :func:`_kept` for few.
 CUT = 33.0
-#: Sources with fewer rows are pooled with the other small sources of their language, small languages with each other.
-LEAST_ROWS = 100
+#: So many rows of the language count in the estimate of each of its sources, besides the source's own.
+PRIOR_ROWS = 100
 STEPS = 3
 SALTS = 16
 
@@ -95,18 +98,15 @@ def base_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _cells(table: DataFrame, lang_col: str, source_col: str) -> DataFrame:
-    """Adds ``cell``: language and source where they have rows enough, else the language's or the table's small ones."""
+    """Adds ``cell``: language ``l`` and source ``s``. No source's name is empty: that stands for the whole language."""
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
-    sizes = table.groupBy(name(lang_col).alias("l"), name(source_col).alias("s")).agg(F.count("*").alias("n"))
-    small = F.col("n") < LEAST_ROWS
-    pooled = sizes.where(small).groupBy("l").agg(F.sum("n").alias("pool"))
-    cell = (
-        F.when(~small, F.struct("l", "s"))
-        .when(F.col("pool") >= LEAST_ROWS, F.struct("l", F.lit("").alias("s")))
-        .otherwise(F.struct(F.lit("").alias("l"), F.lit("").alias("s")))
-    )
-    cells = stage(sizes.join(pooled, "l", "left").select("l", "s", cell.alias("cell")), "quality-cells")
-    return _salted_join(table.withColumns({"l": name(lang_col), "s": name(source_col)}), cells, ["l", "s"]).drop("l", "s")
+    return table.withColumn("cell", F.struct(name(lang_col).alias("l"), name(source_col).alias("s")))
+
+
+def _of_language(by_cell: DataFrame, columns: list[str]) -> DataFrame:
+    """Adds to each cell the ``columns`` of its language, named ``of_*``."""
+    whole = by_cell.where("cell.s = ''").select(F.col("cell.l").alias("l"), *[F.col(c).alias(f"of_{c}") for c in columns])
+    return by_cell.withColumn("l", F.col("cell.l")).join(whole, "l").drop("l")
 
 
 def _salted_join(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
@@ -116,20 +116,20 @@ def _salted_join(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFram
 
 
 def _estimates(rows: DataFrame) -> DataFrame:
-    """Mean and covariance of the parts for each cell, as columns ``m_*`` and ``c_*_*``."""
+    """Mean and covariance of the parts for each cell, as columns ``m_*`` and ``c_*_*``, and the number of ``rows``."""
     parts = list(PARTS)
     means = [F.avg(p).alias(f"m_{p}") for p in parts]
     covs = [F.covar_pop(p, q).alias(f"c_{p}_{q}") for i, p in enumerate(parts) for q in parts[: i + 1]]
-    return rows.groupBy("cell").agg(*means, *covs)
+    return rows.groupBy("cell").agg(*means, *covs, F.count("*").alias("rows"))
 
 
 def _factored(estimates: DataFrame, scale: float) -> DataFrame:
-    """Cholesky factor ``f_*_*`` of the scaled covariance with the floors added to its diagonal."""
+    """Scales the covariance and adds ``f_*_*``, its Cholesky factor with the floors added to the diagonal."""
     parts = list(PARTS)
-    out = estimates
+    out = estimates.withColumns({c: scale * F.col(c) for c in estimates.columns if c.startswith("c_")})
     for i, p in enumerate(parts):
         for j, q in enumerate(parts[: i + 1]):
-            entry = scale * F.col(f"c_{p}_{q}")
+            entry = F.col(f"c_{p}_{q}")
             rest = entry - sum((F.col(f"f_{p}_{r}") * F.col(f"f_{q}_{r}") for r in parts[:j]), F.lit(0.0))
             if i == j:
                 # The floor bounds the pivot too: rounding can't make it negative.
@@ -137,25 +137,27 @@ def _factored(estimates: DataFrame, scale: float) -> DataFrame:
             else:
                 value = rest / F.col(f"f_{q}_{q}")
             out = out.withColumn(f"f_{p}_{q}", value)
-    return out.select("cell", *[f"m_{p}" for p in parts], *[c for c in out.columns if c.startswith("f_")])
+    return out
 
 
-def _distance(rows: DataFrame, factors: DataFrame) -> DataFrame:
-    """Adds ``d2``, the squared Mahalanobis distance from the cell's centre."""
+def _distance(rows: DataFrame, factors: DataFrame, *more: str) -> DataFrame:
+    """Adds ``d2``, the squared Mahalanobis distance from the cell's centre, and the columns ``more`` of ``factors``."""
     parts = list(PARTS)
-    out = _salted_join(rows, factors, ["cell"])
+    used = [c for c in factors.columns if c[:2] in ("m_", "f_")]
+    out = _salted_join(rows, factors.select("cell", *used, *more), ["cell"])
     for i, p in enumerate(parts):
         rest = F.col(p) - F.col(f"m_{p}") - sum((F.col(f"f_{p}_{q}") * F.col(f"z_{q}") for q in parts[:i]), F.lit(0.0))
         out = out.withColumn(f"z_{p}", rest / F.col(f"f_{p}_{p}"))
     squares = sum((F.col(f"z_{p}") * F.col(f"z_{p}") for p in parts), F.lit(0.0))
-    return out.withColumn("d2", squares).select(*rows.columns, "d2")
+    return out.withColumn("d2", squares).select(*rows.columns, "d2", *more)
 
 
-def robust_outliers(table: DataFrame) -> DataFrame:
-    """Adds ``d2`` to rows with a ``cell``, a spreading number ``spread`` and the parts of :data:`PARTS`."""
+def robust_estimates(table: DataFrame) -> DataFrame:
+    """Centre, covariance and factor for each ``cell`` of rows with a spreading number ``spread`` and :data:`PARTS`."""
     parts = list(PARTS)
-    quantiles = table.groupBy("cell").agg(*[F.percentile_approx(p, [0.16, 0.5, 0.84], 10_000).alias(p) for p in parts])
-    start = [F.col(p)[1].alias(f"m_{p}") for p in parts]
+    quantiles = table.groupBy("cell").agg(*[F.percentile_approx(p, [0.16, 0.5, 0.84], 10_000).alias(p) for p in parts], F.count("*").alias("rows"))
+    start = [F.col("rows")]
+    start += [F.col(p)[1].alias(f"m_{p}") for p in parts]
     for i, p in enumerate(parts):
         half = (F.col(p)[2] - F.col(p)[0]) / 2
         start += [(half * half if p == q else F.lit(0.0)).alias(f"c_{p}_{q}") for q in parts[: i + 1]]
@@ -168,8 +170,44 @@ def robust_outliers(table: DataFrame) -> DataFrame:
     inside = _distance(table, factors).where(F.col("d2") <= REWEIGHT)
     # A cell whose rows all lie outside keeps the estimate it has.
     last = _factored(_estimates(inside), 1.0)
-    last = stage(last.unionByName(factors.join(last, "cell", "left_anti")), "quality-final")
-    return _distance(table, last)
+    return stage(last.unionByName(factors.join(last, "cell", "left_anti")), "quality-final")
+
+
+def robust_outliers(table: DataFrame) -> DataFrame:
+    """Adds ``d2`` to such rows."""
+    return _distance(table, robust_estimates(table))
+
+
+def _drawn(estimates: DataFrame, shifts: DataFrame) -> DataFrame:
+    """Estimates of the cells, drawn towards their language's as if that stood for :data:`PRIOR_ROWS` rows.
+
+    That a source's few rows lie apart does not widen its covariance: two odd rows of four would excuse each other.
+    ``of_rows`` is the number of rows behind the language's estimate. ``shift`` is where the language's centre of
+    lengths lies as the cell counts them.
+    """
+    parts = list(PARTS)
+    moments = [c for c in estimates.columns if c[:2] in ("m_", "c_")]
+    both = _of_language(estimates, [*moments, "rows"]).where("cell.s <> ''").join(shifts.select("cell", "shift"), "cell")
+    own = F.col("rows") / (F.col("rows") + PRIOR_ROWS)
+    theirs = {p: F.col(f"of_m_{p}") + (F.col("shift") if p == "length" else F.lit(0.0)) for p in parts}
+    out = [(own * F.col(f"m_{p}") + (1 - own) * theirs[p]).alias(f"m_{p}") for p in parts]
+    for i, p in enumerate(parts):
+        for q in parts[: i + 1]:
+            c = f"c_{p}_{q}"
+            out.append((own * F.col(c) + (1 - own) * F.col(f"of_{c}")).alias(c))
+    return stage(_factored(both.select("cell", *out, "of_rows"), 1.0), "quality-drawn")
+
+
+def _kept(d2: Column, rows: Column) -> Column:
+    """Whether a normal vector lies beyond ``d2`` at least as often as beyond :data:`CUT` when all is known.
+
+    The distance from an estimate by ``rows`` rows follows Hotelling's law: that of F with 4 and ``rows`` - 4 degrees
+    of freedom, whose tail has a closed form. The fewer the rows, the farther it reaches; four or fewer reject nothing.
+    """
+    n = rows.cast("double")
+    half = F.greatest(n - 4, F.lit(0.0)) / 2
+    y = 1 / (1 + d2 * n / F.greatest(n * n - 1, F.lit(1.0)))
+    return half * F.ln(y) + F.log1p(half * (1 - y)) >= math.log1p(CUT / 2) - CUT / 2
 
 
 def judge(
@@ -178,8 +216,8 @@ def judge(
     """One row per document: its id, the statistics of :data:`BASE`, ``base_failed``, ``d2``, ``kept``, ``row_hash``.
 
     ``base_failed``: fewer than 20 words, or more than 30 % of the words in repeated windows; such rows take no part
-    in the estimates and have no ``d2``. NULL language or source is a group of its own. Repeated rows are judged
-    alike; so are rows with a NULL id. An empty table gives an empty table. ``row_hash`` hashes id and text.
+    in the estimates and have no ``d2``. NULL language or source is a group of its own. A language of few rows
+    rejects nothing beyond the base limits. Repeated rows are judged alike; so are rows with a NULL id. An empty table gives an empty table. ``row_hash`` hashes id and text.
     """
     inner = docs.select(
         F.col(id_col).alias("id"),
@@ -192,10 +230,16 @@ def judge(
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     good = table.where(~F.col("base_failed")).withColumn("spread", F.xxhash64("row_hash", "id"))
     good = stage(_cells(good, "lang", "source"), "quality-rows")
+    views = good.withColumn("cell", F.explode(F.array("cell", F.struct(F.col("cell.l").alias("l"), F.lit("").alias("s")))))
     # The mean word length of a short text scatters more; it is drawn towards the cell's centre accordingly.
     log_length = F.ln(F.greatest(F.col("word_chars"), F.lit(1)) / n)
-    centre = stage(good.groupBy("cell").agg(F.percentile_approx(log_length, 0.5, 10_000).alias("centre")), "quality-centre")
-    vectors = _salted_join(good, centre, ["cell"]).withColumns(
+    middle = [F.percentile_approx(log_length, 0.5, 10_000).alias("middle"), F.count("*").alias("rows")]
+    middles = stage(views.groupBy("cell").agg(*middle), "quality-middle")
+    total = F.col("rows") + PRIOR_ROWS
+    centre = (F.col("rows") * F.col("middle") + PRIOR_ROWS * F.col("of_middle")) / total
+    centres = _of_language(middles, ["middle"]).select("cell", centre.alias("centre"), (F.col("of_middle") - centre).alias("shift"))
+    centres = stage(centres, "quality-centre")
+    vectors = _salted_join(views, centres.drop("shift"), ["cell"]).withColumns(
         {
             "length": (log_length - F.col("centre")) * F.sqrt(n / (n + 60)),
             "symbols": F.log1p(F.col("n_symbols") / n),
@@ -204,7 +248,9 @@ def judge(
         }
     )
     vectors = stage(vectors.drop("centre"), "quality-vectors")
-    judged = robust_outliers(vectors).select(*table.columns, "d2", (F.col("d2") <= CUT).alias("kept"))
+    drawn = _drawn(robust_estimates(vectors), centres)
+    judged = _distance(vectors.where("cell.s <> ''"), drawn, "of_rows")
+    judged = judged.select(*table.columns, "d2", _kept(F.col("d2"), F.col("of_rows")).alias("kept"))
     failed = table.where("base_failed").withColumns({"d2": F.lit(None).cast("double"), "kept": F.lit(False)})
     return judged.unionByName(failed).withColumnRenamed("id", id_col).drop("lang", "source")
 

@@ -1,5 +1,6 @@
 """Operators on documents against plain versions, over rows with every difficulty, and over none."""
 
+import random
 from collections import Counter
 
 import brute
@@ -91,6 +92,19 @@ def test_outliers_go_and_clean_documents_stay(spark, sf_dir):
     assert shares[1] == 1.0 and shares[0] < 0.1
 
 
+def test_languages_are_not_judged_by_each_other(spark):
+    pick = random.Random(8)
+    text = lambda least, most: " ".join("".join(pick.choice("abcdefgh") for _ in range(pick.randint(least, most))) for _ in range(50))
+    rows = [(i, text(3, 9), "da", f"s{i % 3}") for i in range(60)]
+    rows += [(100 + i, text(1, 2), "zh", "s0") for i in range(2)] + [(102, text(1, 2), None, "s0")]
+    # A source of four rows, and one row of another kind, in a language of many.
+    rows += [(200 + i, text(3, 9), "en", "big") for i in range(200)] + [(400 + i, text(3, 9), "en", "small") for i in range(4)]
+    rows += [(404, text(1, 1), "en", "small"), (405, text(3, 9), "en", "single"), (406, text(1, 1), "en", "big")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality.judge(frame).collect()}
+    assert {i for i, k in kept.items() if not k} == {404, 406}
+
+
 def test_distance_equals_a_plain_computation(spark):
     """Estimates and distances of one cell, by the same steps in numpy; ties in the cuts are improbable."""
     pick = np.random.default_rng(3)
