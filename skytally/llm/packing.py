@@ -12,6 +12,7 @@ from __future__ import annotations
 import bisect
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -57,11 +58,31 @@ def byte_ranks(tokenizer: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in token): i for token, i in ids.items()}
 
 
-def encoder(ranks: dict[bytes, int]) -> Callable[[str], list[int]]:
-    """Ids of a text; the strings of special tokens are ordinary text."""
+def added_tokens(tokenizer: str) -> dict[str, int]:
+    """Ids of the strings that the library finds in a text before it splits it."""
+    added = json.loads(Path(tokenizer).read_text(encoding="utf-8"))["added_tokens"]
+    if any(token.get(flag) for token in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"{tokenizer} has added tokens that depend on the text around them")
+    return {token["content"]: token["id"] for token in added}
+
+
+def encoder(ranks: dict[bytes, int], added: dict[str, int] | None = None) -> Callable[[str], list[int]]:
+    """Ids of a text; the strings of ``added`` have ids of their own, the leftmost and longest first."""
     import tiktoken
 
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    ordinary = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    if not added:
+        return ordinary
+    whole = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")
+
+    def encode(text: str) -> list[int]:
+        parts = whole.split(text)
+        if len(parts) == 1:
+            return ordinary(text)
+        # Every other part is an added token.
+        return [x for i, part in enumerate(parts) for x in ([added[part]] if i % 2 else ordinary(part))]
+
+    return encode
 
 
 def pieces(
@@ -69,10 +90,10 @@ def pieces(
 ) -> DataFrame:
     """``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens`` and ``row`` (tells repeated rows apart) of every piece."""
     longest = max(1, window // PIECE_SHARE)
-    ranks = docs.sparkSession.sparkContext.broadcast(byte_ranks(tokenizer))  # as large as the vocabulary
+    ranks = docs.sparkSession.sparkContext.broadcast((byte_ranks(tokenizer), added_tokens(tokenizer)))  # as large as the vocabulary
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks.value)
+        encode = encoder(*ranks.value)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 some = batch.slice(i, 256)
@@ -148,7 +169,7 @@ def pack(
     A document is the ids of its text and then the id ``end``; a NULL or empty text is the id ``end`` alone. Every
     row is a document of its own, also a repeated one or one without an id. Pieces of a sequence lie side by side from
     offset 0, in the order of id, row and start. An empty table gives an empty table. ``tokenizer`` is the path of a
-    vocabulary file of the ``tokenizers`` library.
+    vocabulary file of the ``tokenizers`` library; its added tokens have their ids in a text too, as in the library.
     """
     cut = stage(pieces(docs, tokenizer, end, window, id_col, text_col), "pieces")
     rests = cut.where(F.col("length") < window)

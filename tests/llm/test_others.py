@@ -45,6 +45,18 @@ def test_ids_are_those_of_the_library(tokenizer):
         assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_have_the_ids_of_the_unmodified_library(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>x", "<|endoftext|", *strange(300, 9)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packing.pack(frame, BYTES, window=4096).where("start = 0").collect()}
+    for i, text in enumerate(texts):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 1]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, dtype="<u4")))
+
+
 def brute_texts():
     from material import made_up
 
