@@ -83,6 +83,11 @@ PAGES: list[list[Piece]] = [
     [(f"<nav>{MENU}</nav><p>{MORE}</p><p>{LONG}</p><p>It went on raining for days.</p>", [0, 0, 0, 1, 1, 1])],
     [(f"<p>{LONG}</p>", [1])],
     [("<p>A short page.</p>", [1])],
+    [
+        (f'<article class="post category-legal"><header class="entry-header"><h1>Low water</h1></header><p>{MORE}</p>', [1, 1]),
+        ("<p>It fell by <math><mi>x</mi><mo>=</mo><mn>2</mn></math> feet.</p></article>", [1]),
+        (f'<ul class="category-menu"><li>{NOTE}</li></ul>', [0]),
+    ],
     [(f"<p>{MORE}</p><p>{NOTE}</p>", [1, 1]), ("<footer>Imprint and contact</footer>", [0])],
 ]
 

@@ -25,7 +25,7 @@ BLOCK_TAGS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select "
     "summary table tbody td tfoot th thead tr ul".split()
 )
-RAW_TAGS = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes".split())
+RAW_TAGS = frozenset("script style textarea title noscript template iframe svg annotation annotation-xml xmp noembed noframes".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never part of an article.
 OUTSIDE_TAGS = frozenset("nav footer aside form menu button select option input label dialog fieldset legend datalist".split())
@@ -40,6 +40,11 @@ OUTSIDE_WORDS = re.compile(
 )
 #: Of these, what an ``article`` or ``main`` element itself may be.
 NOT_ARTICLE = re.compile(r"(?:^|[^a-z])(?:comment|reply|ad|advert|promo|teaser|related|sidebar)(?![a-z])")
+#: Topics of an article, which blog systems add to its classes.
+TOPICS = re.compile(r"(?<![\w-])(?:category|tag)-[\w-]+")
+#: Headers of articles, as opposed to those of pages; within an article also the plain word.
+ARTICLE_HEADER = re.compile(r"(?<![\w-])(?:entry|post|article)-?header(?![\w-])")
+HEADER = re.compile(r"(?<![\w-])header(?![\w-])")
 BESIDE = re.compile(r"\b(?:has|with|without|no)-[\w-]+")
 INSIDE_WORDS = re.compile(
     r"(?:^|[^a-z])(?:articles?|article-?\w*|post|post-?(?:body|content|text)|entry|entry-?content|content|main|main-?content|"
@@ -121,7 +126,10 @@ def blocks(page: str) -> list[Block]:
         if tag in ("br", "img"):
             parts.append((" ", False))
             continue
-        said = "" if closing else _labels(attributes)
+        above = stack[-1] if stack else _Open("", 0, 0)
+        said, label = ("", "") if closing else _labels(attributes, tag)
+        if above.inside:
+            said = HEADER.sub(" ", said)
         hidden = not closing and bool(HIDDEN.search(attributes))
         if tag not in BLOCK_TAGS and tag not in OUTSIDE_TAGS:
             # An inline element is part of the text around it, unless it says that it is something else.
@@ -141,11 +149,11 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID_TAGS or attributes.rstrip().endswith("/"):
             continue
         above = stack[-1] if stack else _Open("", 0, 0)
-        inside = int(above.inside or tag in INSIDE_TAGS or bool(INSIDE_WORDS.search(said)))
+        inside = int(above.inside or tag in INSIDE_TAGS or bool(INSIDE_WORDS.search(label)))
         outside = int(
             above.outside
             or tag in OUTSIDE_TAGS
-            or (tag == "header" and not above.inside)
+            or (tag == "header" and not above.inside and not ARTICLE_HEADER.search(label))
             or (tag not in ("body", "html") and bool((NOT_ARTICLE if tag in INSIDE_TAGS else OUTSIDE_WORDS).search(said)))
             or hidden
         )
@@ -154,10 +162,17 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _labels(attributes: str) -> str:
-    """Words of the attributes that name an element, but for those that name what it lacks or lies beside."""
+def _labels(attributes: str, tag: str) -> tuple[str, str]:
+    """Words of the attributes that name an element, but for those that name what it lacks or lies beside.
+
+    Of an article, the words of its topics are left out. The first text has no headers of articles, the second has.
+    """
     said = " ".join(a or b or c for a, b, c in LABEL.findall(attributes)).lower() if attributes else ""
-    return BESIDE.sub(" ", said)
+    said = BESIDE.sub(" ", said)
+    bare = TOPICS.sub(" ", said)
+    if bare != said and (tag in INSIDE_TAGS or INSIDE_WORDS.search(bare)):
+        said = bare
+    return ARTICLE_HEADER.sub(" ", said), said
 
 
 FEATURES = (

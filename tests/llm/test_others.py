@@ -166,6 +166,23 @@ def test_main_text(tree, article, text):
     assert html_text.main_text(PAGE.format(article=article), tree) == text
 
 
+@pytest.mark.parametrize(
+    "article, text",
+    [
+        ("<article><header class='entry-header'><h1>Head of it</h1></header><p>One word and more.</p></article>", "Head of it\nOne word and more."),
+        ("<article><header class='header'><h1>Head of it</h1></header><p>One word and more.</p></article>", "Head of it\nOne word and more."),
+        ("<div class='post'><div class='article-header'><h1>Head</h1></div><p>One word and more.</p></div>", "Head\nOne word and more."),
+        ("<div class='post category-search tag-social'><p>One word and more.</p></div>", "One word and more."),
+        ("<article class='category-newsletter tag-ad'><p>One word and more.</p></article>", "One word and more."),
+        ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='application/x-tex'>x=2</annotation></math> holds.</p></article>", "So x=2 holds."),
+        ("<article><p>One word and more.</p></article><ul class='category-menu'><li>This is a list of what else there is.</li></ul>", "One word and more."),
+        ("<article><p>One word and more.</p><div class='entry-content search-form'><p>What are you looking for here?</p></div></article>", "One word and more."),
+    ],
+)
+def test_headers_topics_and_formulas_of_articles_stay(tree, article, text):
+    assert html_text.main_text(PAGE.format(article=article), tree) == text
+
+
 def test_labelled_blocks_are_learnt_and_others_too(tree):
     known = [(x, y) for page, labels in html_labels.labelled() for x, y in zip(html_text.features(html_text.blocks(page)), labels)]
     assert all(html_text.decide(tree, x) == bool(y) for x, y in known)
