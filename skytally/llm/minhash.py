@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,10 @@ from skytally.llm.rows import NO_ID, binary, keyed, matching
 from skytally.llm.words import ODD, WordHashes, mix, run_hashes
 from skytally.session import stage
 
-#: A pair of similarity 0.85 misses a band with 1 - 0.85^5 and all of them with a chance below one in a million.
-BANDS, ROWS = 24, 5
+#: Coordinates of a band.
+ROWS = 5
+#: Chance that a pair just similar enough shares no band.
+MISS = 1e-6
 #: Classes compared with one first class, or with each other, in one go.
 BLOCK = 256
 STAR = 512
@@ -56,9 +59,17 @@ def signature(members: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def plan(percent: int) -> int:
+    """Number of bands: a pair of that similarity misses one with 1 - similarity^ROWS, and all of them with ``MISS`` at most."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"no similarity to look for: {percent} percent")
+    together = (percent / 100) ** ROWS
+    return math.ceil(math.log(MISS) / math.log(1 - together)) if together < 1 else 1
+
+
 def band_codes(coordinates: np.ndarray) -> np.ndarray:
-    code = np.zeros(BANDS, dtype=np.uint64)
-    for column in coordinates.reshape(BANDS, ROWS).T:
+    code = np.zeros(len(coordinates) // ROWS, dtype=np.uint64)
+    for column in coordinates.reshape(-1, ROWS).T:
         code = mix(code * ODD + column)
     return code
 
@@ -67,7 +78,7 @@ def _similar(common: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) ->
     return 100 * common >= percent * (a + b - common)
 
 
-def _signed(docs: DataFrame, size: int) -> DataFrame:
+def _signed(docs: DataFrame, size: int, bands_of: int) -> DataFrame:
     """``__did``, ``__row``, ``n``, ``k1``, ``k2`` (hash of the set, NULL if empty), ``bands``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +95,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                     continue
                 key = xxhash.xxh3_128_digest(members)
                 if key not in known:
-                    known[key] = band_codes(signature(members, BANDS * ROWS)).view(np.int64)
+                    known[key] = band_codes(signature(members, bands_of * ROWS)).view(np.int64)
                 keys.append(tuple(np.frombuffer(key, "<i8").tolist()))
                 bands.append(known[key])
             columns = [pa.array(n, pa.int64()), *(pa.array(k, pa.int64()) for k in zip(*keys, strict=True))]
@@ -197,7 +208,7 @@ def near_duplicates(
     as larger than all others and reads NULL. An empty table gives an empty table. Shingles are 64-bit hashes.
     """
     known = keyed(docs, id_col, text_col).select("__did", "__row", F.col(text_col).alias("__text"))
-    rows = stage(_signed(known, size), "shingle-sets")
+    rows = stage(_signed(known, size, plan(percent)), "shingle-sets")
     classes = rows.where("k1 IS NOT NULL").groupBy("k1", "k2")
     classes = classes.agg(
         F.min(F.struct("__did", "__row")).alias("doc"), F.first("n").alias("n"), F.first("bands").alias("bands")

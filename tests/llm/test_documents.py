@@ -60,6 +60,12 @@ def test_near_duplicates(frame, docs, monkeypatch, block):
     assert Counter(r[2] for r in got).most_common(1)[0][1] > 10
 
 
+def test_bands_follow_the_similarity():
+    assert minhash.plan(85) == 24
+    for percent in (50, 80, 85, 95, 100):
+        assert (1 - (percent / 100) ** minhash.ROWS) ** minhash.plan(percent) <= minhash.MISS
+
+
 def test_one_document_of_a_group_stays(frame, docs):
     left = minhash.keep_first(frame)
     assert left.columns == frame.columns
