@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import debruijn, embed_dedup, html_labels, html_text, line_dedup, minhash, packing, piece_lattice, quality, sharding, suffix_dedup
+from skytally.llm import debruijn, embed_dedup, filter_audit, html_labels, html_text, line_dedup, minhash, oracles, packing, piece_lattice, quality, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,10 +90,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cut(debruijn.dedup_passages(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op5_suffix_array_dedup, op6_sentencepiece, op7_quality_rules, op8_sharding, op9_minhash_dedup, op10_substring_dedup]
+    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op5_suffix_array_dedup, op6_sentencepiece, op7_quality_rules, op8_sharding, op9_minhash_dedup, op10_substring_dedup, op11_filter_audit]
     return {query.__name__: query for query in known}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.SQL
