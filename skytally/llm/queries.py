@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import debruijn, embed_dedup, filter_audit, html_labels, html_text, line_dedup, minhash, oracles, packing, piece_lattice, quality, sharding, suffix_dedup, turn_repair
+from skytally.llm import debruijn, embed_dedup, filter_audit, html_labels, html_text, language_id, line_dedup, minhash, oracles, packing, piece_lattice, quality, sharding, suffix_dedup, turn_repair
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,13 +94,20 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.train(docs))
+    held_out = F.coalesce(language_id.quarter(F.col("doc_id")) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _table(spark, sf_dir, "conversations")
     return turn_repair.with_all(conversations, turn_repair.repair(turn_repair.damage(conversations)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op5_suffix_array_dedup, op6_sentencepiece, op7_quality_rules, op8_sharding, op9_minhash_dedup, op10_substring_dedup, op11_filter_audit, op13_turn_repair]
+    known = [op1_embedding_dedup, op2_html_extraction, op3_line_dedup, op4_packing, op5_suffix_array_dedup, op6_sentencepiece, op7_quality_rules, op8_sharding, op9_minhash_dedup, op10_substring_dedup, op11_filter_audit, op12_language_id, op13_turn_repair]
     return {query.__name__: query for query in known}
 
 
