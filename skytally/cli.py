@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from skytally.plans import jobs
 from skytally.session import build_session
-from skytally.sinks.tables import ResultSink, batch_folder_writer, search_index_sink
+from skytally.sinks.tables import ResultSink, batch_folder_writer, connector_batch_writer, search_index_sink
 from skytally.sources.messages import kafka_options, kafka_writer_options, message_stream
 from skytally.streaming.control import await_any
 
@@ -48,6 +48,10 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("--preview", type=int, default=0, help="show so many scored rows")
     compact = command("compact", "batch folders to one table with the current row of each key")
     compact.add_argument("--keys", nargs="+", required=True)
+    merge = command("merge", "new batch folders into a bucketed table, reading only what they touch")
+    merge.add_argument("--keys", nargs="+", required=True)
+    merge.add_argument("--sums", nargs="*", default=[], help="columns to add up instead of keeping the latest row")
+    merge.add_argument("--buckets", type=int, default=64, help="fixed when the table is made")
     publish = command("publish", "raw text files to JSON messages", target=False)
     publish.add_argument("--format", default="text", choices=["text", "kafka"])
     publish.add_argument("--servers", help="brokers, for kafka")
@@ -60,6 +64,8 @@ def parser() -> argparse.ArgumentParser:
     speed.add_argument("--topic", help="for kafka")
     speed.add_argument("--windows", action="store_true", help="also count per origin city and minute of departure")
     speed.add_argument("--lateness", default="1 day", help="how late a message may come for its window")
+    speed.add_argument("--keep-late", action="store_true", help="also count by minute with late messages as corrections")
+    speed.add_argument("--once-within", help="drop messages sent again within this time, such as '1 day'")
     speed.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     speed.add_argument("--index-nodes", help="append to the search index at this address instead of folders")
     speed.add_argument("--checkpoint", required=True)
@@ -98,18 +104,33 @@ def main(argv: list[str] | None = None) -> None:
         jobs.score(spark, args.source, args.model, args.target, args.preview)
     elif args.job == "compact":
         jobs.compact(spark, args.source, args.target, args.keys)
+    elif args.job == "merge":
+        print(jobs.merge(spark, args.source, args.target, args.keys, args.buckets, args.sums))
     elif args.job == "publish":
         options = _options(args, kafka_writer_options)
         jobs.publish(spark, args.source, args.format, args.target, options, args.fill)
     elif args.job == "speed":
         path = args.source if args.format == "text" else None
         stream = message_stream(spark, args.format, _options(args, kafka_options), path)
+        started = []
+        if args.once_within:
+            once = f"{args.checkpoint}_messages"
+            query, stream = jobs.without_redeliveries(
+                spark, stream, once, f"{args.checkpoint}_once", args.once_within, args.interval, None, args.state_partitions
+            )
+            started.append(query)
+        windows = late = None
         if args.index_nodes:
-            writers = jobs.connector_writers(search_index_sink(args.target, args.index_nodes))
+            sink = search_index_sink(args.target, args.index_nodes)
+            writers = jobs.connector_writers(sink)
+            if args.windows:
+                windows = connector_batch_writer(sink, "by_minute", ["window_start", "OriginCityName"])
         else:
             writers = jobs.folder_writers(args.target)
-        windows = batch_folder_writer(f"{args.target}/by_minute") if args.windows else None
+            windows = batch_folder_writer(f"{args.target}/by_minute") if args.windows else None
+        if args.keep_late:
+            late = f"{args.checkpoint}_late_windows" if args.index_nodes else f"{args.target}/late_by_minute"
         layer = jobs.speed_layer(
-            stream, *writers, args.checkpoint, args.interval, args.state_partitions, windows, args.lateness
+            stream, *writers, args.checkpoint, args.interval, args.state_partitions, windows, args.lateness, late
         )
-        await_any(layer, args.timeout)
+        await_any([*started, *layer], args.timeout)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
 def calendar_parts(date: Column) -> dict[str, Column]:
     """YEAR, MONTH, DAYOFMONTH and DAYOFWEEK, the last with Sunday = 1."""
     return {
@@ -15,6 +16,21 @@ def calendar_parts(date: Column) -> dict[str, Column]:
     }
 
 
+EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def as_utc(moment: str) -> Column:
+    """A moment without zone as the same clock time in UTC, whatever the session's zone."""
+    since = f"(`{moment}` - {EPOCH})"  # an interval; differences by unit would go through the session's zone
+    minutes = f"((extract(DAY FROM {since}) * 24L + extract(HOUR FROM {since})) * 60 + extract(MINUTE FROM {since}))"
+    return F.timestamp_micros(F.expr(f"{minutes} * 60000000 + bigint(extract(SECOND FROM {since}) * 1000000)"))
+
+
+def without_zone(moment: str) -> Column:
+    """The clock time in UTC of a moment, without zone."""
+    return F.expr(f"{EPOCH} + make_dt_interval(0, 0, 0, unix_micros({moment}) / 1000000)")
+
+
 def day_number(date: Column) -> Column:
     """Days since the Unix epoch: consecutive dates have consecutive numbers."""
     return F.unix_date(date)

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skytally.functions.calendar import clock_timestamp
+from skytally.functions.keys import payload_id
 from skytally.models import classifier
 from skytally.operators import ranking, rollups
 from skytally.operators.normalise import clean, numeric, project_published
 from skytally.plans.catalogue import TABLES, day_partials, result_from_partials, result_table
 from skytally.session import sized_for, staged
+from skytally.sinks import merged
+from skytally.sinks.files import make_folder
 from skytally.sinks.tables import (
     BATCH,
     ResultSink,
@@ -28,6 +31,8 @@ from skytally.sinks.tables import (
 )
 from skytally.sources import messages, tables
 from skytally.streaming import control, counts
+from skytally.streaming.late import late_counts_writer
+from skytally.streaming.once import once_within
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -153,27 +158,69 @@ def speed_layer(
     state_partitions: int | None = None,
     write_windows: BatchWriter | None = None,
     lateness: str = "1 day",
+    late_windows: str | None = None,
 ) -> tuple[StreamingQuery, ...]:
     """Start the raw append and the running count per origin city on one message stream.
 
     With ``write_windows``, also the count per origin city and minute of scheduled departure; ``lateness`` is how far
-    behind the newest departure a message may come.
+    behind the newest departure a message may come. With the folder ``late_windows`` the same counts are kept as
+    partials there, those of messages that come later as corrections (:mod:`skytally.streaming.late`).
+
+    Messages that may be sent again go through :func:`without_redeliveries` first.
     """
     raw = control.start(messages.parse_messages(stream), write_raw, f"{checkpoint}_raw", "append", interval)
     cities = counts.running_count(messages.parse_messages(stream), "OriginCityName")
     running = control.start(cities, write_counts, f"{checkpoint}_agg", "update", interval, state_partitions)
-    if write_windows is None:
-        return raw, running
-    minutes = departures_per_minute(messages.parse_messages(stream), lateness)
-    windows = control.start(minutes, write_windows, f"{checkpoint}_windows", "update", interval, state_partitions)
-    return raw, running, windows
+    started = [raw, running]
+    if write_windows is not None:
+        minutes = departures_per_minute(messages.parse_messages(stream), lateness)
+        started.append(control.start(minutes, write_windows, f"{checkpoint}_windows", "update", interval, state_partitions))
+    if late_windows is not None:
+        write = late_counts_writer(late_windows, "departure", ["OriginCityName"], "1 minute", lateness)
+        departed = departures(messages.parse_messages(stream))
+        started.append(control.start(departed, write, f"{checkpoint}_late", "append", interval))
+    return tuple(started)
+
+
+def departures(flights: DataFrame) -> DataFrame:
+    """Moment of scheduled departure and origin city."""
+    moment = clock_timestamp(F.col("FlightDate"), F.col("CRSDepTime"))
+    return flights.select(moment.alias("departure"), "OriginCityName")
 
 
 def departures_per_minute(flights: DataFrame, lateness: str) -> DataFrame:
     """Flights per origin city and minute of scheduled departure, of a stream."""
-    moment = clock_timestamp(F.col("FlightDate"), F.col("CRSDepTime"))
-    departures = flights.select(moment.alias("departure"), "OriginCityName")
-    return counts.tumbling_count(departures, "departure", "OriginCityName", "1 minute", lateness, "n")
+    return counts.tumbling_count(departures(flights), "departure", "OriginCityName", "1 minute", lateness, "n")
+
+
+def message_departure() -> Column:
+    """Moment of scheduled departure in the JSON of ``value``."""
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return clock_timestamp(field("FlightDate"), field("CRSDepTime"))
+
+
+def without_redeliveries(
+    spark: SparkSession,
+    stream: DataFrame,
+    folder: str,
+    checkpoint: str,
+    within: str = "1 day",
+    interval: str | None = "30 seconds",
+    moment: Column | None = None,
+    state_partitions: int | None = None,
+) -> tuple[StreamingQuery, DataFrame]:
+    """Start to copy each message once to a folder; returns the query and the folder as a message stream.
+
+    Equal messages are one if the ``moment`` they speak of (the scheduled departure) is less than ``within`` behind the
+    newest one. A message's id is that of its content, the same whichever of its copies was taken. Streams with states
+    of their own, such as running counts, read the folder: Spark keeps one state per query in update mode. With
+    ``interval`` None, wait for the query before reading.
+    """
+    keyed = stream.select("value", payload_id(F.col("value")).alias("id"), (message_departure() if moment is None else moment).alias("moment"))
+    make_folder(spark, folder)
+    once = once_within(keyed, "id", "moment", within).select("value", "id")
+    query = control.start_files(once, folder, checkpoint, interval, state_partitions)
+    return query, spark.readStream.schema("value string, id string").parquet(folder)
 
 
 def folder_writers(target: str) -> tuple[BatchWriter, BatchWriter]:
@@ -187,6 +234,18 @@ def compact(spark: SparkSession, source: str, target: str, keys: Iterable[str])
     latest_view(batches, list(keys)).write.mode("overwrite").parquet(target)
 
 
+def merge(spark: SparkSession, source: str, target: str, keys: Sequence[str], buckets: int = 64, measures: Sequence[str] = ()) -> list[int]:
+    """Take the batch folders below ``source`` that are new since the last time up into the table at ``target``.
+
+    The table has the current row of each key, or with ``measures`` the sums of partial counts. Returns the buckets
+    written; read the table with :func:`skytally.sinks.merged.read_merged`. Folders of old states are removed.
+    """
+    fold = merged.summed(keys, measures) if measures else None
+    written = merged.merge_batches(spark, source, target, keys, fold, buckets)
+    merged.remove_old(spark, target)
+    return written
+
+
 def connector_writers(sink: ResultSink) -> tuple[BatchWriter, BatchWriter]:
     """Keyed appends of the raw rows and of the counts."""
     return connector_batch_writer(sink, "raw"), connector_batch_writer(sink, "by_origin")

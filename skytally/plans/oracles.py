@@ -342,6 +342,45 @@ FROM flights GROUP BY ALL ORDER BY "OP_CARRIER", "YEAR", "MONTH" LIMIT 20
 KEPT = FLIGHTS + 'SELECT "YEAR", count(*) AS n, count(DISTINCT "ORIGIN") AS origins FROM flights GROUP BY "YEAR"'
 
 
+ONCE = "SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events"
+
+ONCE_COUNT = """
+SELECT event_type, count(*) AS recent_flight_count, event_type AS id
+FROM (SELECT DISTINCT * FROM events) GROUP BY event_type
+"""
+
+# One early day arrives a second time, after its windows have closed.
+WITH_LATE = """
+WITH arrived AS (
+  SELECT ts, event_type, FALSE AS behind FROM events
+  UNION ALL
+  SELECT ts, event_type, TRUE FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06'
+), hours AS (
+  SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type, behind FROM arrived
+)
+"""
+
+LATE_KEPT = WITH_LATE + """
+SELECT window_start, window_end, event_type, count(*) AS n,
+       count(*) FILTER (WHERE NOT behind) AS on_time, count(*) FILTER (WHERE behind) AS late
+FROM hours GROUP BY window_start, window_end, event_type
+"""
+
+CLOSED_CORRECTED = WITH_LATE + """
+SELECT window_start, window_end, event_type, count(*) AS n FROM hours
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+GROUP BY window_start, window_end, event_type
+"""
+
+MERGED_LATEST = """
+SELECT user_id, count(*) AS n, coalesce(CAST(user_id AS VARCHAR), '(none)') AS id FROM events GROUP BY user_id
+"""
+
+MERGED_SUMS = WITH_LATE + """
+SELECT window_start, window_end, event_type, count(*) AS n FROM hours GROUP BY window_start, window_end, event_type
+"""
+
+
 def _moments(scaled: bool = False) -> str:
     """Slot moments: of the columns themselves, and of a 0/1 column per category value."""
     plain = [
@@ -394,6 +433,12 @@ def oracle_sql() -> dict[str, str]:
         "stream_late_drop": LATE,
         "flight_summary_speed": SPEED,
         "stream_origin_minutes": MINUTES,
+        "stream_once": ONCE,
+        "stream_once_count": ONCE_COUNT,
+        "stream_late_kept": LATE_KEPT,
+        "stream_closed_corrected": CLOSED_CORRECTED,
+        "merged_latest": MERGED_LATEST,
+        "merged_sums": MERGED_SUMS,
         "latest_per_key": LATEST,
         "hash_sample": SAMPLE,
         "hash_split": SPLIT,

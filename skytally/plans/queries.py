@@ -15,10 +15,11 @@ from skytally.operators import normalise, ranking, rollups, sampling
 from skytally.plans import catalogue, jobs
 from skytally.schemas import PROCESSED_SCHEMA
 from skytally.session import stage, work_folder
+from skytally.sinks import merged
 from skytally.sinks.tables import ResultSink, batch_folder_writer, latest_view, read_batches, write_messages
 from skytally.sources import messages, tables
 from skytally.sources.star import flights, raw_flights
-from skytally.streaming import control, counts
+from skytally.streaming import control, counts, late
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -318,6 +319,96 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emitted.select("window_start", "window_end", "event_type", "n")
 
 
+def _sent_again(spark: SparkSession, sf_dir: str, files: int | None = None) -> tuple[DataFrame, str]:
+    """The events as messages, some of them twice or three times: again in their own slice, and in the next one."""
+    folder, before = work_folder(spark, "sent-again"), []
+
+    def send(part: DataFrame) -> None:
+        again = [part.filter("event_id % 5 = 0"), *[earlier.filter("event_id % 7 = 0") for earlier in before[-1:]]]
+        before.append(part)
+        for more in again:
+            part = part.unionByName(more)
+        write_messages(messages.to_messages(part), "text", folder)
+
+    lateness = _arrive(events(spark, sf_dir), "ts", send)
+    return messages.message_stream(spark, "text", _limit(spark, folder, files), folder), lateness
+
+
+def _once(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    stream, lateness = _sent_again(spark, sf_dir, files)
+    folder = work_folder(spark, "once")
+    moment = F.get_json_object("value", "$.ts").try_cast("timestamp_ntz")
+    query, once = jobs.without_redeliveries(
+        spark, stream, f"{folder}/messages", f"{folder}/checkpoint", lateness, None, moment
+    )
+    control.await_end(query)
+    return once
+
+
+def stream_once(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """Messages of which some are sent again, in their own micro-batch and in a later one; each comes out once."""
+    appended = _batches(spark, messages.parse_messages(_once(spark, sf_dir, files), EVENT_SCHEMA), "once-raw", "append")
+    return appended.select(*EVENT_SCHEMA.names)
+
+
+def stream_once_count(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """A running count behind the removal of messages sent again."""
+    counted = counts.running_count(messages.parse_messages(_once(spark, sf_dir, files), EVENT_SCHEMA), "event_type")
+    return latest_view(_batches(spark, counted, "once-count", "update"), ["id"])
+
+
+def _late_partials(spark: SparkSession, sf_dir: str) -> str:
+    """Hourly partial counts of the events, of which one early day comes twice, the second time behind all others."""
+    folder = work_folder(spark, "late-kept")
+    rows, ts = events(spark, sf_dir), F.col("ts")
+    middle, early, after = [F.lit(day).cast("timestamp_ntz") for day in ("2024-01-15", "2024-01-05", "2024-01-06")]
+    for arrived in (ts < middle, ts >= middle, (ts >= early) & (ts < after)):
+        rows.filter(arrived).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(EVENT_SCHEMA).parquet(f"{folder}/in")
+        write = late.late_counts_writer(f"{folder}/out", "ts", ["event_type"], "1 hour", "1 hour")
+        control.run_available(stream, write, f"{folder}/checkpoint")
+    return f"{folder}/out"
+
+
+EVENT_TYPE = T.StructType([EVENT_SCHEMA["event_type"]])
+
+
+def stream_late_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts with late rows: all rows, those in time and those behind their window's end."""
+    partials = late.read_partials(spark, _late_partials(spark, sf_dir), EVENT_TYPE)
+    return late.counts_with_late(partials, ["event_type"])
+
+
+def stream_closed_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows as they were when they closed, with their corrections added afterwards."""
+    folder = _late_partials(spark, sf_dir)
+    partials = late.read_partials(spark, folder, EVENT_TYPE)
+    closed = late.closed_windows(partials, late.closed_by(spark, folder), ["event_type"])
+    more = late.corrections(partials, ["event_type"]).drop("batch_id")
+    return closed.unionByName(more).groupBy("window_start", "window_end", "event_type").agg(F.sum("n").alias("n"))
+
+
+def merged_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts per user in micro-batches, taken up one after the other by a table in buckets."""
+    stream, _ = _event_stream(spark, sf_dir)
+    counted, folder = counts.running_count(stream, "user_id", "n"), work_folder(spark, "merged")
+    control.run_available(counted, batch_folder_writer(f"{folder}/out"), f"{folder}/checkpoint", "update")
+    for number in range(SLICES + 1):
+        merged.merge_batches(spark, f"{folder}/out", f"{folder}/table", ["user_id"], buckets=16, upto=number)
+    jobs.merge(spark, f"{folder}/out", f"{folder}/table", ["user_id"])
+    return merged.read_merged(spark, f"{folder}/table").select("user_id", "n", "id")
+
+
+def merged_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial counts with late ones, added up in a table in buckets batch by batch."""
+    folder, keys = _late_partials(spark, sf_dir), ["window_start", "window_end", "event_type"]
+    target = work_folder(spark, "merged-sums")
+    for number in range(2):
+        merged.merge_batches(spark, f"{folder}/partials", target, keys, merged.summed(keys, ["n"]), 8, upto=number)
+    jobs.merge(spark, f"{folder}/partials", target, keys, 8, ["n"])
+    return merged.read_merged(spark, target).select(*keys, "n")
+
+
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.latest_per_key(events(spark, sf_dir), ["user_id"], ["ts", "event_id"])
 
@@ -418,6 +509,12 @@ def queries() -> dict[str, Query]:
         "stream_late_drop": stream_late_drop,
         "flight_summary_speed": flight_summary_speed,
         "stream_origin_minutes": stream_origin_minutes,
+        "stream_once": stream_once,
+        "stream_once_count": stream_once_count,
+        "stream_late_kept": stream_late_kept,
+        "stream_closed_corrected": stream_closed_corrected,
+        "merged_latest": merged_latest,
+        "merged_sums": merged_sums,
         "latest_per_key": latest_per_key,
         "hash_sample": hash_sample,
         "hash_split": hash_split,

@@ -97,16 +97,18 @@ def batch_folder_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def connector_batch_writer(sink: ResultSink, name: str, id_column: str = "id") -> Callable[[DataFrame, int], None]:
+def connector_batch_writer(
+    sink: ResultSink, name: str, id_columns: str | Sequence[str] = "id"
+) -> Callable[[DataFrame, int], None]:
     """Micro-batch callback that appends to a keyed connector; a repeated id replaces its document.
 
-    A sink without ids would hold the rows of a repeated batch twice, so it is refused.
+    Several id columns are joined into ``id``. A sink without ids would hold the rows of a repeated batch twice, so it is refused.
     """
     if not sink.id_option:
         raise ValueError("a sink of micro-batches needs ids; write batch folders instead")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink.write(batch, name, [id_column], mode="append")
+        sink.write(batch, name, [id_columns] if isinstance(id_columns, str) else id_columns, mode="append")
 
     return write
 

@@ -43,9 +43,22 @@ def start(
     before it gets there; None takes the session's shuffle partitions.
     """
     writer = stream.writeStream.outputMode(mode).foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     with _setting(stream.sparkSession, "spark.sql.shuffle.partitions", state_partitions):
-        return writer.trigger(**trigger).start()
+        return writer.trigger(**_trigger(interval)).start()
+
+
+def _trigger(interval: str | None) -> dict:
+    return {"processingTime": interval} if interval else {"availableNow": True}
+
+
+def start_files(
+    stream: DataFrame, path: str, checkpoint: str, interval: str | None = "30 seconds", state_partitions: int | None = None
+) -> StreamingQuery:
+    """Append a stream to a Parquet folder that other streams can read: its log names each file once, so a batch that
+    runs again does not show twice. Settings as for :func:`start`."""
+    writer = stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    with _setting(stream.sparkSession, "spark.sql.shuffle.partitions", state_partitions):
+        return writer.trigger(**_trigger(interval)).start()
 
 
 def await_end(query: StreamingQuery, timeout: float | None = None) -> bool:

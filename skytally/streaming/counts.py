@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skytally.functions.calendar import as_utc, without_zone
 from skytally.functions.keys import single_id
 
 
@@ -30,18 +31,12 @@ def tumbling_count(
     session's zone, and the windows come back without one.
     """
     plain = isinstance(stream.schema[moment].dataType, T.TimestampNTZType)
-    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
     if plain:
-        since = f"(`{moment}` - {epoch})"  # an interval; differences by unit would go through the session's zone
-        minutes = f"((extract(DAY FROM {since}) * 24L + extract(HOUR FROM {since})) * 60 + extract(MINUTE FROM {since}))"
-        micros = F.expr(f"{minutes} * 60000000 + bigint(extract(SECOND FROM {since}) * 1000000)")
-        stream = stream.withColumn(moment, F.timestamp_micros(micros))
+        stream = stream.withColumn(moment, as_utc(moment))
     timed = stream.withWatermark(moment, lateness)
     counts = timed.groupBy(F.window(moment, width).alias("_w"), key).agg(F.count("*").alias(name))
 
     def bound(field: str) -> Column:
-        if plain:
-            return F.expr(f"{epoch} + make_dt_interval(0, 0, 0, unix_micros(_w.{field}) / 1000000)")
-        return F.col(f"_w.{field}")
+        return without_zone(f"_w.{field}") if plain else F.col(f"_w.{field}")
 
     return counts.select(bound("start").alias("window_start"), bound("end").alias("window_end"), key, name)
