@@ -48,6 +48,9 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("--preview", type=int, default=0, help="show so many scored rows")
     compact = command("compact", "batch folders to one table with the current row of each key")
     compact.add_argument("--keys", nargs="+", required=True)
+    months = command("runs", "delayed days of a published table by month, for the longest runs over New Year")
+    months.add_argument("--entity", default="carrier", choices=list(jobs.ENTITIES))
+    months.add_argument("--months", nargs="*", metavar="YYYY-MM", help="read and replace only these")
     merge = command("merge", "new batch folders into a bucketed table, reading only what they touch")
     merge.add_argument("--keys", nargs="+", required=True)
     merge.add_argument("--sums", nargs="*", default=[], help="columns to add up instead of keeping the latest row")
@@ -104,6 +107,10 @@ def main(argv: list[str] | None = None) -> None:
         jobs.score(spark, args.source, args.model, args.target, args.preview)
     elif args.job == "compact":
         jobs.compact(spark, args.source, args.target, args.keys)
+    elif args.job == "runs":
+        months = [tuple(int(x) for x in m.split("-")) for m in args.months] if args.months else None
+        jobs.append_delay_months(spark, args.source, args.target, args.entity, months)
+        jobs.longest_delay_runs(spark, args.target, args.entity).show(truncate=False)
     elif args.job == "merge":
         print(jobs.merge(spark, args.source, args.target, args.keys, args.buckets, args.sums))
     elif args.job == "publish":

@@ -13,9 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from skytally.functions.calendar import clock_timestamp
 from skytally.functions.keys import payload_id
 from skytally.models import classifier
-from skytally.operators import ranking, rollups
+from skytally.operators import asof, ranking, rollups, runs
 from skytally.operators.normalise import clean, numeric, project_published
-from skytally.plans.catalogue import TABLES, day_partials, result_from_partials, result_table
+from skytally.plans.catalogue import ENTITIES, TABLES, day_partials, result_from_partials, result_table
 from skytally.session import sized_for, staged
 from skytally.sinks import merged
 from skytally.sinks.files import make_folder
@@ -100,6 +100,50 @@ def _write_tables(names: list[str], build: Callable[[str], DataFrame], sink: Res
         return list(pool.map(inheritable_thread_target(SparkSession.active())(write), names))
 
 
+def append_delay_months(
+    spark: SparkSession, source: str, target: str, entity: str = "carrier", months: Sequence[tuple[int, int]] | None = None
+) -> None:
+    """Write the delayed days of a published table as bits by entity and month.
+
+    With ``months`` (pairs of year and month) only these are read, and only their folders in ``target`` are replaced:
+    a new month is added, or a corrected one put right, without reading the others.
+    """
+    keys = ENTITIES[entity]
+    flights = tables.read_published(spark, source).select(*keys, "FL_DATE", "ARR_DELAY", *runs.MONTH)
+    if months is not None:
+        wanted = F.lit(False)
+        for year, month in months:
+            wanted = wanted | ((F.col("YEAR") == year) & (F.col("MONTH") == month))
+        flights = flights.filter(wanted)
+    found = runs.delayed_months(flights, keys)
+    written = found.hint("rebalance", *runs.MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    written.partitionBy(*runs.MONTH).parquet(f"{target}/{entity}")
+
+
+def longest_delay_runs(spark: SparkSession, target: str, entity: str = "carrier", by_year: bool = False) -> DataFrame:
+    """Longest runs of delayed days from the months written by :func:`append_delay_months`, over New Year or by year."""
+    return runs.longest_runs(spark.read.parquet(f"{target}/{entity}"), ENTITIES[entity], by_year)
+
+
+def rotations(raw: DataFrame) -> DataFrame:
+    """Flights of raw rows with the last earlier arrival of the same aircraft: where it came from and when it landed.
+
+    An arrival is the departure plus the elapsed minutes. ``WAITED`` are the minutes on the ground, ``MOVED`` says that the
+    aircraft does not leave from where it landed.
+    """
+    departed = clock_timestamp(F.col("FlightDate"), F.col("DepTime")).alias("DEPARTED")
+    seconds = F.col("ActualElapsedTime").try_cast("double") * 60
+    flown = raw.select("Tail_Number", "FlightDate", "Origin", "Dest", departed, seconds.alias("_seconds"))
+    landed = F.col("DEPARTED") + F.make_dt_interval(secs=F.col("_seconds"))
+    arrivals = flown.select("Tail_Number", landed.alias("LANDED"), F.col("Origin").alias("PREV_ORIGIN"), F.col("Dest").alias("PREV_DEST"))
+    arrivals = arrivals.withColumn("PREV_LANDED", F.col("LANDED"))
+    found = asof.asof_join(
+        flown.drop("_seconds"), arrivals, ["Tail_Number"], "DEPARTED", "LANDED", ["PREV_LANDED", "PREV_ORIGIN", "PREV_DEST"]
+    )
+    waited = (F.unix_seconds(F.col("DEPARTED").cast("timestamp")) - F.unix_seconds(F.col("PREV_LANDED").cast("timestamp"))) / 60
+    return found.withColumns({"WAITED": waited.cast("int"), "MOVED": F.col("Origin") != F.col("PREV_DEST")})
+
+
 def summarise(spark: SparkSession, source: str, sink: ResultSink, infer: bool = False) -> None:
     """Airline and city-pair summary of raw text files, keyed by its id."""
     rows = tables.read_inferred_csv(spark, source) if infer else tables.read_raw_csv(spark, source)

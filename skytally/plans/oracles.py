@@ -342,6 +342,97 @@ FROM flights GROUP BY ALL ORDER BY "OP_CARRIER", "YEAR", "MONTH" LIMIT 20
 KEPT = FLIGHTS + 'SELECT "YEAR", count(*) AS n, count(DISTINCT "ORIGIN") AS origins FROM flights GROUP BY "YEAR"'
 
 
+# The earliest of the longest runs. A run starts where the day before is not among the delayed days.
+RUNS = FLIGHTS + """
+, delayed AS (
+  SELECT {keys}, "FL_DATE" FROM flights WHERE "ARR_DELAY" IS NOT NULL
+  GROUP BY {keys}, "FL_DATE" HAVING avg("ARR_DELAY") > 0
+), starts AS (
+  SELECT *, CASE WHEN lag("FL_DATE") OVER (PARTITION BY {within} ORDER BY "FL_DATE") = "FL_DATE" - 1
+            THEN 0 ELSE 1 END AS s FROM delayed
+), runs AS (
+  SELECT *, sum(s) OVER (PARTITION BY {within} ORDER BY "FL_DATE") AS run FROM starts
+), lengths AS (
+  SELECT {keys}, run, count(*) AS n, min("FL_DATE") AS first, max("FL_DATE") AS last FROM runs GROUP BY {keys}, run
+)
+SELECT {keys}, CAST(n AS INTEGER) AS "MAX_CONSEC_DELAY_DAYS", first AS "RUN_START", last AS "RUN_END" FROM lengths
+QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY n DESC, first) = 1
+"""
+
+PUBLISHES = """
+WITH orders_in_cents AS (
+  SELECT * EXCLUDE (o_totalprice), CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders
+), old AS (
+  SELECT * FROM orders_in_cents WHERE o_orderkey % 11 <> 0
+  UNION ALL SELECT * FROM orders_in_cents WHERE o_orderkey % 13 = 0
+), priced AS (
+  SELECT * REPLACE (cents + CASE WHEN o_orderkey % 17 = 0 THEN 100 ELSE 0 END AS cents) FROM orders_in_cents WHERE o_orderkey % 7 <> 0
+), new AS (
+  SELECT * FROM priced UNION ALL SELECT * FROM priced WHERE o_orderkey % 19 = 0
+)
+"""
+
+CHANGE_FEED = PUBLISHES + """
+SELECT *, count(*) AS "CHANGE" FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old) GROUP BY ALL
+UNION ALL
+SELECT *, -count(*) FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new) GROUP BY ALL
+"""
+
+REFRESHED = PUBLISHES + """
+SELECT o_orderpriority, o_orderstatus, count(*) AS "ROWS", CAST(sum(cents) AS BIGINT) AS "cents_SUM", count(cents) AS "cents_N"
+FROM new GROUP BY o_orderpriority, o_orderstatus
+"""
+
+ASOF_CLICK = """
+WITH clicks AS (SELECT user_id, ts, max(event_id) AS click_id FROM events WHERE event_type = 'click' GROUP BY user_id, ts)
+SELECT p.event_id, p.user_id, p.ts, c.ts AS click_ts, c.click_id
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN clicks c ON p.user_id = c.user_id AND p.ts >= c.ts
+"""
+
+ASOF_ORDER = """
+WITH earlier AS (SELECT o_custkey, o_orderdate, max(o_orderkey) AS prev_orderkey FROM orders GROUP BY o_custkey, o_orderdate)
+SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, e.prev_orderkey
+FROM orders o ASOF LEFT JOIN earlier e ON o.o_custkey = e.o_custkey AND o.o_orderdate > e.o_orderdate
+"""
+
+OPEN_ITEMS = """
+WITH items AS (
+  SELECT l_returnflag, o_orderdate AS s, l_shipdate AS e FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate > o_orderdate
+), edges AS (
+  SELECT l_returnflag, s AS "MOMENT", 1 AS d FROM items UNION ALL SELECT l_returnflag, e, -1 FROM items
+), steps AS (
+  SELECT l_returnflag, "MOMENT", sum(d) AS d FROM edges GROUP BY l_returnflag, "MOMENT" HAVING sum(d) <> 0
+), opened AS (
+  SELECT l_returnflag, "MOMENT", CAST(sum(d) OVER (PARTITION BY l_returnflag ORDER BY "MOMENT") AS BIGINT) AS "OPEN" FROM steps
+)
+"""
+
+OPEN_PEAK = OPEN_ITEMS + """
+SELECT l_returnflag, "OPEN", "MOMENT" FROM opened
+QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY "OPEN" DESC, "MOMENT") = 1
+"""
+
+DISTINCT_SKETCHES = FLIGHTS + f"""
+SELECT CASE WHEN GROUPING("OP_CARRIER") = 0 THEN 'carrier' ELSE 'src_dest' END
+         || CASE WHEN GROUPING("MONTH") = 0 THEN '_year_month' WHEN GROUPING("YEAR") = 0 THEN '_year'
+                 WHEN GROUPING("DAYOFWEEK") = 0 THEN '_dayofweek' ELSE '_total' END AS "GRAIN",
+       "OP_CARRIER", "YEAR", "MONTH", "DAYOFWEEK", "ORIGIN", "DEST",
+       count(DISTINCT "OP_CARRIER_FL_NUM") AS "OP_CARRIER_FL_NUM_EXACT", count(DISTINCT "FL_DATE") AS "FL_DATE_EXACT",
+       TRUE AS "OP_CARRIER_FL_NUM_NEAR", TRUE AS "FL_DATE_NEAR"
+FROM flights GROUP BY {SETS}
+"""
+
+QUANTILE_SKETCHES = FLIGHTS + """
+SELECT "OP_CARRIER", percent, count("ARR_DELAY") AS n, TRUE AS near
+FROM flights, (VALUES (10), (50), (90)) AS asked(percent) WHERE "ARR_DELAY" IS NOT NULL GROUP BY "OP_CARRIER", percent
+"""
+
+LEGS = """
+SELECT l_orderkey, l_linenumber AS "LEG", l_partkey AS "Part", l_quantity AS "Quantity", l_shipdate AS "Ship" FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_quantity DESC, l_shipdate DESC) = 1
+"""
+
 ONCE = "SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events"
 
 ONCE_COUNT = """
@@ -433,6 +524,19 @@ def oracle_sql() -> dict[str, str]:
         "stream_late_drop": LATE,
         "flight_summary_speed": SPEED,
         "stream_origin_minutes": MINUTES,
+        "delay_runs_carrier": RUNS.format(keys='"OP_CARRIER"', within='"OP_CARRIER"'),
+        "delay_runs_src_dest": RUNS.format(keys='"ORIGIN", "DEST"', within='"ORIGIN", "DEST"'),
+        "delay_runs_year_src_dest": RUNS.format(keys='"ORIGIN", "DEST", "YEAR"', within='"ORIGIN", "DEST", "YEAR"'),
+        "change_feed": CHANGE_FEED,
+        "changes_applied": PUBLISHES + "SELECT * FROM new",
+        "refreshed_partials": REFRESHED,
+        "asof_click": ASOF_CLICK,
+        "asof_previous_order": ASOF_ORDER,
+        "open_items": OPEN_ITEMS + 'SELECT l_returnflag, "MOMENT", "OPEN" FROM opened',
+        "open_items_peak": OPEN_PEAK,
+        "distinct_sketches": DISTINCT_SKETCHES,
+        "quantile_sketches": QUANTILE_SKETCHES,
+        "legs_roundtrip": LEGS,
         "stream_once": ONCE,
         "stream_once_count": ONCE_COUNT,
         "stream_late_kept": LATE_KEPT,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from skytally.functions.calendar import calendar_parts
 from skytally.models import classifier
-from skytally.operators import normalise, ranking, rollups, sampling
+from skytally.operators import asof, changes, concurrency, legs, normalise, ranking, rollups, runs, sampling, sketches
 from skytally.plans import catalogue, jobs
 from skytally.schemas import PROCESSED_SCHEMA
 from skytally.session import stage, work_folder
@@ -75,6 +75,142 @@ def day_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.day_partials(flights(spark, sf_dir, *catalogue.INPUT_COLUMNS))
 
 
+# Tables that are added to ------------------------------------------------------
+
+
+def _delay_months(entity: str, spark: SparkSession, sf_dir: str) -> str:
+    """The months of a published table written in three goes, one of them twice."""
+    keys, folder = catalogue.ENTITIES[entity], work_folder(spark, "delay-months")
+    columns = [*keys, "FL_DATE", "ARR_DELAY", *runs.MONTH]
+    published = flights(spark, sf_dir, *columns).withColumn("ARR_DELAY", F.col("ARR_DELAY").cast("float"))
+    published.write.partitionBy(*runs.MONTH).parquet(f"{folder}/published")
+    known = [tuple(r) for r in published.select(*runs.MONTH).distinct().orderBy(*runs.MONTH).collect()]
+    third = len(known) // 3
+    for part in (known[third:], known[: third + 2], known[: third + 1]):
+        jobs.append_delay_months(spark, f"{folder}/published", f"{folder}/months", entity, part)
+    return f"{folder}/months"
+
+
+def delay_runs(entity: str, by_year: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longest runs of delayed days from months that were added one after the other."""
+    return jobs.longest_delay_runs(spark, _delay_months(entity, spark, sf_dir), entity, by_year)
+
+
+def _publishes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two publishes of the orders: some new, some gone, some priced anew, some copies more or less."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = orders.withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long")).drop("o_totalprice")
+    key = F.col("o_orderkey")
+    old = orders.filter(key % 11 != 0).unionByName(orders.filter(key % 13 == 0))
+    new = orders.withColumn("cents", F.col("cents") + F.when(key % 17 == 0, 100).otherwise(0)).filter(key % 7 != 0)
+    return old, new.unionByName(new.filter(key % 19 == 0))
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.changes(*_publishes(spark, sf_dir))
+
+
+def changes_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new publish, from the old one and the changes."""
+    old, new = _publishes(spark, sf_dir)
+    return changes.apply_changes(old, changes.changes(old, new))
+
+
+def refreshed_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums by priority and status, of the old publish, brought up to date from the changes alone."""
+    old, new = _publishes(spark, sf_dir)
+    keys, measures = ["o_orderpriority", "o_orderstatus"], {"cents": F.col("cents")}
+    before = stage(changes.partials_of(old, keys, measures), "partials")
+    return changes.refresh_partials(before, changes.changes(old, new), keys, measures)
+
+
+# Joins and sweeps in time -------------------------------------------------------
+
+
+def asof_click(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the last click of the same user at or before it."""
+    of = lambda kind: events(spark, sf_dir).filter(F.col("event_type") == kind)
+    clicks = of("click").select("user_id", "ts", F.col("ts").alias("click_ts"), F.col("event_id").alias("click_id"))
+    bought = of("purchase").select("event_id", "user_id", "ts")
+    return asof.asof_join(bought, clicks, ["user_id"], "ts", "ts", ["click_ts", "click_id"])
+
+
+def asof_previous_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order with the customer's last order of an earlier day, cut in time as if a task held 4 rows of a customer."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    earlier = orders.select("o_custkey", "o_orderdate", F.col("o_orderkey").alias("prev_orderkey"))
+    return asof.asof_join(orders, earlier, ["o_custkey"], "o_orderdate", "o_orderdate", ["prev_orderkey"], True, 4)
+
+
+def _open_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["l_orderkey", "l_shipdate", "l_returnflag"]
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*columns)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
+    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def open_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items between order and shipment, by return flag, at every moment their number changes."""
+    return concurrency.open_intervals(_open_items(spark, sf_dir), "o_orderdate", "l_shipdate", ["l_returnflag"])
+
+
+def open_items_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return concurrency.peak(open_items(spark, sf_dir), ["l_returnflag"])
+
+
+# Sketches and groups of columns ---------------------------------------------------
+
+
+def distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct flight numbers and dates at all grains from sketches by day, and whether they are within 5 % of the exact count."""
+    columns = ["OP_CARRIER", "ORIGIN", "DEST", "YEAR", "MONTH", "DAYOFWEEK", "FL_DATE", "OP_CARRIER_FL_NUM"]
+    rows = flights(spark, sf_dir, *columns)
+    finest = [c for c in columns if c not in ("FL_DATE", "OP_CARRIER_FL_NUM")]
+    counted = ["OP_CARRIER_FL_NUM", "FL_DATE"]
+    dated = rows.withColumn("FL_DATE", F.unix_date("FL_DATE"))
+    partials = sketches.sketch_partials(dated, finest, counted)
+    keys = ["GRAIN", *finest]
+    found = sketches.estimates(sketches.sketches_at(partials, catalogue.ALL_GRAINS, counted), keys, counted)
+    exact = rollups.grouped_sets(rows, catalogue.ALL_GRAINS, finest, [F.count_distinct(c).alias(f"{c}_EXACT") for c in counted])
+    same = F.lit(True)
+    for key in keys:
+        same = same & found[key].eqNullSafe(exact[key])
+    near = [(F.abs(F.col(f"{c}_DISTINCT") - F.col(f"{c}_EXACT")) <= 0.05 * F.col(f"{c}_EXACT")).alias(f"{c}_NEAR") for c in counted]
+    return found.join(exact, same).select(*[found[k] for k in keys], *[f"{c}_EXACT" for c in counted], *near)
+
+
+def quantile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of arrival delays by carrier from sketches by carrier and day: whether their true ranks are within the error."""
+    rows = flights(spark, sf_dir, "OP_CARRIER", "FL_DATE", "ARR_DELAY")
+    partials = sketches.sketch_partials(rows, ["OP_CARRIER", "FL_DATE"], measures=["ARR_DELAY"])
+    merged_ = sketches.merge_sketches(partials, ["OP_CARRIER"], measures=["ARR_DELAY"])
+    ranks = [0.1, 0.5, 0.9]
+    found = sketches.estimates(merged_, ["OP_CARRIER"], quantiles={"ARR_DELAY": ranks})
+    values = F.explode(F.array(*[F.struct(F.lit(round(100 * r)).alias("percent"), F.col(f"ARR_DELAY_Q{round(100 * r)}").alias("value")) for r in ranks]))
+    asked = found.select("OP_CARRIER", values.alias("_v")).select("OP_CARRIER", "_v.*")
+    delays = rows.filter(F.col("ARR_DELAY").isNotNull()).groupBy("OP_CARRIER", "ARR_DELAY").agg(F.count("*").alias("n"))
+    ranked = delays.join(asked, "OP_CARRIER").groupBy("OP_CARRIER", "percent").agg(
+        F.sum(F.when(F.col("ARR_DELAY") < F.col("value"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("ARR_DELAY") <= F.col("value"), F.col("n")).otherwise(0)).alias("upto"),
+        F.sum("n").alias("n"),
+    )
+    error, rank = sketches.RANK_ERROR * F.col("n"), F.col("percent") / 100 * F.col("n")
+    near = (rank >= F.col("below") - error - 1) & (rank <= F.col("upto") + error + 1)
+    return ranked.select("OP_CARRIER", "percent", "n", near.alias("near"))
+
+
+LEG_FIELDS = ["Part", "Quantity", "Ship"]
+
+
+def legs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items folded into groups of columns of their order, and unfolded again. One of those with equal numbers stays."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "l_orderkey", "l_linenumber AS LEG", "l_partkey AS Part", "l_quantity AS Quantity", "l_shipdate AS Ship"
+    )
+    wide = legs.from_legs(items, ["l_orderkey"], LEG_FIELDS, 7)
+    return legs.to_legs(wide, ["l_orderkey"], LEG_FIELDS, 7)
+
+
 # Ingestion -------------------------------------------------------------------
 
 
@@ -509,6 +645,19 @@ def queries() -> dict[str, Query]:
         "stream_late_drop": stream_late_drop,
         "flight_summary_speed": flight_summary_speed,
         "stream_origin_minutes": stream_origin_minutes,
+        "delay_runs_carrier": partial(delay_runs, "carrier", False),
+        "delay_runs_src_dest": partial(delay_runs, "src_dest", False),
+        "delay_runs_year_src_dest": partial(delay_runs, "src_dest", True),
+        "change_feed": change_feed,
+        "changes_applied": changes_applied,
+        "refreshed_partials": refreshed_partials,
+        "asof_click": asof_click,
+        "asof_previous_order": asof_previous_order,
+        "open_items": open_items,
+        "open_items_peak": open_items_peak,
+        "distinct_sketches": distinct_sketches,
+        "quantile_sketches": quantile_sketches,
+        "legs_roundtrip": legs_roundtrip,
         "stream_once": stream_once,
         "stream_once_count": stream_once_count,
         "stream_late_kept": stream_late_kept,
