@@ -1,12 +1,16 @@
 """Quality rules: base limits, then robust multivariate outliers for each language and source.
 
 Four statistics of a text become a vector of rates. For each language and source the
-minimum-covariance-determinant estimate of centre and covariance is found by concentration
-steps: take the three quarters of rows that lie nearest to the present estimate, estimate
-again from them. The same is done for each language as a whole, and a source's estimate is drawn
+minimum-covariance-determinant estimate of centre and covariance is sought from several starts by
+concentration steps: take the three quarters of rows that lie nearest to the present estimate, estimate
+again from them, until the determinant falls no more; of the ends, the one with the least determinant
+stands. The same is done for each language as a whole, and a source's estimate is drawn
 towards its language's the more the fewer rows it has; languages never share an estimate. After
 a reweighting step, a row is rejected when its Mahalanobis distance is beyond what the estimate
 and the number of rows behind it allow. Everything is DataFrame functions; the text is read once.
+
+Quantiles come from counts of narrow classes of values, which add up in any order: results do not depend on how rows are
+spread over tasks, and no task gets more than a row for each class of a group.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytally.llm.rows import matching
@@ -28,7 +32,8 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 #: Names of the vector's parts, and the least standard deviation assumed for each. Most texts have no symbol and no
 #: repeated line at all, so that a covariance without a floor would be singular and call any first symbol an outlier.
-PARTS = {"length": 0.045, "symbols": 0.04, "lines": 0.08, "repeats": 0.08}
+#: Each part can pass the cut by itself: repeats, 0.3 at most after the base limits, from 0.2873 on where nothing repeats.
+PARTS = {"length": 0.045, "symbols": 0.04, "lines": 0.08, "repeats": 0.05}
 #: Share of the rows that a concentration step keeps.
 SHARE = 0.75
 #: Makes the covariance of the nearest three quarters that of all, for four normal variables.
@@ -39,8 +44,13 @@ REWEIGHT = 11.143
 CUT = 33.0
 #: So many rows of the language count in the estimate of each of its sources, besides the source's own.
 PRIOR_ROWS = 100
-STEPS = 3
-SALTS = 16
+#: Estimates that the concentration steps begin with, and steps of each at most; they end before, as a rule.
+STARTS = ("spread", "bounded", "signs")
+MOST_STEPS = 20
+#: Width of the classes of values that quantiles are found by; squared distances have 64 classes for each factor of two.
+CLASS = 1 / 1024
+#: Copies of estimates, over all groups, that are made so that a group's rows can go to several tasks.
+COPIES = 1_000_000
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -109,22 +119,46 @@ def _of_language(by_cell: DataFrame, columns: list[str]) -> DataFrame:
     return by_cell.withColumn("l", F.col("cell.l")).join(whole, "l").drop("l")
 
 
-def _salted_join(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join in which the rows of one key go to several tasks; ``small`` has one row for each key."""
-    salted = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod("spread", F.lit(SALTS)).cast("int")).join(salted, [*keys, "salt"]).drop("salt")
+def _salted_join(rows: DataFrame, small: DataFrame, keys: list[str], salts: int) -> DataFrame:
+    """Inner join in which the rows of one key go to several tasks; ``small`` has few rows for each key."""
+    salted = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("salt", F.pmod("spread", F.lit(salts)).cast("int")).join(salted, [*keys, "salt"]).drop("salt")
+
+
+def _salts(cells: DataFrame) -> int:
+    """Tasks that the rows of a cell are dealt to: as many as a shuffle has, if there are not very many cells."""
+    partitions = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(partitions, COPIES // max(1, cells.count())))
+
+
+def _quantiles(rows: DataFrame, groups: list[str], value: Column, number: Column, shares: list[float]) -> DataFrame:
+    """``groups`` and ``values``: for each share the largest value of the class up to which so many rows lie.
+
+    ``number`` is the number of a value's class and rises with it.
+    """
+    counts = rows.groupBy(*groups, number.cast("long").alias("class")).agg(F.count("*").alias("n"), F.max(value).alias("top"))
+    upto = F.sum("n").over(Window.partitionBy(*groups).orderBy("class"))
+    total = F.sum("n").over(Window.partitionBy(*groups))
+    placed = counts.select(*groups, "class", "top", upto.alias("upto"), total.alias("total"))
+    found = [F.min(F.when(F.col("upto") >= s * F.col("total"), F.struct("class", "top")))["top"] for s in shares]
+    return placed.groupBy(*groups).agg(F.array(*found).alias("values"))
+
+
+def _by_class(value: Column) -> Column:
+    return F.floor(value / CLASS)
 
 
-def _estimates(rows: DataFrame) -> DataFrame:
-    """Mean and covariance of the parts for each cell, as columns ``m_*`` and ``c_*_*``, and the number of ``rows``."""
+def _estimates(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Mean and covariance of the parts for each group, as columns ``m_*`` and ``c_*_*``, and the number of ``rows``."""
     parts = list(PARTS)
     means = [F.avg(p).alias(f"m_{p}") for p in parts]
     covs = [F.covar_pop(p, q).alias(f"c_{p}_{q}") for i, p in enumerate(parts) for q in parts[: i + 1]]
-    return rows.groupBy("cell").agg(*means, *covs, F.count("*").alias("rows"))
+    return rows.groupBy(*groups).agg(*means, *covs, F.count("*").alias("rows"))
 
 
 def _factored(estimates: DataFrame, scale: float) -> DataFrame:
-    """Scales the covariance and adds ``f_*_*``, its Cholesky factor with the floors added to the diagonal."""
+    """Scales the covariance and adds ``f_*_*``, its Cholesky factor with the floors added to the diagonal, and the
+    logarithm of the determinant, ``log_det``."""
     parts = list(PARTS)
     out = estimates.withColumns({c: scale * F.col(c) for c in estimates.columns if c.startswith("c_")})
     for i, p in enumerate(parts):
@@ -137,14 +171,14 @@ def _factored(estimates: DataFrame, scale: float) -> DataFrame:
             else:
                 value = rest / F.col(f"f_{q}_{q}")
             out = out.withColumn(f"f_{p}_{q}", value)
-    return out
+    return out.withColumn("log_det", 2 * sum((F.ln(f"f_{p}_{p}") for p in parts), F.lit(0.0)))
 
 
-def _distance(rows: DataFrame, factors: DataFrame, *more: str) -> DataFrame:
+def _distance(rows: DataFrame, factors: DataFrame, salts: int, *more: str) -> DataFrame:
     """Adds ``d2``, the squared Mahalanobis distance from the cell's centre, and the columns ``more`` of ``factors``."""
     parts = list(PARTS)
     used = [c for c in factors.columns if c[:2] in ("m_", "f_")]
-    out = _salted_join(rows, factors.select("cell", *used, *more), ["cell"])
+    out = _salted_join(rows, factors.select("cell", *used, *more), ["cell"], salts)
     for i, p in enumerate(parts):
         rest = F.col(p) - F.col(f"m_{p}") - sum((F.col(f"f_{p}_{q}") * F.col(f"z_{q}") for q in parts[:i]), F.lit(0.0))
         out = out.withColumn(f"z_{p}", rest / F.col(f"f_{p}_{p}"))
@@ -152,30 +186,86 @@ def _distance(rows: DataFrame, factors: DataFrame, *more: str) -> DataFrame:
     return out.withColumn("d2", squares).select(*rows.columns, "d2", *more)
 
 
+def _starts(table: DataFrame, salts: int) -> DataFrame:
+    """A centre and a covariance for each ``cell`` and ``start``.
+
+    All three have the median as centre and half of what lies between the 16th and 84th percent as spreads. They differ in
+    the correlations: none; those of the deviations bounded by a hyperbolic tangent; those of their directions.
+    """
+    parts = list(PARTS)
+    long = table.select("cell", F.explode(F.create_map(*[x for p in parts for x in (F.lit(p), F.col(p))])).alias("part", "x"))
+    found = _quantiles(long, ["cell", "part"], F.col("x"), _by_class(F.col("x")), [0.16, 0.5, 0.84])
+    of = lambda p, i: F.max(F.when(F.col("part") == p, F.col("values")[i]))
+    centres = [of(p, 1).alias(f"m_{p}") for p in parts]
+    spreads = [((of(p, 2) - of(p, 0)) / 2).alias(f"s_{p}") for p in parts]
+    places = stage(found.groupBy("cell").agg(*centres, *spreads), "quality-places")
+    z = {p: (F.col(p) - F.col(f"m_{p}")) / F.sqrt(F.col(f"s_{p}") * F.col(f"s_{p}") + PARTS[p] ** 2) for p in parts}
+    shaped = _salted_join(table, places, ["cell"], salts).select("cell", *[z[p].alias(f"z_{p}") for p in parts])
+    norm = F.sqrt(sum((F.col(f"z_{p}") * F.col(f"z_{p}") for p in parts), F.lit(0.0)))
+    shaped = shaped.withColumn("norm", norm)
+    ways = {"bounded": lambda p: F.tanh(f"z_{p}"), "signs": lambda p: F.when(F.col("norm") > 0, F.col(f"z_{p}") / F.col("norm")).otherwise(0.0)}
+    pairs = [(p, q) for i, p in enumerate(parts) for q in parts[: i + 1]]
+    covs = [F.covar_pop(way(p), way(q)).alias(f"{name}_{p}_{q}") for name, way in ways.items() for p, q in pairs]
+    shapes = places.join(shaped.groupBy("cell").agg(*covs), "cell")
+    starts = []
+    for number, name in enumerate(STARTS):
+        columns = [F.col(f"m_{p}") for p in parts]
+        for p, q in pairs:
+            spread = F.col(f"s_{p}") * F.col(f"s_{q}")
+            if p != q:
+                both = F.sqrt(F.col(f"{name}_{p}_{p}") * F.col(f"{name}_{q}_{q}")) if name in ways else None
+                spread = spread * (F.coalesce(F.try_divide(F.col(f"{name}_{p}_{q}"), both), F.lit(0.0)) if name in ways else 0.0)
+            columns.append(spread.alias(f"c_{p}_{q}"))
+        starts.append(F.struct(F.lit(number).alias("start"), *columns))
+    return shapes.select("cell", F.explode(F.array(*starts)).alias("x")).select("cell", "x.*")
+
+
+def concentrated(table: DataFrame, salts: int) -> DataFrame:
+    """Ends of the concentration steps for each ``cell`` and ``start``: estimates, factors, ``log_det`` and ``steps``.
+
+    The covariance is that of the nearest rows, scaled to what it is for all, with the floors added; the steps go by the
+    determinant of this. A step takes the rows up to the class in which the share of :data:`SHARE` is reached. A start
+    ends with the step that does not lower its determinant; that step's estimate does not count.
+    """
+    groups = ["cell", "start"]
+    pairs = [f"{p}_{q}" for i, p in enumerate(PARTS) for q in list(PARTS)[: i + 1]]
+    moments = [*[f"m_{p}" for p in PARTS], *[f"c_{x}" for x in pairs], *[f"f_{x}" for x in pairs]]
+    first = _factored(_starts(table, salts), 1.0).withColumns({"rows": F.lit(0).cast("long"), "steps": F.lit(0), "open": F.lit(True)})
+    state = stage(first.select(*groups, *moments, "log_det", "rows", "steps", "open"), "quality-starts")
+    for step in range(1, MOST_STEPS + 1):
+        near = _distance(table, state.where("open"), salts, "start")
+        number = F.floor(F.log2(F.greatest("d2", F.lit(1e-12))) * 64)
+        reach = _quantiles(near, groups, F.col("d2"), number, [SHARE]).select(*groups, F.col("values")[0].alias("reach"))
+        half = _salted_join(near, reach, groups, salts).where("d2 <= reach")
+        new = _factored(_estimates(half, groups), CONSISTENCY)
+        renamed = new.select(*groups, F.struct(*moments, "log_det", "rows").alias("new"))
+        both = state.join(renamed, groups, "left")
+        # The starts themselves are not estimates by the nearest rows: the first step always counts.
+        better = F.coalesce(F.col("new.log_det") < F.col("log_det") - 1e-9, F.lit(False)) | ((F.col("steps") == 0) & F.col("new").isNotNull())
+        fields = [F.when(better, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in (*moments, "log_det", "rows")]
+        state = stage(both.select(*groups, *fields, F.when(better, step).otherwise(F.col("steps")).alias("steps"), (F.col("open") & better).alias("open")), "quality-step")
+        if state.where("open").isEmpty():
+            break
+    return state
+
+
 def robust_estimates(table: DataFrame) -> DataFrame:
     """Centre, covariance and factor for each ``cell`` of rows with a spreading number ``spread`` and :data:`PARTS`."""
-    parts = list(PARTS)
-    quantiles = table.groupBy("cell").agg(*[F.percentile_approx(p, [0.16, 0.5, 0.84], 10_000).alias(p) for p in parts], F.count("*").alias("rows"))
-    start = [F.col("rows")]
-    start += [F.col(p)[1].alias(f"m_{p}") for p in parts]
-    for i, p in enumerate(parts):
-        half = (F.col(p)[2] - F.col(p)[0]) / 2
-        start += [(half * half if p == q else F.lit(0.0)).alias(f"c_{p}_{q}") for q in parts[: i + 1]]
-    factors = stage(_factored(quantiles.select("cell", *start), 1.0), "quality-start")
-    for _ in range(STEPS):
-        near = _distance(table, factors)
-        reach = near.groupBy("cell").agg(F.percentile_approx("d2", SHARE, 10_000).alias("reach"))
-        half = _salted_join(near, reach, ["cell"]).where("d2 <= reach")
-        factors = stage(_factored(_estimates(half), CONSISTENCY), "quality-step")
-    inside = _distance(table, factors).where(F.col("d2") <= REWEIGHT)
+    salts = _salts(table.select("cell").distinct())
+    ends = concentrated(table, salts)
+    rest = [c for c in ends.columns if c not in ("cell", "open")]
+    least = ends.groupBy("cell").agg(F.min_by(F.struct(*rest), F.struct("log_det", "start")).alias("x")).select("cell", "x.*")
+    factors = stage(least.drop("start", "steps"), "quality-least")
+    inside = _distance(table, factors, salts).where(F.col("d2") <= REWEIGHT)
     # A cell whose rows all lie outside keeps the estimate it has.
-    last = _factored(_estimates(inside), 1.0)
-    return stage(last.unionByName(factors.join(last, "cell", "left_anti")), "quality-final")
+    last = _factored(_estimates(inside, ["cell"]), 1.0)
+    return stage(last.unionByName(factors.join(last, "cell", "left_anti").select(*last.columns)), "quality-final")
 
 
 def robust_outliers(table: DataFrame) -> DataFrame:
     """Adds ``d2`` to such rows."""
-    return _distance(table, robust_estimates(table))
+    estimates = robust_estimates(table)
+    return _distance(table, estimates, _salts(estimates))
 
 
 def _drawn(estimates: DataFrame, shifts: DataFrame) -> DataFrame:
@@ -233,13 +323,15 @@ def judge(
     views = good.withColumn("cell", F.explode(F.array("cell", F.struct(F.col("cell.l").alias("l"), F.lit("").alias("s")))))
     # The mean word length of a short text scatters more; it is drawn towards the cell's centre accordingly.
     log_length = F.ln(F.greatest(F.col("word_chars"), F.lit(1)) / n)
-    middle = [F.percentile_approx(log_length, 0.5, 10_000).alias("middle"), F.count("*").alias("rows")]
-    middles = stage(views.groupBy("cell").agg(*middle), "quality-middle")
+    half = _quantiles(views, ["cell"], log_length, _by_class(log_length), [0.5])
+    sizes = views.groupBy("cell").agg(F.count("*").alias("rows"))
+    middles = stage(half.join(sizes, "cell").select("cell", F.col("values")[0].alias("middle"), "rows"), "quality-middle")
     total = F.col("rows") + PRIOR_ROWS
     centre = (F.col("rows") * F.col("middle") + PRIOR_ROWS * F.col("of_middle")) / total
     centres = _of_language(middles, ["middle"]).select("cell", centre.alias("centre"), (F.col("of_middle") - centre).alias("shift"))
     centres = stage(centres, "quality-centre")
-    vectors = _salted_join(views, centres.drop("shift"), ["cell"]).withColumns(
+    salts = _salts(centres)
+    vectors = _salted_join(views, centres.drop("shift"), ["cell"], salts).withColumns(
         {
             "length": (log_length - F.col("centre")) * F.sqrt(n / (n + 60)),
             "symbols": F.log1p(F.col("n_symbols") / n),
@@ -249,7 +341,7 @@ def judge(
     )
     vectors = stage(vectors.drop("centre"), "quality-vectors")
     drawn = _drawn(robust_estimates(vectors), centres)
-    judged = _distance(vectors.where("cell.s <> ''"), drawn, "of_rows")
+    judged = _distance(vectors.where("cell.s <> ''"), drawn, salts, "of_rows")
     judged = judged.select(*table.columns, "d2", _kept(F.col("d2"), F.col("of_rows")).alias("kept"))
     failed = table.where("base_failed").withColumns({"d2": F.lit(None).cast("double"), "kept": F.lit(False)})
     return judged.unionByName(failed).withColumnRenamed("id", id_col).drop("lang", "source")

@@ -111,39 +111,59 @@ def test_languages_are_not_judged_by_each_other(spark):
     assert {i for i, k in kept.items() if not k} == {404, 406}
 
 
-def test_distance_equals_a_plain_computation(spark):
-    """Estimates and distances of one cell, by the same steps in numpy; ties in the cuts are improbable."""
+def groups_of_vectors(spark, groups):
+    rows = [(*map(float, v), g, i) for g, x in enumerate(groups) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, ", ".join(f"{p} double" for p in quality.PARTS) + ", g int, spread long")
+    cell = F.struct(F.col("g").cast("string").alias("l"), F.lit("b").alias("s"))
+    return table.withColumn("cell", cell).repartition(5)
+
+
+def test_estimates_are_those_of_least_determinant(spark):
+    """Every start is followed to its end, and the least determinant stands: as by numpy, for groups of many shapes."""
     pick = np.random.default_rng(3)
-    x = pick.normal(0, 0.2, (400, 4)) @ pick.normal(0, 1, (4, 4))
-    x[:40] += 5
-    parts = list(quality.PARTS)
-    rows = [(*map(float, v), i) for i, v in enumerate(x)]
-    table = spark.createDataFrame(rows, ", ".join(f"{p} double" for p in parts) + ", spread long")
-    table = table.withColumn("cell", F.struct(F.lit("a").alias("l"), F.lit("b").alias("s")))
-    got = np.array([r.d2 for r in quality.robust_outliers(table).orderBy("spread").collect()])
-    floor = np.diag(np.array(list(quality.PARTS.values())) ** 2)
-
-    def low_median(v, q):
-        return np.sort(v)[int(np.ceil(q * len(v))) - 1]
-
-    def distance(m, c):
-        d = x - m
-        return np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d)
-
-    def steps(m, c, scale):
-        # A pivot of the factorisation gets the floor, which for a regular matrix differs little from adding it.
-        return m, scale * c + floor
-
-    m = np.array([low_median(v, 0.5) for v in x.T])
-    half = np.array([(low_median(v, 0.84) - low_median(v, 0.16)) / 2 for v in x.T])
-    d2 = distance(*steps(m, np.diag(half**2), 1))
-    for _ in range(quality.STEPS):
-        near = x[d2 <= low_median(d2, quality.SHARE)]
-        d2 = distance(*steps(near.mean(0), np.cov(near.T, bias=True), quality.CONSISTENCY))
-    near = x[d2 <= quality.REWEIGHT]
-    d2 = distance(*steps(near.mean(0), np.cov(near.T, bias=True), 1))
-    assert np.allclose(got, d2, rtol=1e-6)
-    assert (got[:40] > quality.CUT).all() and (got[40:] <= quality.CUT).mean() > 0.98
+    groups = [pick.normal(0, 0.2, (n, 4)) @ pick.normal(0, 1, (4, 4)) for n in (400, 60, 5, 1, 2000)]
+    groups[0][:80] += 5
+    groups[4][:500] = 1 + 0.01 * groups[4][:500]  # a dense group that some starts take for the whole
+    groups += [np.zeros((30, 4)), np.vstack([np.zeros((50, 4)), [[0, 0, 0, 0.29]]])]
+    table = groups_of_vectors(spark, groups)
+    ends = {(int(r.cell.l), r.start): r for r in quality.concentrated(table, 3).collect()}
+    found = {(r.g, r.spread): r.d2 for r in quality.robust_outliers(table).collect()}
+    for g, x in enumerate(groups):
+        centre, cov, _, wanted = brute.least_determinant(x, quality)
+        for least, number, _, _, steps in wanted:
+            assert ends[g, number]["log_det"] == pytest.approx(least, rel=1e-6) and ends[g, number]["steps"] == steps
+        floor = np.diag(np.array(list(quality.PARTS.values())) ** 2)
+        d2 = brute.distances(x, centre, cov + floor)
+        assert [found[g, i] for i in range(len(x))] == pytest.approx(d2.tolist(), rel=1e-5, abs=1e-9)
+    assert not any(r.open for r in ends.values()) and max(r.steps for r in ends.values()) > 3
+    assert len({round(ends[4, s]["log_det"], 6) for s in range(3)}) > 1  # starts end apart, so more than one is needed
+    assert all(found[0, i] > quality.CUT for i in range(80))
+
+
+def test_each_part_can_reject_alone(spark):
+    far = {"length": 0.4, "symbols": 0.3, "lines": 0.6, "repeats": 0.29}
+    quiet = np.random.default_rng(5).normal(0, 0.01, (3000, 4)) * [1, 0, 0, 0]
+    for place, part in enumerate(quality.PARTS):
+        odd = np.zeros((1, 4))
+        odd[0, place] = far[part]
+        d2 = {r.spread: r.d2 for r in quality.robust_outliers(groups_of_vectors(spark, [np.vstack([quiet, odd])])).collect()}
+        assert d2[3000] > quality.CUT and max(d2[i] for i in range(3000)) < quality.CUT
+
+
+@pytest.mark.parametrize("partitions", ["8", "3"])
+def test_verdicts_are_those_of_a_plain_version(spark, sf_dir, partitions):
+    docs = spark.read.parquet(f"{sf_dir}/../sf0.01/documents.parquet")
+    wanted = brute.verdicts([tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()], quality)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        judged = quality.judge(docs.repartition(int(partitions))).where("NOT base_failed").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(judged) == len(wanted) > 800
+    assert [wanted[r.doc_id][0] for r in judged] == pytest.approx([r.d2 for r in judged], rel=1e-4, abs=1e-6)
+    assert {r.doc_id for r in judged if not r.kept} == {i for i, (_, kept) in wanted.items() if not kept}
+    assert 3 < sum(not r.kept for r in judged) < 100
 
 
 @pytest.mark.parametrize("n_shards", [1, 7, 40])
