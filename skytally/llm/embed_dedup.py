@@ -153,7 +153,7 @@ def link_vectors(
 ) -> DataFrame:
     """One row per vector: its id, ``n_links`` (other vectors linked), ``component_id`` (smallest id reachable), ``kept``.
 
-    Vectors of equal labels are linked if their cosine in double precision is at least ``threshold``. Vectors that are
+    Vectors of equal labels (of any type) are linked if their cosine in double precision is at least ``threshold``. Vectors that are
     NULL, empty or zero, hold a NULL, NaN or infinite component, or have a NULL label link with nothing, vectors of
     different length not with each other. A repeated row is another vector. A NULL id counts as larger than all; it is
     kept only if it links with nothing. A pair at the threshold is missed with a chance of :data:`MISS`. An empty table
@@ -172,14 +172,18 @@ def link_vectors(
         F.coalesce(usable, F.lit(False)).alias("usable"),
         F.xxhash64(label_col, vector_col).alias("h1"),
         F.xxhash64(F.lit(SEED), label_col, vector_col).alias("h2"),
-        F.col(label_col).cast("long").alias("label"),
+        F.xxhash64(label_col).alias("label"),  # of any type
         x.alias("x"),
     )
     narrow = narrow.withColumn("id", F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)))
 
+    def scaled(v: np.ndarray) -> np.ndarray:
+        """By a power of two, which changes no cosine, so that squares of double components stay in range."""
+        return np.ldexp(v, -np.frexp(np.abs(v).max())[1]) if v.dtype == np.float64 and len(v) else v
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [None if v is None else np.array(v, kind).tobytes() for v in batch.column(5).to_pylist()]
+            data = [None if v is None else scaled(np.array(v, kind)).tobytes() for v in batch.column(5).to_pylist()]
             dims = [None if v is None else len(v) for v in batch.column(5).to_pylist()]
             columns = [batch.column(i) for i in range(5)] + [pa.array(dims, pa.int64()), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "usable", "h1", "h2", "label", "dim", "data"])

@@ -93,57 +93,63 @@ def slots(low: np.ndarray, sizes: list[int], bits: np.ndarray) -> np.ndarray:
 
 
 def shared_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    """``hi``, ``lo`` (hash of a key), ``n`` (rows with the key), ``top`` (largest id) of keys in ``min_docs`` rows or more."""
-    smallest = -(1 << 63)
+    """``hi``, ``lo`` (hash of a key), ``n`` (rows with the key) and the row to keep it, of keys in ``min_docs`` rows or more.
+
+    That is the row with the largest id, ``top``, if ``real``; else no row with the key has an id, and ``top`` is the
+    largest hash of a row.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, list[int]] = {}
+        held: dict[bytes, list] = {}
 
         def out() -> pa.RecordBatch:
             hi, lo = _halves(list(held))
-            n, top = np.array(list(held.values()), dtype=np.int64).reshape(-1, 2).T
-            arrays = [pa.array(x) for x in (hi.view(np.int64), lo.view(np.int64), n, top)]
-            return pa.RecordBatch.from_arrays(arrays, ["hi", "lo", "n", "top"])
+            n, real, top = np.array([(n, *holder) for n, holder in held.values()], dtype=np.int64).reshape(-1, 3).T
+            arrays = [pa.array(x) for x in (hi.view(np.int64), lo.view(np.int64), n, real, top)]
+            return pa.RecordBatch.from_arrays(arrays, ["hi", "lo", "n", "real", "top"])
 
         for batch in batches:
-            for did, text in zip(batch.column(0).to_pylist(), binary(batch.column(1)), strict=True):
-                did = smallest if did == NO_ID else did
+            for did, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binary(batch.column(2)), strict=True):
+                holder = (0, row) if did == NO_ID else (1, did)
                 for digest in set(_digests(text, min_chars)):
                     if digest is not None:
-                        entry = held.setdefault(digest, [0, smallest])
+                        entry = held.setdefault(digest, [0, holder])
                         entry[0] += 1
-                        entry[1] = max(entry[1], did)
+                        if holder > entry[1]:
+                            entry[1] = holder
                 if len(held) >= HELD:
                     yield out()
                     held.clear()
         if held:
             yield out()
 
-    counts = docs.select("__did", "__text").mapInArrow(count, "hi long, lo long, n long, top long")
-    return counts.groupBy("hi", "lo").agg(F.sum("n").alias("n"), F.max("top").alias("top")).where(F.col("n") >= min_docs)
+    counts = docs.select("__did", "__row", "__text").mapInArrow(count, "hi long, lo long, n long, real long, top long")
+    summed = counts.groupBy("hi", "lo").agg(F.sum("n").alias("n"), F.max(F.struct("real", "top")).alias("holder"))
+    return summed.where(F.col("n") >= min_docs).select("hi", "lo", "n", "holder.real", "holder.top")
 
 
 def build_index(lines: DataFrame, n_shards: int) -> DataFrame:
-    """One row per shard: ``sizes`` and ``bits`` of the hash, and the arrays ``prints``, ``counts``, ``tops`` as bytes."""
+    """One row per shard: ``sizes`` and ``bits`` of the hash, and the arrays ``prints``, ``counts``, ``reals``, ``tops`` as bytes."""
 
     def build(table: pa.Table) -> pa.Table:
-        shard, hi, lo, n, top = (table.column(c).to_numpy() for c in ("shard", "hi", "lo", "n", "top"))
+        shard, hi, lo, n, real, top = (table.column(c).to_numpy() for c in ("shard", "hi", "lo", "n", "real", "top"))
         low = lo.astype(np.int64).view(np.uint64)
         sizes, bits = build_hash(low)
         order = np.argsort(slots(low, sizes, bits))
         counts = np.minimum(n[order], (1 << 32) - 1).astype("<u4")  # a count beyond that reads as that
-        arrays = [np.array(sizes, "<i8"), np.packbits(bits), hi[order].astype("<i8"), counts, top[order].astype("<i8")]
+        holders = [real[order].astype("u1"), top[order].astype("<i8")]
+        arrays = [np.array(sizes, "<i8"), np.packbits(bits), hi[order].astype("<i8"), counts, *holders]
         return pa.table(
             {"shard": pa.array(shard[:1], pa.int64())}
             | {k: pa.array([a.tobytes()], pa.binary()) for k, a in zip(INDEX, arrays, strict=True)}
         )
 
-    dealt = lines.select(F.pmod("hi", F.lit(n_shards)).cast("long").alias("shard"), "hi", "lo", "n", "top")
+    dealt = lines.select(F.pmod("hi", F.lit(n_shards)).cast("long").alias("shard"), "hi", "lo", "n", "real", "top")
     schema = "shard long, " + ", ".join(f"{c} binary" for c in INDEX)
     return dealt.groupBy("shard").applyInArrow(build, schema)
 
 
-INDEX = ("sizes", "bits", "prints", "counts", "tops")
+INDEX = ("sizes", "bits", "prints", "counts", "reals", "tops")
 
 
 def _probes(docs: DataFrame, n_shards: int, min_chars: int, hot: dict[bytes, int]) -> DataFrame:
@@ -187,14 +193,15 @@ def _answers(index: DataFrame, probes: DataFrame, min_docs: int) -> DataFrame:
                 if x["kind"] == 0:
                     sizes = np.frombuffer(x["sizes"], "<i8").tolist()
                     bits = np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=sum(sizes)).astype(bool)
-                    arrays = [np.frombuffer(x[c], t) for c, t in (("prints", "<i8"), ("counts", "<u4"), ("tops", "<i8"))]
+                    arrays = [np.frombuffer(x[c], t) for c, t in (("prints", "<i8"), ("counts", "<u4"), ("reals", "u1"), ("tops", "<i8"))]
                     have = (x["shard"], sizes, bits, *arrays)
                 elif have and have[0] == x["shard"]:  # else no shared line is in this shard
-                    _, sizes, bits, prints, counts, tops = have
+                    _, sizes, bits, prints, counts, reals, tops = have
                     did, row, hi, lo = (np.frombuffer(x[c], "<i8") for c in ("did", "row", "hi", "lo"))
                     slot = slots(lo.view(np.uint64), sizes, bits)
                     known = (slot >= 0) & (prints[slot] == hi)
-                    drop = known & (counts[slot] >= min_docs) & (tops[slot] != did)
+                    keeps = np.where(reals[slot] == 1, tops[slot] == did, tops[slot] == row)
+                    drop = known & (counts[slot] >= min_docs) & ~keeps
                     found.append((did[drop], row[drop], lo[drop]))
             if found:
                 columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)]
@@ -212,8 +219,9 @@ def dedup_lines(
     Lines end at ``\\n``; a line's key is the line stripped of ASCII white space, A-Z in lower case. Keys of fewer than
     ``min_chars`` code points stay. Adds ``n_lines`` (before) and ``n_dropped``; columns with these names are replaced.
     A NULL or empty text is one empty line, and the result's text is empty, not NULL. Every row counts as a document;
-    repeated rows are treated alike. A row with a NULL id is never the one that keeps a line. An empty table gives an
-    empty table. Lines are told apart by 128-bit hashes.
+    repeated rows are treated alike. Rows with an id go before those without one; of a line that only rows without an id
+    hold, that with the largest row hash keeps it, so no line is lost altogether. An empty table gives an empty table.
+    Lines are told apart by 128-bit hashes.
     """
     spark = docs.sparkSession
     known = keyed(docs, id_col, text_col)
@@ -222,22 +230,22 @@ def dedup_lines(
     n_keys, found = lines.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     n_shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_keys // KEYS_PER_SHARD))
     # All counts sum up to ``found``, so no more than HOT_KEYS keys can hold such a share of it.
-    few = lines.where((F.col("n") >= HOT_DOCS) & (F.col("n") >= F.lit(found // HOT_KEYS + 1))).select("hi", "lo", "top")
-    hot = {np.array([r.hi, r.lo], "<i8").tobytes(): r.top for r in few.collect()}
+    few = lines.where((F.col("n") >= HOT_DOCS) & (F.col("n") >= F.lit(found // HOT_KEYS + 1))).select("hi", "lo", "real", "top")
+    hot = {np.array([r.hi, r.lo], "<i8").tobytes(): (r.real, r.top) for r in few.collect()}
     index = build_index(lines, n_shards)
     dropped = _answers(index, _probes(texts, n_shards, min_chars, hot), min_docs)
     dropped = dropped.groupBy("__did", "__row").agg(F.collect_set("lo").alias("__lines"))
 
     def drop(values: dict[str, list], texts: list[bytes]) -> tuple[list[bytes], list[list]]:
         out, n_lines, n_dropped = [], [], []
-        for did, listed, text in zip(values["__did"], values["__lines"], texts, strict=True):
+        for did, row, listed, text in zip(values["__did"], values["__row"], values["__lines"], texts, strict=True):
             lines = text.split(b"\n")
             n_lines.append(len(lines))
             if listed or hot:
                 gone = set(listed or ())
                 digests = _digests(text, min_chars)
                 keep = [
-                    d is None or (hot[d] == did if d in hot else int.from_bytes(d[8:], "little", signed=True) not in gone)
+                    d is None or (hot[d] in ((1, did), (0, row)) if d in hot else int.from_bytes(d[8:], "little", signed=True) not in gone)
                     for d in digests
                 ]
                 lines = [line for line, k in zip(lines, keep, strict=True) if k]

@@ -199,13 +199,14 @@ def _block_links(members: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, percent: int = 85, size: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document: its id, ``n_shingles``, ``component_id``, ``kept`` and ``row_hash`` (of id and text).
+    """One row per document: its id, ``n_shingles``, ``component_id``, ``kept``, ``row_hash`` (of id and text), ``first``.
 
     Words are runs of other characters than ASCII white space, A-Z in lower case. Two documents are linked if the
     intersection of their sets of ``size``-word shingles is at least ``percent`` percent of the union; a component's id
     is the smallest document id in it. Fewer words than ``size`` are one shingle; a text without words, or NULL, has
     none and is linked with nothing. A repeated row is in the component of its like, with the same id. A NULL id counts
-    as larger than all others and reads NULL. An empty table gives an empty table. Shingles are 64-bit hashes.
+    as larger than all others and reads NULL. Of kept rows of a component, which have equal or no ids, the one with the
+    least row hash is ``first``. An empty table gives an empty table. Shingles are 64-bit hashes.
     """
     known = keyed(docs, id_col, text_col).select("__did", "__row", F.col(text_col).alias("__text"))
     rows = stage(_signed(known, size, plan(percent)), "shingle-sets")
@@ -253,9 +254,10 @@ def near_duplicates(
     per_class = classes.select("k1", "k2", "cls").join(joined.withColumnRenamed("node", "cls"), "cls", "left")
     per_class = per_class.select("k1", "k2", F.coalesce("component", "cls").alias("component"))
     owned = stage(rows.select("__did", "__row", "n", "k1", "k2").join(per_class, ["k1", "k2"]), "members")
-    smallest = owned.groupBy("component").agg(F.min("__did").alias("least"))
-    found = owned.join(smallest, "component").select("__did", "__row", "n", "least")
-    empty = rows.where("k1 IS NULL").select("__did", "__row", "n", F.col("__did").alias("least"))
+    # Written, so that the join's sides are plain exchanges and a very large component is dealt to several tasks.
+    smallest = stage(owned.groupBy("component").agg(F.min(F.struct("__did", "__row")).alias("least")), "smallest")
+    found = owned.join(smallest, "component").select("__did", "__row", "n", F.col("least.__did").alias("least"), F.col("least.__row").alias("__first"))
+    empty = rows.where("k1 IS NULL").select("__did", "__row", "n", F.col("__did").alias("least"), F.col("__row").alias("__first"))
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).cast("long")
     return found.union(empty).select(
         real("__did").alias(id_col),
@@ -263,12 +265,13 @@ def near_duplicates(
         real("least").alias("component_id"),
         (F.col("__did") == F.col("least")).alias("kept"),
         F.col("__row").alias("row_hash"),
+        ((F.col("__did") == F.col("least")) & (F.col("__row") == F.col("__first"))).alias("first"),
     )
 
 
 def keep_first(
     docs: DataFrame, percent: int = 85, size: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs``, unchanged, that :func:`near_duplicates` keeps. Repeated rows with one id are one document: all stay."""
-    kept = near_duplicates(docs, percent, size, id_col, text_col).where("kept").select(id_col, "row_hash").distinct()
+    """The first row of each component of :func:`near_duplicates`, unchanged. Rows that agree in id and text are one document: all stay."""
+    kept = near_duplicates(docs, percent, size, id_col, text_col).where("first").select(id_col, "row_hash").distinct()
     return matching(docs, kept, id_col, text_col)

@@ -139,9 +139,12 @@ def text_classes(docs: DataFrame) -> DataFrame:
 
 
 def later_copies(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``__did``, ``__h1`` of documents whose whole text is that of a document with a smaller id."""
-    rows = docs.select("__did", "__h1", "__h2").join(classes, ["__h1", "__h2"])
-    return rows.where("first < __did").select("__did", "__h1").distinct()
+    """``__did``, ``__h1`` of documents whose whole text is that of a document with a smaller id.
+
+    They are those that are not the first of their text; the join goes by id too, so copies of one text spread.
+    """
+    first = classes.withColumnRenamed("first", "__did")
+    return docs.select("__did", "__h1", "__h2").join(first, ["__did", "__h1", "__h2"], "left_anti").select("__did", "__h1").distinct()
 
 
 def window_rows(docs: DataFrame, columns: list[str]) -> DataFrame:

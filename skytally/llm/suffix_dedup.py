@@ -1,9 +1,11 @@
-"""Repeated passages by sparse suffix sorting.
-
-Suffixes are retained at content-selected minimiser positions only (:mod:`skytally.llm.passages`). Sorted by their
-beginning, neighbours from different texts have a common passage. A match is extended to the left and right of such a
-position: every window of 50 words that belongs to it is sorted in turn, and the first of a run of equal windows, the
-one of the smallest document id, stays.
+"""Repeated passages by sparse suffixes.
+
+Suffixes are retained at content-selected minimiser positions only (:mod:`skytally.llm.passages`), sorted by the hash of
+their first 19 words and compared with their neighbours: those that no other text shares go. What is around the others is
+looked at to the left and to the right, but not by extending pairs of neighbours word by word: a window of 50 words may be
+shared with another text than the neighbours' longest match is, and the contract asks for each window's smallest holder.
+So every window that belongs to a remaining suffix is hashed, and the first of a run of equal windows, the one of the
+smallest document id, stays. The union of these windows is that of all matches extended to both sides.
 """
 
 from __future__ import annotations
@@ -12,13 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.llm.passages import WINDOW, remove, window_rows
+from skytally.session import stage
 
 
 def _spans(candidates: DataFrame) -> DataFrame:
     windows = window_rows(candidates, ["p", "edge"])
     # The first of each run of equal windows; folded before it is shuffled, so a run may be of any length.
     runs = windows.groupBy("edge").agg(F.min("__did").alias("first"), F.max("__did").alias("last"))
-    runs = runs.where("first < last").select("edge", "first")
+    # Written, so that the join's sides are plain exchanges and a window that very many texts hold is dealt to several tasks.
+    runs = stage(runs.where("first < last").select("edge", "first"), "repeated-windows")
     later = windows.join(runs, "edge").where("first < __did")
     span = F.struct(F.col("p").cast("int"), F.lit(WINDOW).alias("n"))
     return later.groupBy("__did", "__h1").agg(F.collect_list(span).alias("__spans"))

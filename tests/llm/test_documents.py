@@ -188,3 +188,26 @@ def test_empty_tables(none):
     assert minhash.near_duplicates(none).collect() == minhash.keep_first(none).collect() == []
     assert quality.judge(none).collect() == quality.keep_good(none).collect() == []
     assert sharding.shard_by_bytes(none, "doc_id", F.lit(1), 3).collect() == []
+
+
+def test_rows_without_ids(spark):
+    """No line is lost altogether, and one row of a group of near copies stays."""
+    line, words = "a line that all of these rows hold", " ".join(f"w{i}" for i in range(300))
+    frame = spark.createDataFrame([(None, f"{line}\nown text {i}") for i in range(4)], "doc_id long, text string")
+    kept = [r.text.split("\n") for r in line_dedup.dedup_lines(frame).collect()]
+    assert sum(line in x for x in kept) == 1 and all(any(y.startswith("own") for y in x) for x in kept)
+    with_id = frame.unionByName(spark.createDataFrame([(-5, line)], frame.schema))
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(with_id).collect() if line in r.text}
+    assert found == {-5: line}
+    near = spark.createDataFrame([(None, f"{words} {i}") for i in range(5)] + [(None, "other text " * 30)], frame.schema)
+    assert sorted(r.text[:5] for r in minhash.keep_first(near).collect()) == ["other", "w0 w1"]
+    same = spark.createDataFrame([(None, words), (None, words), (7, words + " x"), (7, words + " y")], frame.schema)
+    assert [r.doc_id for r in minhash.keep_first(same).collect()] == [7]
+
+
+def test_copies_of_a_text_beside_rows_without_ids(spark):
+    words = " ".join(f"w{i}" for i in range(80))
+    frame = spark.createDataFrame([(i, words) for i in (5, 3, 9, 3)] + [(None, words), (None, words)], "doc_id long, text string")
+    for operator in (suffix_dedup, debruijn):
+        found = [(r.doc_id, r.n_removed) for r in operator.dedup_passages(frame).collect()]
+        assert ordered(found) == ordered([(3, 0), (3, 0), (5, 80), (9, 80), (None, 80), (None, 80)])

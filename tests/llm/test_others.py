@@ -299,3 +299,21 @@ def test_pipeline(spark, frame, none, docs, tmp_path):
     assert {r.doc_id for r in packed.collect()} == {i for i, _ in left}
     for function in stages.values():
         assert function(spark, none.withColumn("n_chars", F.lit(1).cast("long")).select(*columns), "").collect() == []
+
+
+@pytest.mark.parametrize("kind, labels", [("string", ["a", "b", ""]), ("double", [1.2, 1.7, -3.0]), ("boolean", [True, False, True])])
+def test_labels_of_any_type(spark, kind, labels):
+    """Labels are compared as they are, and only equal ones link."""
+    rows = [(i, [1.0, 0.01 * i, 2.0], label) for i, label in enumerate(labels * 2)] + [(9, [1.0, 0.0, 2.0], None)]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.link_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()}
+    alike = {i: [j for j, _, label in rows if j != i and label == own and own is not None] for i, _, own in rows}
+    assert found == {i: (len(js), min([i, *js])) for i, js in alike.items()}
+
+
+def test_vectors_of_any_scale(spark):
+    """Squares of components beyond the range of doubles do not part or link vectors."""
+    base = np.array([3.0, -1.0, 2.0, 0.5])
+    rows = [(i, [float(x) for x in base * scale], 1) for i, scale in enumerate([1e200, 1.0, 1e-200, 7e300, 1e-310])]
+    rows += [(10, [1e200, 1e200, -1e200, 0.0], 1), (11, [float(x) for x in -base], 1)]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert found == {**{i: (4, 0) for i in range(5)}, 10: (0, 10), 11: (0, 11)}
