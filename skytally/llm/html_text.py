@@ -42,20 +42,34 @@ OUTSIDE_WORDS = re.compile(
 NOT_ARTICLE = re.compile(r"(?:^|[^a-z])(?:comment|reply|ad|advert|promo|teaser|related|sidebar)(?![a-z])")
 #: Topics of an article, which blog systems add to its classes.
 TOPICS = re.compile(r"(?<![\w-])(?:category|tag)-[\w-]+")
-#: Headers of articles, as opposed to those of pages; within an article also the plain word.
+#: Headers of articles, as opposed to those of pages.
 ARTICLE_HEADER = re.compile(r"(?<![\w-])(?:entry|post|article)-?header(?![\w-])")
-HEADER = re.compile(r"(?<![\w-])header(?![\w-])")
 BESIDE = re.compile(r"\b(?:has|with|without|no)-[\w-]+")
 INSIDE_WORDS = re.compile(
     r"(?:^|[^a-z])(?:articles?|article-?\w*|post|post-?(?:body|content|text)|entry|entry-?content|content|main|main-?content|"
     r"story\w*|body-?text|text|prose)(?![a-z])"
 )
+# Inside an article a word counts only as the name of a widget: the whole of a class, or together with words of layout.
+#: What names there are made of, besides words for what lies outside.
+LAYOUT = frozenset(
+    "area article articles bar block body bottom box button buttons col container content count desktop entry group head heading "
+    "icon icons img image inline inner item items label labels large left lg link links list main md media mobile outer page post "
+    "posts primary right row secondary section site slot sm small stories story text thread title top unit wrap wrapper".split()
+)
+#: Words for what readers write: they count on every element, also in its id.
+READERS = re.compile(r"comments?|commentlist|disqus|repl(?:y|ies)|respond")
+#: Words for advertisements and calls to subscribe.
+PAID = re.compile(r"ads?|adverts?\w*|advertis\w*|promo\w*|sponsor\w*|banner\w*|newsletter\w*|subscri\w*|cookie\w*|consent\w*|share\w*")
+#: Elements that are parts of an article whatever their id, and whatever topic their class names.
+PARTS_OF_TEXT = frozenset("section p h1 h2 h3 h4 h5 h6 figure figcaption blockquote pre table details".split())
+#: Asides that belong to the article around them.
+INSETS = re.compile(r"(?:^|[^a-z])(?:pull-?quotes?|quotes?|epigraph|side-?notes?|margin-?notes?|foot-?notes?|notes?|callout|tip|definition|example)(?![a-z])")
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)",
     re.DOTALL,
 )
-LABEL = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+LABEL = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.IGNORECASE)
 #: Elements that a new block of the same kind ends, when their own end tag is left out.
 CLOSED_BY = {"p": BLOCK_TAGS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"},
@@ -128,12 +142,10 @@ def blocks(page: str) -> list[Block]:
             continue
         above = stack[-1] if stack else _Open("", 0, 0)
         said, label = ("", "") if closing else _labels(attributes, tag)
-        if above.inside:
-            said = HEADER.sub(" ", said)
         hidden = not closing and bool(HIDDEN.search(attributes))
         if tag not in BLOCK_TAGS and tag not in OUTSIDE_TAGS:
             # An inline element is part of the text around it, unless it says that it is something else.
-            if not (any(o.tag == tag for o in stack) if closing else hidden or OUTSIDE_WORDS.search(said)):
+            if not (any(o.tag == tag for o in stack) if closing else hidden or not above.inside and OUTSIDE_WORDS.search(said)):
                 continue
         flush()
         if tag in BLOCK_TAGS:
@@ -150,11 +162,18 @@ def blocks(page: str) -> list[Block]:
             continue
         above = stack[-1] if stack else _Open("", 0, 0)
         inside = int(above.inside or tag in INSIDE_TAGS or bool(INSIDE_WORDS.search(label)))
+        if tag in INSIDE_TAGS:
+            named = bool(NOT_ARTICLE.search(said))
+        elif above.inside:
+            named = _widget(attributes, tag)
+        else:
+            named = tag not in ("body", "html") and bool(OUTSIDE_WORDS.search(said))
+        inset = tag == "aside" and above.inside and bool(INSETS.search(label))
         outside = int(
             above.outside
-            or tag in OUTSIDE_TAGS
+            or (tag in OUTSIDE_TAGS and not inset)
             or (tag == "header" and not above.inside and not ARTICLE_HEADER.search(label))
-            or (tag not in ("body", "html") and bool((NOT_ARTICLE if tag in INSIDE_TAGS else OUTSIDE_WORDS).search(said)))
+            or named
             or hidden
         )
         stack.append(_Open(tag, outside, inside))
@@ -167,7 +186,7 @@ def _labels(attributes: str, tag: str) -> tuple[str, str]:
 
     Of an article, the words of its topics are left out. The first text has no headers of articles, the second has.
     """
-    said = " ".join(a or b or c for a, b, c in LABEL.findall(attributes)).lower() if attributes else ""
+    said = " ".join(a or b or c for _, a, b, c in LABEL.findall(attributes)).lower() if attributes else ""
     said = BESIDE.sub(" ", said)
     bare = TOPICS.sub(" ", said)
     if bare != said and (tag in INSIDE_TAGS or INSIDE_WORDS.search(bare)):
@@ -175,6 +194,28 @@ def _labels(attributes: str, tag: str) -> tuple[str, str]:
     return ARTICLE_HEADER.sub(" ", said), said
 
 
+def _widget(attributes: str, tag: str) -> bool:
+    """Whether an element inside an article names itself as something that does not belong to it.
+
+    A name counts as a whole: ``related-posts`` and ``social`` are widgets, ``related-work`` and ``social-history`` are topics.
+    Topics of blog systems and headers are none. Of elements that are parts of a text only what readers write counts, and
+    advertisements and the like by class.
+    """
+    for attribute, *values in LABEL.findall(attributes):
+        kind = attribute.lower()
+        said = ARTICLE_HEADER.sub(" ", TOPICS.sub(" ", BESIDE.sub(" ", "".join(values).lower())))
+        for name in said.split() if kind in ("class", "id", "role") else ():
+            words = [w for w in re.split("[-_]+", name) if w]
+            known = [w for w in words if w != "header" and (OUTSIDE_WORDS.fullmatch(w) or READERS.fullmatch(w))]
+            if not known or any(w not in known and w not in LAYOUT and w != "header" for w in words):
+                continue
+            if tag not in PARTS_OF_TEXT or any(READERS.fullmatch(w) for w in known):
+                return True
+            if kind == "class" and any(PAID.fullmatch(w) for w in known):
+                return True
+    return False
+
+
 FEATURES = (
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
     "outside", "inside", "inside_page", "heading",

@@ -183,6 +183,60 @@ def test_headers_topics_and_formulas_of_articles_stay(tree, article, text):
     assert html_text.main_text(PAGE.format(article=article), tree) == text
 
 
+WORD = "One word and more."
+
+
+@pytest.mark.parametrize(
+    "article, text",
+    [
+        ("<section id='related-work'><h2>Related work</h2><p>{w}</p></section>", "Related work\n{w}"),
+        ("<section id='legal-status'><p>{w}</p></section>", "{w}"),
+        ("<h2 id='discussion'>Discussion</h2><p>{w}</p>", "Discussion\n{w}"),
+        ("<p class='social-history'>{w}</p>", "{w}"),
+        ("<p>{w}</p><aside class='pullquote'>A quote of it all.</aside><p>{w}</p>", "{w}\nA quote of it all.\n{w}"),
+        ("<p>The <span class='form'>infinitive</span> of it.</p>", "The infinitive of it."),
+        ("<div class='legal-history'><p>{w}</p></div>", "{w}"),
+        ("<p id='notice'>{w}</p>", "{w}"),
+        ("<section class='discussion'><p>{w}</p></section>", "{w}"),
+        ("<div id='search-for-meaning'><p>{w}</p></div>", "{w}"),
+        ("<figure class='advertising-poster-1920'><figcaption>{w}</figcaption></figure>", "{w}"),
+        ("<p>See the <b class='tags'>tags</b> and <em class='menu'>menu</em> of it.</p>", "See the tags and menu of it."),
+        ("<ul class='form-of-government'><li>{w}</li></ul>", "{w}"),
+    ],
+)
+@pytest.mark.parametrize("around", ["<article><p>Begin of it.</p>{x}</article>", "<main><h1>Begin of it.</h1>{x}</main>", "<div class='post-content'><p>Begin of it.</p>{x}</div>"])
+def test_words_in_names_do_not_take_parts_of_articles(tree, around, article, text):
+    page = PAGE.format(article=around.replace("{x}", article.replace("{w}", WORD)))
+    assert html_text.main_text(page, tree) == "Begin of it.\n" + text.replace("{w}", WORD)
+
+
+COMMENT = "I have read all of this and I do not agree with a single word of what the author says here."
+
+
+@pytest.mark.parametrize(
+    "inside, after",
+    [
+        ("<section id='comments'><p>{c}</p></section>", ""),
+        ("<div class='comment-list'><p>{c}</p></div>", ""),
+        ("<div id='disqus_thread'><p>{c}</p></div>", ""),
+        ("<p class='ad'>{c}</p>", ""),
+        ("<div class='related-posts'><p>{c}</p></div>", ""),
+        ("<div class='share'>{c}</div>", ""),
+        ("<div class='notice'><p>{c}</p></div>", ""),
+        ("<ul class='social-links'><li>{c}</li></ul>", ""),
+        ("<aside><p>{c}</p></aside>", ""),
+        ("", "<div id='thread'><p>{c}</p><p>{c}</p></div>"),
+        ("", "<div><div><p>{c}</p></div><div><p>{c}</p></div></div>"),
+        ("", "<div class='notices'><p>{c}</p></div>"),
+        ("", "<section class='discussion'><p>{c}</p></section>"),
+    ],
+)
+@pytest.mark.parametrize("around", ["<article><p>Begin of it.</p>{x}</article>", "<div class='post'><p>Begin of it.</p>{x}</div>"])
+def test_widgets_and_comments_still_go(tree, around, inside, after):
+    page = PAGE.format(article=(around.replace("{x}", inside) + after).replace("{c}", COMMENT))
+    assert html_text.main_text(page, tree) == "Begin of it."
+
+
 def test_labelled_blocks_are_learnt_and_others_too(tree):
     known = [(x, y) for page, labels in html_labels.labelled() for x, y in zip(html_text.features(html_text.blocks(page)), labels)]
     assert all(html_text.decide(tree, x) == bool(y) for x, y in known)
