@@ -124,10 +124,20 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows)
 
 
-def score_preview(scored: DataFrame, label: str, rows: int = 20) -> DataFrame:
+def score_columns(scored: DataFrame, label: str) -> DataFrame:
     """Prediction, label and the score column the classifier offers."""
     value = "probability" if "probability" in scored.columns else "rawPrediction"
-    return scored.select("prediction", label, value).limit(rows)
+    return scored.select("prediction", label, value)
+
+
+def score_preview(scored: DataFrame, label: str, rows: int = 20) -> DataFrame:
+    """Some first rows of :func:`score_columns`."""
+    return score_columns(scored, label).limit(rows)
+
+
+def label_of(model: PipelineModel) -> str:
+    """The label that a saved pipeline's classifier was fitted to."""
+    return model.stages[-1].getLabelCol()
 
 
 def confusion(scored: DataFrame, label: str) -> DataFrame:

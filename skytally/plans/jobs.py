@@ -177,12 +177,12 @@ def score(spark: SparkSession, source: str, model: str, target: str, preview: in
 
     Rows without a value the model needs have no prediction and are left out. ``preview`` prints so many rows.
     """
-    label = next((task.label for name, task in MODELS.items() if name in model), classifier.DELAY.label)
+    fitted = classifier.load_model(model)
     flights = tables.read_published(spark, source).dropna(subset=classifier.MEASURES)
-    scored = classifier.score(classifier.load_model(model), flights)
+    scored = classifier.score(fitted, flights)
     scored.select(*FLIGHT_IDENTITY, "prediction").write.mode("overwrite").parquet(target)
     if preview:
-        classifier.score_preview(scored, label, preview).show(truncate=False)
+        classifier.score_preview(scored, classifier.label_of(fitted), preview).show(truncate=False)
 
 
 def publish(

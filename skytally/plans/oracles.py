@@ -324,6 +324,10 @@ SEPARABLE = FLIGHTS + """
 SELECT y AS label, y AS prediction, count(*) AS n FROM placed WHERE s >= 3435973837 GROUP BY ALL
 """
 
+SCORE_COLUMN = SEPARABLE.replace("count(*) AS n", "count(*) AS n, TRUE AS agrees")
+
+BATCH_ERROR = "SELECT event_type, count(*) AS n, TRUE AS error_seen FROM events GROUP BY event_type"
+
 DOCUMENT_IDS = FLIGHTS + """
 SELECT '["' || "ORIGIN" || '","' || "DEST" || '"]' AS id, "ORIGIN", "DEST",
        avg("DEP_DELAY") AS "AVG_DEP_DELAY", avg("ARR_DELAY") AS "AVG_ARR_DELAY"
@@ -537,6 +541,8 @@ def oracle_sql() -> dict[str, str]:
         "distinct_sketches": DISTINCT_SKETCHES,
         "quantile_sketches": QUANTILE_SKETCHES,
         "legs_roundtrip": LEGS,
+        "stream_interval": RUNNING,
+        "stream_batch_error": BATCH_ERROR,
         "stream_once": ONCE,
         "stream_once_count": ONCE_COUNT,
         "stream_late_kept": LATE_KEPT,
@@ -554,6 +560,7 @@ def oracle_sql() -> dict[str, str]:
         "ml_delay_metrics": PARTS.format(label="IS_DELAY", needed="ARR_DELAY", bound=42949673),
         "ml_cancel_metrics": PARTS.format(label="CANCELLED", needed="CANCELLED", bound=858993459),
         "ml_separable": SEPARABLE,
+        "ml_score_column": SCORE_COLUMN,
         "sink_document_ids": DOCUMENT_IDS,
         "sink_top_destinations": TOP,
         "counts_on_write": COUNTS_ON_WRITE,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import StreamingQueryException
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -455,6 +457,42 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emitted.select("window_start", "window_end", "event_type", "n")
 
 
+def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running count with a processing-time trigger, which takes the files in several micro-batches until none is left."""
+    stream, _ = _event_stream(spark, sf_dir)
+    counted, folder = counts.running_count(stream, "event_type"), work_folder(spark, "interval")
+    write = batch_folder_writer(f"{folder}/out")
+    query = control.start(counted, write, f"{folder}/checkpoint", "update", "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return latest_view(read_batches(spark, f"{folder}/out", counted.schema), ["id"])
+
+
+def stream_batch_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended by a sink that fails once behind its second batch: the error comes out, and a restart loses and repeats nothing."""
+    stream, _ = _event_stream(spark, sf_dir)
+    folder, failures = work_folder(spark, "batch-error"), []
+    write = batch_folder_writer(f"{folder}/out")
+
+    def failing(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id == 1 and not failures:
+            failures.append(batch_id)
+            raise RuntimeError("the sink is gone")
+
+    try:
+        control.run_available(stream, failing, f"{folder}/checkpoint")
+    except StreamingQueryException as error:
+        seen = "the sink is gone" in str(error)
+    else:
+        seen = not failures  # fewer than two batches
+    control.run_available(stream, failing, f"{folder}/checkpoint")
+    appended = read_batches(spark, f"{folder}/out", stream.schema)
+    return appended.groupBy("event_type").agg(F.count("*").alias("n"), F.lit(seen).alias("error_seen"))
+
+
 def _sent_again(spark: SparkSession, sf_dir: str, files: int | None = None) -> tuple[DataFrame, str]:
     """The events as messages, some of them twice or three times: again in their own slice, and in the next one."""
     folder, before = work_folder(spark, "sent-again"), []
@@ -564,9 +602,10 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flights(spark, sf_dir, "CANCELLED", "IS_DELAY")
-    return rows.agg(
-        F.count("*").alias("n"),
+    """Counted over the pairs of labels, of which there are few, so that no row is expanded."""
+    pairs = flights(spark, sf_dir, "CANCELLED", "IS_DELAY").groupBy("CANCELLED", "IS_DELAY").agg(F.count("*").alias("n"))
+    return pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.count_distinct("CANCELLED").alias("cancel_classes"),
         F.count_distinct("IS_DELAY").alias("delay_classes"),
     )
@@ -609,14 +648,27 @@ def _measured(task: classifier.Task, spark: SparkSession, sf_dir: str) -> DataFr
     )
 
 
-def ml_separable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The confusion matrix of a label that one feature parts with a wide margin."""
+def _separable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows of a label that one feature parts with a wide margin, scored by a saved model."""
     task = classifier.Task("FAR", ("DISTANCE",), fraction=1.0, max_iter=50, reg_param=0.0001)
     columns = [*SCAN_IDENTITY, *classifier.CALENDAR, *classifier.CATEGORIES, *classifier.MEASURES]
     rows = flights(spark, sf_dir, *columns).filter("DISTANCE < 800 OR DISTANCE > 1700")
     rows = rows.withColumn("FAR", (F.col("DISTANCE") > 1250).cast("int"))
-    scored = classifier.fit_and_measure(rows, task, work_folder(spark, "model"), SCAN_IDENTITY, portable=True)[2]
-    return classifier.confusion(scored, "FAR")
+    return classifier.fit_and_measure(rows, task, work_folder(spark, "model"), SCAN_IDENTITY, portable=True)[2]
+
+
+def ml_separable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The confusion matrix of a label that one feature parts with a wide margin."""
+    return classifier.confusion(_separable(spark, sf_dir), "FAR")
+
+
+def ml_score_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score column beside label and prediction: whether the larger score is that of the predicted class."""
+    shown = classifier.score_columns(_separable(spark, sf_dir), "FAR")
+    scores = vector_to_array(shown.columns[-1])
+    agrees = (scores[1] > scores[0]) == (F.col("prediction") == 1)
+    kinds = shown.groupBy(F.col("FAR").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+    return kinds.agg(F.count("*").alias("n"), F.bool_and(agrees).alias("agrees"))
 
 
 def queries() -> dict[str, Query]:
@@ -658,6 +710,8 @@ def queries() -> dict[str, Query]:
         "distinct_sketches": distinct_sketches,
         "quantile_sketches": quantile_sketches,
         "legs_roundtrip": legs_roundtrip,
+        "stream_interval": stream_interval,
+        "stream_batch_error": stream_batch_error,
         "stream_once": stream_once,
         "stream_once_count": stream_once_count,
         "stream_late_kept": stream_late_kept,
@@ -675,6 +729,7 @@ def queries() -> dict[str, Query]:
         "ml_delay_metrics": partial(_measured, classifier.DELAY),
         "ml_cancel_metrics": partial(_measured, classifier.CANCELLATION),
         "ml_separable": ml_separable,
+        "ml_score_column": ml_score_column,
         "sink_document_ids": sink_document_ids,
         "sink_top_destinations": sink_top_destinations,
         "counts_on_write": counts_on_write,
