@@ -1,31 +1,175 @@
 """Repeated passages by sparse suffixes.
 
-Suffixes are retained at content-selected minimiser positions only (:mod:`skytally.llm.passages`), sorted by the hash of
-their first 19 words and compared with their neighbours: those that no other text shares go. What is around the others is
-looked at to the left and to the right, but not by extending pairs of neighbours word by word: a window of 50 words may be
-shared with another text than the neighbours' longest match is, and the contract asks for each window's smallest holder.
-So every window that belongs to a remaining suffix is hashed, and the first of a run of equal windows, the one of the
-smallest document id, stays. The union of these windows is that of all matches extended to both sides.
+Suffixes are retained at content-selected minimiser positions only (:mod:`skytally.llm.passages`): equal windows of 50 words
+have their minimisers at the same place, so a window is known by its suffix and its offset from it. Suffixes are sorted
+by their first 19 words and by document, and each is compared with the neighbours before it, the first of its run and the
+previous one: from the minimiser on, to the left and to the right, as far as windows agree at equal offsets. Tasks do so
+on what they read first, so that a passage that very many documents hold leaves a task once.
+
+A window may have a smaller holder that is neither of these neighbours. What remains after the comparison, all first
+holders among it, is therefore sorted by whole windows once more, and of a run of equal windows the one of the smallest
+document id stays. A window that a smaller document holds is found in either way, since its smallest holder always remains.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.passages import WINDOW, remove, window_rows
+from skytally.llm.passages import WINDOW, anchors, remove
+from skytally.llm.rows import binary
+from skytally.llm.words import WordHashes, run_hashes
 from skytally.session import stage
 
+#: Suffixes a task remembers to compare others with.
+HELD = 100_000
+#: Suffixes with one beginning that a task sends to meet the others; further ones are spread by their text.
+MEET = 64
+
+
+class _Suffix:
+    """Windows of a document around one minimiser ``at``: hashes of those that start ``top``, ``top - 1``, ... words before it."""
+
+    __slots__ = ("did", "h1", "at", "top", "edges")
+
+    def __init__(self, did: int, h1: int, at: int, top: int, edges: np.ndarray):
+        self.did, self.h1, self.at, self.top, self.edges = did, h1, at, top, edges
+
+    def shared(self, other: _Suffix) -> np.ndarray:
+        """Which of the windows the other suffix has at the same offset."""
+        out = np.zeros(len(self.edges), dtype=bool)
+        high = min(self.top, other.top)
+        low = max(self.top - len(self.edges), other.top - len(other.edges)) + 1
+        if high >= low:
+            own = self.edges[self.top - high : self.top - low + 1]
+            out[self.top - high : self.top - low + 1] = own == other.edges[other.top - high : other.top - low + 1]
+        return out
+
+    def runs(self, which: np.ndarray) -> Iterator[tuple[int, int]]:
+        """First and last-but-one index of neighbouring windows among ``which``."""
+        edges = np.flatnonzero(np.diff(np.r_[False, which, False]))
+        return zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
+
+    def spans(self, which: np.ndarray) -> list[tuple[int, int]]:
+        """First word and length of the passages that ``which`` of the windows cover."""
+        return [(self.at - self.top + a, b - a + WINDOW - 1) for a, b in self.runs(which)]
+
+    def rest(self, which: np.ndarray) -> list[_Suffix]:
+        """What is left without ``which``."""
+        return [_Suffix(self.did, self.h1, self.at, self.top - a, self.edges[a:b]) for a, b in self.runs(~which)]
+
+
+def _of_text(did: int, h1: int, marked: list[int], words: np.ndarray) -> Iterator[tuple[int, _Suffix]]:
+    """Key (of the first 19 words) and suffix for each of the marked minimisers of a text."""
+    anchor, prefixes = anchors(words)
+    edges = run_hashes(words, WINDOW).view(np.int64)
+    chosen = np.zeros(len(words) + 1, dtype=bool)
+    chosen[marked] = True
+    bounds = np.flatnonzero(np.diff(anchor, prepend=-1, append=-1))  # windows of a minimiser are neighbours
+    for first, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        at = int(anchor[first])
+        if chosen[at]:
+            yield int(prefixes[at].view(np.int64)), _Suffix(did, h1, at, at - first, edges[first:end])
+
+
+SUFFIX = "key long, salt long, __did long, __h1 long, at int, top int, edges binary, p int, n int"
+FOUND = "__did long, __h1 long, p int, n int, edge long"
+
+
+def _columns(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names, types = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], list(names))
+
+
+def suffixes(docs: DataFrame) -> DataFrame:
+    """Suffixes of the candidates without the windows that a smaller document of the same task has; these as passages."""
+    place = {c: docs.columns.index(c) for c in ("__did", "__h1", "__at", "__text")}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        first: dict[int, _Suffix] = {}
+        sent: dict[int, int] = {}
+        for whole in batches:
+            for i in range(0, whole.num_rows, 64):
+                batch, rows = whole.slice(i, 64), []
+                dids, h1s, marked = (batch.column(place[c]).to_pylist() for c in ("__did", "__h1", "__at"))
+                for did, h1, at, text in zip(dids, h1s, marked, binary(batch.column(place["__text"])), strict=True):
+                    for key, suffix in _of_text(did, h1, at, hashes.of(text.split())):
+                        left, held = [suffix], first.get(key)
+                        if held is None or did < held.did:
+                            first[key] = suffix
+                        elif held.did < did:
+                            same = suffix.shared(held)
+                            rows += [(None, None, did, h1, None, None, None, p, n) for p, n in suffix.spans(same)]
+                            left = suffix.rest(same)
+                        if left:
+                            sent[key] = sent.get(key, 0) + 1
+                        salt = h1 if sent.get(key, 0) > MEET else 0
+                        rows += [(key, salt, did, h1, x.at, x.top, x.edges.tobytes(), None, None) for x in left]
+                if len(first) > HELD:
+                    first.clear()
+                if len(sent) > 4 * HELD:
+                    sent.clear()
+                yield _columns(rows, SUFFIX)
+
+    return docs.mapInArrow(run, SUFFIX)
+
+
+def neighbours(found: DataFrame) -> DataFrame:
+    """Passages that a smaller document has too (``p``, ``n``), and single windows (``p``, ``edge``) that are still to be looked at."""
+    # Passages are done: they stay where they are, spread by their document.
+    place = [F.coalesce("key", "__did"), F.coalesce("salt", "p")]
+    ordered = found.repartition(*place).sortWithinPartitions("key", "salt", "__did", "__h1", "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run_of, before = None, []
+        for batch in batches:
+            done: list[tuple] = []
+            owners: list[tuple[int, int, int]] = []
+            places, edges = [], []
+            columns = [batch.column(i).to_pylist() for i in range(9)]
+            for key, salt, did, h1, at, top, own, p, n in zip(*columns, strict=True):
+                if key is None:
+                    done.append((did, h1, p, n, None))
+                    continue
+                suffix = _Suffix(did, h1, at, top, np.frombuffer(own, np.int64))
+                if (key, salt) != run_of:
+                    run_of, before = (key, salt), []
+                same = np.zeros(len(suffix.edges), dtype=bool)
+                for other in before:
+                    if other.did < did:
+                        same |= suffix.shared(other)
+                done += [(did, h1, first, size, None) for first, size in suffix.spans(same)]
+                rest = np.flatnonzero(~same)
+                owners.append((did, h1, len(rest)))
+                places.append(rest + (at - top))
+                edges.append(suffix.edges[rest])
+                before = [*before[:1], suffix]
+            yield _columns(done, FOUND)
+            if owners:
+                dids, h1s, counts = np.array(owners, dtype=np.int64).T
+                p = pa.array(np.concatenate(places).astype(np.int32))
+                arrays = [pa.array(np.repeat(dids, counts)), pa.array(np.repeat(h1s, counts)), p, pa.nulls(len(p), pa.int32()), pa.array(np.concatenate(edges))]
+                yield pa.RecordBatch.from_arrays(arrays, ["__did", "__h1", "p", "n", "edge"])
+
+    return ordered.mapInArrow(run, FOUND)
+
 
 def _spans(candidates: DataFrame) -> DataFrame:
-    windows = window_rows(candidates, ["p", "edge"])
-    # The first of each run of equal windows; folded before it is shuffled, so a run may be of any length.
+    found = stage(neighbours(suffixes(candidates)), "suffix-matches")
+    windows = found.where("edge IS NOT NULL").select("__did", "__h1", "p", "edge")
     runs = windows.groupBy("edge").agg(F.min("__did").alias("first"), F.max("__did").alias("last"))
-    # Written, so that the join's sides are plain exchanges and a window that very many texts hold is dealt to several tasks.
+    # Written, so that the join's sides are plain exchanges and a window that many texts still hold is dealt to several tasks.
     runs = stage(runs.where("first < last").select("edge", "first"), "repeated-windows")
-    later = windows.join(runs, "edge").where("first < __did")
-    span = F.struct(F.col("p").cast("int"), F.lit(WINDOW).alias("n"))
-    return later.groupBy("__did", "__h1").agg(F.collect_list(span).alias("__spans"))
+    later = windows.join(runs, "edge").where("first < __did").select("__did", "__h1", "p", F.lit(WINDOW).alias("n"))
+    every = found.where("n IS NOT NULL").select("__did", "__h1", "p", "n").unionByName(later)
+    return every.groupBy("__did", "__h1").agg(F.collect_list(F.struct("p", "n")).alias("__spans"))
 
 
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from material import docs, frame, none  # noqa: F401
 from pyspark.sql import functions as F
 
-from skytally.llm import debruijn, line_dedup, minhash, quality, sharding, suffix_dedup
+from skytally.llm import debruijn, line_dedup, minhash, passages, quality, sharding, suffix_dedup
 from skytally.llm.quality import BASE
 
 
@@ -44,6 +44,45 @@ def test_passages(frame, docs, operator):
     assert sum(r[2] > 0 for r in got) > 15
 
 
+@pytest.mark.parametrize("held, meet", [(100_000, 64), (3, 1), (10_000, 2)])
+def test_passages_by_suffixes_whatever_meets(frame, docs, monkeypatch, held, meet):
+    """What tasks remember, and which suffixes meet, changes how a passage is found, not whether."""
+    monkeypatch.setattr(suffix_dedup, "HELD", held)
+    monkeypatch.setattr(suffix_dedup, "MEET", meet)
+    got = ordered(suffix_dedup.dedup_passages(frame).select("doc_id", "n_words", "n_removed").collect())
+    assert got == ordered(r[:3] for r in brute.passages(docs))
+
+
+def test_windows_with_other_holders_than_the_neighbours(spark):
+    """Matches that go far to one side only: the smallest holder of a window is not that of the longest match."""
+    pick = random.Random(6)
+    base = [f"w{i}" for i in range(400)]
+    own = lambda n: ["".join(pick.choice("xyz") for _ in range(12)) for _ in range(n)]
+    docs = [(i, " ".join(own(pick.randrange(5)) + base[a : a + pick.randrange(50, 120)] + own(pick.randrange(5)))) for i, a in enumerate(pick.sample(range(300), 120))]
+    pick.shuffle(docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    for _ in range(2):
+        got = ordered(suffix_dedup.dedup_passages(frame).select("doc_id", "n_words", "n_removed", "text").collect())
+        assert got == ordered(brute.passages(docs))
+        frame = frame.coalesce(1)
+    assert sum(0 < r[2] < r[1] for r in got) > 50
+
+
+def test_neighbours_take_most_of_a_common_passage(spark):
+    """A passage that all documents hold leaves each task once, and little is left to the comparison of windows."""
+    passage = " ".join(f"p{i}" for i in range(300))
+    frame = spark.createDataFrame([(i, f"a{i} b{i} {passage} c{i}") for i in range(400)], "doc_id long, text string").repartition(4)
+    known = passages.with_hashes(frame, "doc_id", "text").withColumnRenamed("text", "__text")
+    found = suffix_dedup.suffixes(passages.candidates(known, passages.text_classes(known)))
+    tasks = found.rdd.getNumPartitions()
+    windows = 251 * 400
+    left = sum(len(r.edges) // 8 for r in found.where("key IS NOT NULL").collect())
+    # Of each task those of documents that come before all smaller ones: about the logarithm of their number.
+    assert left < windows * 0.25 and tasks >= 1
+    rest = suffix_dedup.neighbours(found).where("edge IS NOT NULL").count()
+    assert 251 <= rest < left
+
+
 @pytest.mark.parametrize("operator", [suffix_dedup, debruijn])
 def test_untouched_texts_keep_their_white_space(spark, operator):
     frame = spark.createDataFrame([(1, "a  b\n\tc "), (2, None)], "doc_id long, text string")
