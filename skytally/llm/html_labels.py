@@ -1,6 +1,6 @@
 """The labelled table for :mod:`skytally.llm.html_text`: short pages in pieces, each with the label of its blocks.
 
-1: part of the article, 0: not. Written by hand for this purpose.
+1: part of the article, 0: not. Written by hand for this purpose: 26 pages one by one, 42 in seven layouts.
 """
 
 from __future__ import annotations
@@ -83,6 +83,7 @@ PAGES: list[list[Piece]] = [
     [(f"<nav>{MENU}</nav><p>{MORE}</p><p>{LONG}</p><p>It went on raining for days.</p>", [0, 0, 0, 1, 1, 1])],
     [(f"<p>{LONG}</p>", [1])],
     [("<p>A short page.</p>", [1])],
+    [("<div>Closed until Monday.</div>", [1])],
     [
         (f'<article class="post category-legal"><header class="entry-header"><h1>Low water</h1></header><p>{MORE}</p>', [1, 1]),
         ("<p>It fell by <math><mi>x</mi><mo>=</mo><mn>2</mn></math> feet.</p></article>", [1]),
@@ -92,5 +93,62 @@ PAGES: list[list[Piece]] = [
 ]
 
 
+# Further pages of seven layouts, each with sentences of its own.
+WHO = (
+    "The harbour master", "An old teacher", "My neighbour", "The smallest of the goats", "A young engineer", "The choir", "Her brother", "The second crew",
+    "A letter from the council", "The night train", "Our baker", "The last keeper of the light",
+)
+DID = (
+    "kept a record of every storm that came in from the west", "would not say where the money had gone", "had planted pears along the whole of the wall",
+    "took the long road over the hill because the bridge was shut", "found three coins and a button under the floor", "spoke for an hour without looking at the paper",
+    "measured the well again and wrote the figure on the door", "arrived two days late and with half of the cargo", "had learnt the song from a sailor in the north",
+    "repaired the clock with a spoon and some wire",
+)
+WHEN = (
+    "in the year the river froze", "while the others were still asleep", "before the market opened", "as people do who have waited for too long",
+    "although nobody had asked for it", "on the first warm evening of April", "for reasons that were never made clear",
+)
+SHORT = (
+    "It held.", "So it went on.", "Nobody came that day or the next.", "They laughed.", "That was all they had to say.", "It rained again in the night.",
+    "Not quite as she had planned.",
+)
+NOTES = ("Printed in town", "All rights reserved by the printers", "Imprint", "Set by hand since the first issue", "Number 12 of this year", "Last changed on a Monday")
+LINKS = ("Home", "News", "Sport", "Letters", "Archive", "Contact", "Weather", "Shop", "Jobs", "Travel", "Food", "Music", "Maps")
+
+
+def _sentence(n: int) -> str:
+    return f"{WHO[n % len(WHO)]} {DID[n % len(DID)]} {WHEN[n % len(WHEN)]}."
+
+
+def _links(n: int, count: int) -> str:
+    return " ".join(f'<a href="/{n}/{i}">{LINKS[(n + i) % len(LINKS)]}</a>' for i in range(count))
+
+
+def _made(layout: int, n: int) -> list[Piece]:
+    """The ``n``-th page of a layout. In pages without hints a short block belongs to the text if text follows and it is a heading or text precedes it."""
+    one, two, three, four = (_sentence(4 * n + i) for i in range(4))
+    brief, other = SHORT[n % 7], SHORT[(n + 3) % 7]
+    many = _links(n, 14 + 7 * (n % 6))
+    menu, foot = (f"<div>{many}</div>", [0]), (f"<div>{_links(n + 5, 14 + 7 * ((n + 2) % 6))}</div><div>{NOTES[n % 6]}</div>", [0, 0])
+    side = (f'<div class="{("sidebar", "ad", "comments", "cookie-notice", "related")[n % 5]}"><p>{four} {one}</p><p>{other}</p></div>', [0, 0])
+    if layout == 0:  # text with a short paragraph in the middle
+        return [menu, (f"<h1>{WHO[n % 12]}</h1><p>{one}</p><p>{brief}</p><p>{two} {three}</p>", [1, 1, 1, 1]), side, foot]
+    if layout == 1:  # links between and after paragraphs
+        return [menu, (f"<p>{one}</p><div>{many}</div><p>{two}</p>", [1, 0, 1]), (f"<p>{brief}</p><div>{many}</div>", [0, 0]), side, foot]
+    if layout == 2:  # a short line behind a list of links is no text
+        return [side, menu, (f"<div>{brief}</div>", [0]), (f"<div>{one}</div><div>{two}</div><div>{other}</div><div>{three}</div>", [1, 1, 1, 1]), foot]
+    if layout == 3:  # what readers write lies outside of the article, without a name
+        return [menu, (f"<article><h2>{WHO[n % 12]}</h2><p>{one}</p><p>{brief}</p></article>", [1, 1, 1]), (f"<div><div>{two}</div><div>{three} {four}</div></div>", [0, 0])]
+    if layout == 4:  # lists of short things, and notices
+        box = f'<div class="sidebar"><p>{four}</p></div>'
+        return [menu, (f"<main><p>{one}</p><ul><li>Flour</li><li>Salt</li></ul><p>{two}</p></main>", [1, 1, 1, 1]), (box, [0]), ("<div>Rain today</div><div>Wind from the west</div>", [0, 0])]
+    if layout == 5:  # headings inside the text, credits behind it
+        return [(f"<h1>{WHO[n % 12]}</h1><p>{one}</p><h2>{WHO[(n + 4) % 12]}</h2><p>{two}</p>", [1, 1, 1, 1]), (f"<p>{NOTES[n % 6]}</p><p>{NOTES[(n + 1) % 6]}</p>", [0, 0]), foot]
+    return [(f"<div class='post-content'><p>{one}</p><p>{brief}</p></div>", [1, 1]), (f"<h3>More</h3><div>{_links(n, 6)}</div>", [0, 0]), (f"<footer>{two}</footer>", [0])]
+
+
+PAGES += [_made(layout, n) for layout in range(7) for n in range(7 * layout, 7 * layout + 6)]
+
+
 def labelled() -> list[tuple[str, list[int]]]:
     return [("".join(h for h, _ in page), [label for _, own in page for label in own]) for page in PAGES]

@@ -238,7 +238,7 @@ def features(page: list[Block]) -> list[tuple[float, ...]]:
 Tree = tuple | float
 
 
-def fit(spark: SparkSession, labelled: list[tuple[str, list[int]]], depth: int = 6) -> Tree:
+def fit(spark: SparkSession, labelled: list[tuple[str, list[int]]], depth: int = 12) -> Tree:
     """Decision tree for pages whose blocks carry a label each: 1 in the article, 0 outside.
 
     The labelled table is small by intent: a person labels it. Its size does not follow the corpus.
@@ -251,7 +251,7 @@ def fit(spark: SparkSession, labelled: list[tuple[str, list[int]]], depth: int =
         rows += [(*x, float(y)) for x, y in zip(features(found), labels, strict=True)]
     table = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in (*FEATURES, "label")))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(table)
-    model = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=2, seed=1).fit(vectors)
+    model = DecisionTreeClassifier(maxDepth=depth, seed=1).fit(vectors)
 
     def read(node) -> Tree:
         if node.numDescendants() == 0:

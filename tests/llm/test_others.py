@@ -242,6 +242,22 @@ def test_labelled_blocks_are_learnt_and_others_too(tree):
     assert all(html_text.decide(tree, x) == bool(y) for x, y in known)
 
 
+def test_tree_weighs_neighbours(tree):
+    """Words and link density of the blocks around decide where names of elements say nothing."""
+    used, open_ = set(), [tree]
+    while open_:
+        node = open_.pop()
+        if isinstance(node, tuple):
+            used.add(html_text.FEATURES[node[0]])
+            open_ += node[2:]
+    assert {"words", "link_density", "words_after", "link_density_before", "link_density_after", "outside", "inside"} <= used
+    assert len(html_labels.PAGES) >= 60
+    links = " ".join(f"<a href='/{i}'>Link {i}</a>" for i in range(20))
+    text = "A long enough sentence that says what this page without any named element is about."
+    page = f"<div>{links}</div><div>Menu of the day</div><div>{text}</div><div>Then this.</div><div>{text} {text}</div><div>Ask us</div><div>{links}</div>"
+    assert html_text.main_text(page, tree) == f"{text}\nThen this.\n{text} {text}"
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<p>", "</p></div></nav>", "<script>x", "<!--", "&", "<a href='", "<p " + "x" * 10_000, "<div>" * 5000])
 def test_broken_pages_give_a_text(tree, page):
     assert isinstance(html_text.main_text(page, tree), str)
