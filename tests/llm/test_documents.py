@@ -189,7 +189,7 @@ def test_each_part_can_reject_alone(spark):
         assert d2[3000] > quality.CUT and max(d2[i] for i in range(3000)) < quality.CUT
 
 
-@pytest.mark.parametrize("partitions", ["8", "3"])
+@pytest.mark.parametrize("partitions", ["3"])
 def test_verdicts_are_those_of_a_plain_version(spark, sf_dir, partitions):
     docs = spark.read.parquet(f"{sf_dir}/../sf0.01/documents.parquet")
     wanted = brute.verdicts([tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()], quality)
