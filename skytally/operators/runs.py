@@ -22,17 +22,20 @@ FIELDS = ["first_day", "days", "head", "tail", "best", "best_day"]
 SPAN = "SPAN"
 
 
-def month_bits(days: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
-    """The days of each key and month as bits, the first day lowest. Rows of a day may be repeated."""
+def month_bits(days: DataFrame, keys: Sequence[str], date: str, met: Column | None = None) -> DataFrame:
+    """The days of each key and month that meet a condition as bits, the first day lowest. Rows of a day may be repeated.
+
+    A month without such a day has a row too, with no bit, so that it can replace an earlier one.
+    """
     known = days.filter(F.col(date).isNotNull())
     parts = [F.year(date).alias("YEAR"), F.month(date).alias("MONTH")]
     bit = F.expr(f"shiftleft(1L, dayofmonth(`{date}`) - 1)")
-    return known.groupBy(*keys, *parts).agg(F.bit_or(bit).alias(BITS))
+    return known.groupBy(*keys, *parts).agg(F.bit_or(bit if met is None else F.when(met, bit).otherwise(0)).alias(BITS))
 
 
 def delayed_months(df: DataFrame, keys: Sequence[str], date: str = "FL_DATE", measure: str = "ARR_DELAY") -> DataFrame:
-    """Days whose mean is above zero, as bits by key and month. Months without such a day have no row."""
-    return month_bits(daily_means(df, keys, date, measure).filter(F.col("DAY_MEAN") > 0), keys, date)
+    """Days whose mean is above zero, as bits by key and month."""
+    return month_bits(daily_means(df, keys, date, measure), keys, date, F.col("DAY_MEAN") > 0)
 
 
 def _lowest_ones(bits: Column) -> Column:
@@ -101,11 +104,12 @@ def merge_spans(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
 def longest_runs(months: DataFrame, keys: Sequence[str], by_year: bool = False, name: str = "MAX_CONSEC_DELAY_DAYS") -> DataFrame:
     """Length, first and last day of the longest run of each key, from the bits of its months.
 
-    With ``by_year``, of each key and year, and runs end with the year. Otherwise runs go on over New Year.
+    With ``by_year``, of each key and year, and runs end with the year. Otherwise runs go on over New Year. Keys without
+    a day that meets the condition have no row.
     """
     spans = months.select(*keys, "YEAR", span_of_month().alias(SPAN))
     groups = [*keys, "YEAR"] if by_year else list(keys)
-    found = merge_spans(spans, groups)
+    found = merge_spans(spans, groups).filter(F.col(f"{SPAN}.best") > 0)
     day = lambda c: F.date_from_unix_date(c.cast("int"))
     best, first = F.col(f"{SPAN}.best"), F.col(f"{SPAN}.best_day")
     return found.select(*groups, best.cast("int").alias(name), day(first).alias("RUN_START"), day(first + best - 1).alias("RUN_END"))

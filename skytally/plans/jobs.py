@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skytally.functions.calendar import clock_timestamp
+from skytally.functions.calendar import as_utc, clock_timestamp
 from skytally.functions.keys import payload_id
 from skytally.models import classifier
 from skytally.operators import asof, ranking, rollups, runs
@@ -18,7 +18,7 @@ from skytally.operators.normalise import clean, numeric, project_published
 from skytally.plans.catalogue import ENTITIES, TABLES, day_partials, result_from_partials, result_table
 from skytally.session import sized_for, staged
 from skytally.sinks import merged
-from skytally.sinks.files import make_folder
+from skytally.sinks.files import delete, make_folder
 from skytally.sinks.tables import (
     BATCH,
     ResultSink,
@@ -106,7 +106,8 @@ def append_delay_months(
     """Write the delayed days of a published table as bits by entity and month.
 
     With ``months`` (pairs of year and month) only these are read, and only their folders in ``target`` are replaced:
-    a new month is added, or a corrected one put right, without reading the others.
+    a new month is added, or a corrected one put right, without reading the others. A month that is no longer published
+    goes.
     """
     keys = ENTITIES[entity]
     flights = tables.read_published(spark, source).select(*keys, "FL_DATE", "ARR_DELAY", *runs.MONTH)
@@ -118,6 +119,9 @@ def append_delay_months(
     found = runs.delayed_months(flights, keys)
     written = found.hint("rebalance", *runs.MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     written.partitionBy(*runs.MONTH).parquet(f"{target}/{entity}")
+    left = {tuple(r) for r in flights.select(*runs.MONTH).distinct().collect()} if months else set()  # of the few asked for
+    for year, month in set(months or ()) - left:
+        delete(spark, f"{target}/{entity}/YEAR={year}/MONTH={month}")
 
 
 def longest_delay_runs(spark: SparkSession, target: str, entity: str = "carrier", by_year: bool = False) -> DataFrame:
@@ -140,8 +144,8 @@ def rotations(raw: DataFrame) -> DataFrame:
     found = asof.asof_join(
         flown.drop("_seconds"), arrivals, ["Tail_Number"], "DEPARTED", "LANDED", ["PREV_LANDED", "PREV_ORIGIN", "PREV_DEST"]
     )
-    waited = (F.unix_seconds(F.col("DEPARTED").cast("timestamp")) - F.unix_seconds(F.col("PREV_LANDED").cast("timestamp"))) / 60
-    return found.withColumns({"WAITED": waited.cast("int"), "MOVED": F.col("Origin") != F.col("PREV_DEST")})
+    minute = lambda c: F.floor(F.unix_micros(as_utc(c)) / 60_000_000)  # noqa: E731  without the session's zone
+    return found.withColumns({"WAITED": (minute("DEPARTED") - minute("PREV_LANDED")).cast("int"), "MOVED": F.col("Origin") != F.col("PREV_DEST")})
 
 
 def summarise(spark: SparkSession, source: str, sink: ResultSink, infer: bool = False) -> None:

@@ -92,6 +92,13 @@ def test_month_is_replaced_not_added(spark, tmp_path):
     assert december == {p: p.stat().st_mtime_ns for p in (tmp_path / "months/carrier/YEAR=2023").rglob("*.parquet")}
     by_year = rows(jobs.longest_delay_runs(spark, f"{tmp_path}/months", by_year=True).select("YEAR", "MAX_CONSEC_DELAY_DAYS"))
     assert by_year == [(2023, 12), (2024, 15)]
+    # A month without delays, and one that is published no more, leave nothing behind.
+    publish({d: -1.0 if d.year == 2024 else v for d, v in days.items()})
+    jobs.append_delay_months(spark, f"{tmp_path}/published", f"{tmp_path}/months", months=[(2024, 1)])
+    assert [r.MAX_CONSEC_DELAY_DAYS for r in jobs.longest_delay_runs(spark, f"{tmp_path}/months").collect()] == [12]
+    publish({d: v for d, v in days.items() if d.year == 2024})
+    jobs.append_delay_months(spark, f"{tmp_path}/published", f"{tmp_path}/months", months=[(2023, 12), (2024, 1)])
+    assert [(r.YEAR, r.MAX_CONSEC_DELAY_DAYS) for r in jobs.longest_delay_runs(spark, f"{tmp_path}/months", by_year=True).collect()] == [(2024, 15)]
 
 
 # As-of joins -----------------------------------------------------------------
