@@ -2,11 +2,11 @@
 
 Suffixes are retained at content-selected minimiser positions only (:mod:`skytally.llm.passages`): equal windows of 50 words
 have their minimisers at the same place, so a window is known by its suffix and its offset from it. Suffixes are sorted
-by their first 19 words and by document, and each is compared with the neighbours before it, the first of its run and the
-previous one: from the minimiser on, to the left and to the right, as far as windows agree at equal offsets. Tasks do so
-on what they read first, so that a passage that very many documents hold leaves a task once.
+by their first 19 words and by document, and each is compared with the neighbours before it in its run, the first ones that
+hold something new: from the minimiser on, to the left and to the right, as far as windows agree at equal offsets. Tasks
+do so on what they read first, so that a passage that very many documents hold leaves a task a few times at most.
 
-A window may have a smaller holder that is neither of these neighbours. What remains after the comparison, all first
+A window may have a smaller holder that is none of these neighbours. What remains after the comparison, all smallest
 holders among it, is therefore sorted by whole windows once more, and of a run of equal windows the one of the smallest
 document id stays. A window that a smaller document holds is found in either way, since its smallest holder always remains.
 """
@@ -25,8 +25,9 @@ from skytally.llm.rows import binary
 from skytally.llm.words import WordHashes, run_hashes
 from skytally.session import stage
 
-#: Suffixes a task remembers to compare others with.
-HELD = 100_000
+#: Beginnings of suffixes a task remembers, and suffixes of each that others are compared with: before and after sorting.
+HELD = 50_000
+NEAR, NEAR_SORTED = 6, 32
 #: Suffixes with one beginning that a task sends to meet the others; further ones are spread by their text.
 MEET = 64
 
@@ -63,6 +64,32 @@ class _Suffix:
         return [_Suffix(self.did, self.h1, self.at, self.top - a, self.edges[a:b]) for a, b in self.runs(~which)]
 
 
+class _Run:
+    """Suffixes with one beginning that others are compared with."""
+
+    __slots__ = ("holders",)
+
+    def __init__(self):
+        self.holders: list[_Suffix] = []
+
+    def covered(self, suffix: _Suffix, most: int) -> np.ndarray:
+        """Which windows of the suffix a smaller document among the holders has. It becomes one of at most ``most``
+        holders if it has others; when there are too many, those of the smallest documents stay."""
+        same = np.zeros(len(suffix.edges), dtype=bool)
+        for other in self.holders:
+            if other.did < suffix.did:
+                same |= suffix.shared(other)
+                if same.all():
+                    return same
+        if len(self.holders) < most:
+            self.holders.append(suffix)
+        else:
+            last = max(range(most), key=lambda i: self.holders[i].did)
+            if suffix.did < self.holders[last].did:
+                self.holders[last] = suffix
+        return same
+
+
 def _of_text(did: int, h1: int, marked: list[int], words: np.ndarray) -> Iterator[tuple[int, _Suffix]]:
     """Key (of the first 19 words) and suffix for each of the marked minimisers of a text."""
     anchor, prefixes = anchors(words)
@@ -93,7 +120,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        first: dict[int, _Suffix] = {}
+        first: dict[int, _Run] = {}
         sent: dict[int, int] = {}
         for whole in batches:
             for i in range(0, whole.num_rows, 64):
@@ -101,13 +128,11 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 dids, h1s, marked = (batch.column(place[c]).to_pylist() for c in ("__did", "__h1", "__at"))
                 for did, h1, at, text in zip(dids, h1s, marked, binary(batch.column(place["__text"])), strict=True):
                     for key, suffix in _of_text(did, h1, at, hashes.of(text.split())):
-                        left, held = [suffix], first.get(key)
-                        if held is None or did < held.did:
-                            first[key] = suffix
-                        elif held.did < did:
-                            same = suffix.shared(held)
-                            rows += [(None, None, did, h1, None, None, None, p, n) for p, n in suffix.spans(same)]
-                            left = suffix.rest(same)
+                        if key not in first:
+                            first[key] = _Run()
+                        same = first[key].covered(suffix, NEAR)
+                        rows += [(None, None, did, h1, None, None, None, p, n) for p, n in suffix.spans(same)]
+                        left = suffix.rest(same)
                         if left:
                             sent[key] = sent.get(key, 0) + 1
                         salt = h1 if sent.get(key, 0) > MEET else 0
@@ -128,7 +153,7 @@ def neighbours(found: DataFrame) -> DataFrame:
     ordered = found.repartition(*place).sortWithinPartitions("key", "salt", "__did", "__h1", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run_of, before = None, []
+        run_of, near = None, _Run()
         for batch in batches:
             done: list[tuple] = []
             owners: list[tuple[int, int, int]] = []
@@ -140,17 +165,13 @@ def neighbours(found: DataFrame) -> DataFrame:
                     continue
                 suffix = _Suffix(did, h1, at, top, np.frombuffer(own, np.int64))
                 if (key, salt) != run_of:
-                    run_of, before = (key, salt), []
-                same = np.zeros(len(suffix.edges), dtype=bool)
-                for other in before:
-                    if other.did < did:
-                        same |= suffix.shared(other)
+                    run_of, near = (key, salt), _Run()
+                same = near.covered(suffix, NEAR_SORTED)
                 done += [(did, h1, first, size, None) for first, size in suffix.spans(same)]
                 rest = np.flatnonzero(~same)
                 owners.append((did, h1, len(rest)))
                 places.append(rest + (at - top))
                 edges.append(suffix.edges[rest])
-                before = [*before[:1], suffix]
             yield _columns(done, FOUND)
             if owners:
                 dids, h1s, counts = np.array(owners, dtype=np.int64).T

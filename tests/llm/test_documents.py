@@ -44,11 +44,11 @@ def test_passages(frame, docs, operator):
     assert sum(r[2] > 0 for r in got) > 15
 
 
-@pytest.mark.parametrize("held, meet", [(100_000, 64), (3, 1), (10_000, 2)])
-def test_passages_by_suffixes_whatever_meets(frame, docs, monkeypatch, held, meet):
+@pytest.mark.parametrize("held, meet, near", [(50_000, 64, 6), (3, 1, 1), (10_000, 2, 2)])
+def test_passages_by_suffixes_whatever_meets(frame, docs, monkeypatch, held, meet, near):
     """What tasks remember, and which suffixes meet, changes how a passage is found, not whether."""
-    monkeypatch.setattr(suffix_dedup, "HELD", held)
-    monkeypatch.setattr(suffix_dedup, "MEET", meet)
+    for name, value in (("HELD", held), ("MEET", meet), ("NEAR", near), ("NEAR_SORTED", near)):
+        monkeypatch.setattr(suffix_dedup, name, value)
     got = ordered(suffix_dedup.dedup_passages(frame).select("doc_id", "n_words", "n_removed").collect())
     assert got == ordered(r[:3] for r in brute.passages(docs))
 
