@@ -242,8 +242,10 @@ def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Text files of the raw rows. They are mostly commas, so compressed; such a file is read by one task, so its rows are bounded."""
     folder = work_folder(spark, "raw-csv")
-    raw_flights(spark, sf_dir).write.option("header", True).csv(folder)
+    bounded = {"header": True, "compression": "gzip", "maxRecordsPerFile": 1_000_000}
+    raw_flights(spark, sf_dir).write.options(**bounded).csv(folder)
     return folder
 
 
@@ -258,7 +260,7 @@ def csv_inferred_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_top_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A glob of text files instead of a folder."""
-    return jobs.top_destinations(tables.read_raw_csv(spark, f"{_staged_csv(spark, sf_dir)}/*.csv"))
+    return jobs.top_destinations(tables.read_raw_csv(spark, f"{_staged_csv(spark, sf_dir)}/*.csv.gz"))
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,9 +73,10 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     table that supplies no column is left out without changing the rows.
     No side is marked for broadcast. Base tables join one at a time, so
     Spark compares each file's own size with its threshold, and large sides
-    take the sort-merge join with skew splitting. Orders meet their customers and
-    suppliers their nation before the line items: the largest table is then
-    not moved by customer or by one of a few nations.
+    take the sort-merge join with skew splitting. A join's size is estimated as
+    the product of its sides: suppliers joined with their nations first would
+    count as large and move the line items by supplier. Orders meet their
+    customers before the line items, which are then not moved by customer.
     """
     wanted = columns or tuple(COLUMNS)
     sides = set().union(*[COLUMNS[c][1] for c in wanted])
@@ -89,11 +90,11 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             F.col("n_name").alias("origin_nation"),
             F.col("n_regionkey").alias("origin_regionkey"),
         )
+        rows = rows.join(_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        rows = rows.join(origin, F.col("s_nationkey") == F.col("origin_key"))
         if "region" in sides:
             region = _table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("origin_region"))
-            origin = origin.join(region, F.col("origin_regionkey") == F.col("r_regionkey"))
-        supplier = _table(spark, sf_dir, "supplier").join(origin, F.col("s_nationkey") == F.col("origin_key"))
-        rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+            rows = rows.join(region, F.col("origin_regionkey") == F.col("r_regionkey"))
     if "orders" in sides:
         orders = _table(spark, sf_dir, "orders")
         if "customer" in sides:
