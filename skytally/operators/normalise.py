@@ -32,13 +32,16 @@ def drop_copies(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def clean(published: DataFrame) -> DataFrame:
+def clean(published: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows with a readable date, without copies, with the derived columns.
 
     The derived columns follow from the others and stay out of the key of the
-    aggregate that drops copies.
+    aggregate that drops copies. With ``by`` rows meet by these columns and stay
+    where they met, so that a table written by them needs no exchange of its own;
+    copies are then folded behind the exchange, not in front of it.
     """
-    return add_derived(drop_copies(published.filter(F.col("FL_DATE").isNotNull())))
+    dated = published.filter(F.col("FL_DATE").isNotNull())
+    return add_derived(drop_copies(dated.repartition(*by) if by else dated))
 
 
 def normalise(raw: DataFrame) -> DataFrame:

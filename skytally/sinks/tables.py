@@ -16,7 +16,12 @@ BATCH = "batch_id"
 
 
 def write_published(
-    df: DataFrame, path: str, by: Sequence[str] = ("YEAR", "MONTH"), cluster: Sequence[str] = (), date: str = "FL_DATE"
+    df: DataFrame,
+    path: str,
+    by: Sequence[str] = ("YEAR", "MONTH"),
+    cluster: Sequence[str] = (),
+    date: str = "FL_DATE",
+    gathered: bool = False,
 ) -> None:
     """Overwrite a Parquet table partitioned by date columns.
 
@@ -26,9 +31,10 @@ def write_published(
     No task count is fixed here. For very large tables cluster by the date:
     a file then holds few days, and later daily aggregates combine well before
     their exchange. Files are sorted by date, which lets scans skip row groups.
+    Rows that an earlier step has already ``gathered`` are written where they are.
     """
-    gathered = df.hint("rebalance", *(cluster or by)).sortWithinPartitions(*by, date)
-    gathered.write.mode("overwrite").partitionBy(*by).parquet(path)
+    rows = df if gathered else df.hint("rebalance", *(cluster or by))
+    rows.sortWithinPartitions(*by, date).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

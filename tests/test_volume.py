@@ -3,9 +3,13 @@
 import gzip
 from pathlib import Path
 
-from conftest import plan_of
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
 
+from skytally.operators.normalise import clean
 from skytally.plans import queries
+from skytally.schemas import PUBLISHED_COLUMNS
+from skytally.sinks.tables import write_published
 from skytally.sources import tables
 from skytally.sources.star import raw_flights
 
@@ -29,3 +33,20 @@ def test_compressed_text_counts_as_the_text_it_holds(spark, tmp_path):
 def test_line_items_are_not_moved_by_a_small_table(spark, sf_dir):
     plan = plan_of(raw_flights(spark, sf_dir))
     assert "l_suppkey" in plan and "hashpartitioning(l_suppkey" not in plan
+
+
+def test_rows_that_meet_by_date_move_once(spark, tmp_path):
+    kinds = {"date": "date", "float": "float", "flag": "int", "text": "string"}
+    given = {
+        "FL_DATE": "CASE WHEN id % 7 > 0 THEN date_add(DATE'2024-01-30', int(id % 5)) END",
+        "DEP_DELAY": "float(id % 3)",
+        "ORIGIN": "CASE WHEN id % 2 = 0 THEN 'A' END",
+    }
+    some = spark.range(60).selectExpr(*[f"{given.get(n, 'NULL')} AS {n}" for _, n, _ in PUBLISHED_COLUMNS])
+    some = some.select([F.col(n).cast(kinds[k]).alias(n) for _, n, k in PUBLISHED_COLUMNS])
+    met = clean(some.unionByName(some), ["FL_DATE"])
+    assert plan_of(met).count("Exchange ") == 1
+    expected = rows(clean(some))
+    assert rows(met) == expected
+    write_published(met, str(tmp_path / "t"), gathered=True)
+    assert rows(tables.read_published(spark, str(tmp_path / "t"))) == expected
