@@ -328,8 +328,9 @@ def wire_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delay_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed messages of the flights, parsed under the wire schema."""
     typed = messages.to_messages(messages.typed_rows(raw_flights(spark, sf_dir), fill=True))
-    parsed = messages.parse_messages(typed)
     keys = ["Origin", "Dest", "Cancelled"]
+    summed = ["DepDelay", "ArrDelay", "CarrierDelay", "Distance", "TaxiOut", "CRSDepTime"]
+    parsed = messages.parse_messages(typed, columns=[*keys, *summed])
     return parsed.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.sum("DepDelay").alias("dep_delay"),
@@ -419,11 +420,12 @@ def stream_tumbling_count(spark: SparkSession, sf_dir: str, files: int | None =
 def _flight_stream(spark: SparkSession, sf_dir: str, files: int | None = None) -> tuple[DataFrame, str]:
     """Flight messages as a stream of JSON lines in the order of their dates, and its lateness."""
     folder = work_folder(spark, "flight-messages")
-    fields = raw_flights(spark, sf_dir).select("FlightDate", "CRSDepTime", "OriginCityName")
+    names = ["FlightDate", "CRSDepTime", "OriginCityName"]
+    fields = raw_flights(spark, sf_dir).select(*names)
     lines = stage(messages.to_messages(fields).withColumn("day", F.get_json_object("value", "$.FlightDate").try_cast("date")), "lines")
     lateness = _arrive(lines, "day", lambda part: write_messages(part, "text", folder))
     stream = messages.message_stream(spark, "text", _limit(spark, folder, files), folder)
-    return messages.parse_messages(stream), lateness
+    return messages.parse_messages(stream, columns=names), lateness
 
 
 def flight_summary_speed(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:

@@ -54,25 +54,29 @@ def parse_messages(
     schema: T.StructType = WIRE_SCHEMA,
     corrupt_column: str | None = None,
     unknown_column: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Typed columns of the JSON in ``value``; columns other than ``value`` are kept.
 
+    With ``columns`` only these fields of the schema are converted, as a scan reads only the columns that are asked
+    for; the others are passed over. Every message is still read to its end.
+
     Parsing is permissive: a bad token gives NULL, an unreadable message a row
     of NULLs. ``corrupt_column`` keeps the text of such a message and
     ``unknown_column`` lists field names that the schema does not declare.
     """
     rest = [c for c in messages.columns if c != "value"]
     options = dict(JSON_OPTIONS)
-    target = schema
+    target = schema if columns is None else T.StructType([schema[c] for c in columns])
     if corrupt_column:
-        target = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        target = T.StructType([*target.fields, T.StructField(corrupt_column, T.StringType())])
         options["columnNameOfCorruptRecord"] = corrupt_column
-    columns = [F.from_json("value", target, options).alias("_data")]
+    found = [F.from_json("value", target, options).alias("_data")]
     if unknown_column:
         declared = F.array(*[F.lit(name) for name in schema.names])
-        columns.append(F.array_except(F.json_object_keys("value"), declared).alias(unknown_column))
+        found.append(F.array_except(F.json_object_keys("value"), declared).alias(unknown_column))
     extra = [unknown_column] if unknown_column else []
-    return messages.select(*rest, *columns).select("_data.*", *rest, *extra)
+    return messages.select(*rest, *found).select("_data.*", *rest, *extra)
 
 
 def to_messages(df: DataFrame) -> DataFrame:

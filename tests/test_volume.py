@@ -3,6 +3,7 @@
 import gzip
 from pathlib import Path
 
+import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from skytally.operators.normalise import clean
 from skytally.plans import queries
 from skytally.schemas import PUBLISHED_COLUMNS
 from skytally.sinks.tables import write_published
-from skytally.sources import tables
+from skytally.sources import messages, tables
 from skytally.sources.star import raw_flights
 
 
@@ -50,3 +51,20 @@ def test_rows_that_meet_by_date_move_once(spark, tmp_path):
     assert rows(met) == expected
     write_published(met, str(tmp_path / "t"), gathered=True)
     assert rows(tables.read_published(spark, str(tmp_path / "t"))) == expected
+
+
+@pytest.mark.parametrize(
+    "line", ['{"Origin":"A","DepDelay":1.5,"Dest":"B"}', '{"Origin":"A","DepDelay":"x","Flights":"y"}', "{bad", "null", '{"Dest":{"a":1},"Origin":"A"}']
+)
+def test_wanted_fields_read_as_with_all_others(spark, line):
+    given = spark.createDataFrame([(line, 1)], "value string, n int")
+    wanted = ["Origin", "DepDelay"]
+    found = messages.parse_messages(given, columns=wanted)
+    assert found.columns == [*wanted, "n"]
+    assert rows(found) == rows(messages.parse_messages(given).select(*wanted, "n"))
+
+
+def test_queries_convert_the_fields_they_use(spark, sf_dir):
+    plan = queries.delay_defaults(spark, sf_dir)._jdf.queryExecution().analyzed().toString()
+    parsed = plan[plan.index("from_json("):]
+    assert "StructField(DepDelay,DoubleType" in parsed and "StructField(Tail_Number" not in parsed
