@@ -8,13 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.functions.calendar import calendar_parts
-from skytally.functions.conversion import CONVERSIONS, as_double
+from skytally.functions.conversion import CONVERSIONS, as_double, as_floats
 from skytally.schemas import PUBLISHED_COLUMNS
 
 
 def project_published(raw: DataFrame, columns: Sequence[tuple[str, str, str]] = tuple(PUBLISHED_COLUMNS)) -> DataFrame:
-    """Choose, rename and convert columns in one projection."""
-    return raw.select([CONVERSIONS[kind](F.col(source)).alias(name) for source, name, kind in columns])
+    """Choose, rename and convert columns.
+
+    Numbers are converted as one array, see :func:`as_floats`.
+    """
+    numbers = [source for source, _, kind in columns if kind == "float"]
+    others = dict.fromkeys(source for source, _, kind in columns if kind != "float")
+    floats = [as_floats(numbers).alias("__floats")] if numbers else []
+    place = {source: F.col("__floats")[i] for i, source in enumerate(numbers)}
+    return raw.select(*others, *floats).select(
+        [(place[source] if kind == "float" else CONVERSIONS[kind](F.col(source))).alias(name) for source, name, kind in columns]
+    )
 
 
 def add_derived(df: DataFrame, date: str = "FL_DATE", arrival_delay: str = "ARR_DELAY") -> DataFrame:

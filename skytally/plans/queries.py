@@ -344,7 +344,7 @@ def delay_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wire_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flight messages as published by default, parsed and summed up: empty numbers stay empty."""
-    fields = raw_flights(spark, sf_dir).select("Origin", "DestCityName", "ArrDelay", "Distance", "CancellationCode", "TaxiOut")
+    fields = raw_flights(spark, sf_dir, "Origin", "DestCityName", "ArrDelay", "Distance", "CancellationCode", "TaxiOut")
     parsed = messages.parse_messages(messages.to_messages(messages.typed_rows(fields)))
     return parsed.groupBy("Origin", "DestCityName", "CancellationCode").agg(
         F.count("ArrDelay").alias("n_arr_delay"),
@@ -421,7 +421,7 @@ def _flight_stream(spark: SparkSession, sf_dir: str, files: int | None = None) -
     """Flight messages as a stream of JSON lines in the order of their dates, and its lateness."""
     folder = work_folder(spark, "flight-messages")
     names = ["FlightDate", "CRSDepTime", "OriginCityName"]
-    fields = raw_flights(spark, sf_dir).select(*names)
+    fields = raw_flights(spark, sf_dir, *names)
     lines = stage(messages.to_messages(fields).withColumn("day", F.get_json_object("value", "$.FlightDate").try_cast("date")), "lines")
     lateness = _arrive(lines, "day", lambda part: write_messages(part, "text", folder))
     stream = messages.message_stream(spark, "text", _limit(spark, folder, files), folder)

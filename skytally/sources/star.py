@@ -105,19 +105,25 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return rows.selectExpr(*[f"{COLUMNS[c][0]} AS {c}" for c in wanted])
 
 
-def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view written the way raw files are: text only, numbers with two decimals, NULL elsewhere."""
+def raw_flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The view written the way raw files are: text only, numbers with two decimals, NULL elsewhere.
 
-    def decimals(column: str) -> str:
-        return f"string(CAST({column} AS DECIMAL(10, 2)))"
-
-    known = {raw: decimals(name) if kind == "float" else name for raw, name, kind in PUBLISHED_COLUMNS} | {
+    With ``columns``, these only. Numbers are written as one array;
+    ``transform`` keeps the projection out of whole-stage code, where it would
+    be one method too long for HotSpot to compile.
+    """
+    wanted = columns or tuple(RAW_COLUMNS)
+    numbers = {raw: name for raw, name, kind in PUBLISHED_COLUMNS if kind == "float"}
+    numbers = {raw: name for raw, name in (numbers | {"Cancelled": "CANCELLED", "Diverted": "DIVERTED"}).items() if raw in wanted}
+    texts = {raw: name for raw, name, kind in PUBLISHED_COLUMNS if kind == "text"} | {
         "Year": "string(YEAR)",
         "Month": "string(MONTH)",
         "DayofMonth": "string(DAYOFMONTH)",
         "FlightDate": "date_format(FL_DATE, 'yyyy-MM-dd')",
         "Reporting_Airline": "OP_CARRIER",
-        "Cancelled": decimals("CANCELLED"),
-        "Diverted": decimals("DIVERTED"),
     }
-    return flights(spark, sf_dir).selectExpr(*[f"{known.get(c, 'string(NULL)')} AS {c}" for c in RAW_COLUMNS])
+    doubles = ", ".join(f"double({name})" for name in numbers.values())
+    decimals = [f"transform(array({doubles}), x -> string(CAST(x AS DECIMAL(10, 2)))) AS decimals"] if numbers else []
+    rows = flights(spark, sf_dir).selectExpr(*[f"{texts[c]} AS {c}" for c in wanted if c in texts], *decimals)
+    place = {raw: f"decimals[{i}]" for i, raw in enumerate(numbers)}
+    return rows.selectExpr(*[f"{c if c in texts else place.get(c, 'string(NULL)')} AS {c}" for c in wanted])
