@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.llm.rows import NO_ID, binary, rewrite
-from skytally.llm.words import WordHashes, mix, run_hashes
+from skytally.llm.words import mix, run_hashes, word_hashes
 
 WINDOW = 50
 #: A power of two.
@@ -25,6 +25,8 @@ REACH = 32
 PREFIX = WINDOW - REACH + 1
 #: Anchors, and texts, a task remembers to tell at once what repeats within it.
 HELD = 400_000
+#: Texts whose words are numbered together.
+TOGETHER = 64
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -43,6 +45,15 @@ def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, prefixes
 
 
+def anchors_of(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Positions in ``words``, those of several texts, of windows that lie within a text, and their anchors; the hash of the
+    ``PREFIX`` words at each position, and the number of the text it lies in."""
+    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    anchor, prefixes = anchors(words)
+    at = np.flatnonzero(text[: len(anchor)] == text[WINDOW - 1 :])
+    return at, anchor[at], prefixes, text
+
+
 def with_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Adds ``__did``, the id to order by (NULL is largest), and ``__h1``, ``__h2``, hashes of the text."""
     return docs.withColumns(
@@ -63,37 +74,32 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         seen: set[int] = set()
         first: dict[int, int | None] = {}
         for batch in batches:
-            keys: list[int] = []
             known: list[bool] = []
-            of: list[int] = []
-            places: list[np.ndarray] = []
-            for h1, text in zip(batch.column(0).to_pylist(), binary(batch.column(1)), strict=True):
-                if h1 in seen:
-                    continue
-                seen.add(h1)
-                at, prefixes = anchors(hashes.of(text.split()))
-                at = np.unique(at)
-                own = prefixes[at].view(np.int64).tolist()
-                for key in own:
+            parts: list[tuple[np.ndarray, ...]] = []
+            for i in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(i, TOGETHER)
+                new = {h1: text for h1, text in zip(some.column(0).to_pylist(), binary(some.column(1)), strict=True) if h1 not in seen}
+                seen.update(new)
+                words, starts = word_hashes(list(new.values()))
+                _, at, prefixes, text_of = anchors_of(words, starts)
+                at = at[np.diff(at, prepend=-1) != 0]  # anchors are in order
+                keys, of = prefixes[at].view(np.int64), np.array(list(new), dtype=np.int64)[text_of[at]]
+                for key, h1 in zip(keys.tolist(), of.tolist(), strict=True):
                     held = first.setdefault(key, h1)
                     known.append(held is None)
                     if held is not None and held != h1:
                         first[key] = None
-                keys += own
-                of += [h1] * len(own)
-                places.append(at)
+                parts.append((keys, of, (at - starts[text_of[at]]).astype(np.int32)))
             if len(seen) > HELD:
                 seen.clear()
             if len(first) > HELD:
                 first.clear()
-            if keys:
-                h1, key = pa.array(of, pa.int64()), np.array(keys, dtype=np.int64)
-                at = pa.array(np.concatenate(places).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(key), h1, at], names)
+            if known:
+                key, h1, place_of = (pa.array(np.concatenate(x)) for x in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(known), key, h1, place_of], names)
 
     names = ["known", "key", "__h1", "at"]
     found = docs.select("__h1", "__text").mapInArrow(scan, "known boolean, key long, __h1 long, at int")
@@ -155,14 +161,13 @@ def window_rows(docs: DataFrame, columns: list[str]) -> DataFrame:
     place = {c: docs.columns.index(c) for c in ("__did", "__h1", "__at", "__text")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for whole in batches:
-            for i in range(0, whole.num_rows, 64):
-                batch = whole.slice(i, 64)
+            for i in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(i, TOGETHER)
                 dids, h1s, marked = (batch.column(place[c]).to_pylist() for c in ("__did", "__h1", "__at"))
                 parts: list[list[pa.Array]] = []
                 for did, h1, at, text in zip(dids, h1s, marked, binary(batch.column(place["__text"])), strict=True):
-                    words = hashes.of(text.split())
+                    words, _ = word_hashes([text])
                     anchor, _ = anchors(words)
                     edges = run_hashes(words, WINDOW).view(np.int64)
                     chosen = np.zeros(len(words) + 1, dtype=bool)
@@ -194,7 +199,6 @@ def cut_words(docs: DataFrame, spans: DataFrame, copies: DataFrame) -> DataFrame
     checked = len(spans.schema["__spans"].dataType.elementType.fields) == 3
 
     def cut(values: dict[str, list], texts: list[bytes]) -> tuple[list[bytes], list[list]]:
-        hashes = WordHashes()
         out, n_words, n_removed = [], [], []
         for listed, all_words, text in zip(values["__spans"], values["__whole"], texts, strict=True):
             n = len(text.split())
@@ -205,7 +209,7 @@ def cut_words(docs: DataFrame, spans: DataFrame, copies: DataFrame) -> DataFrame
                 change = np.zeros(n + 1, dtype=np.int64)
                 pairs = np.array([tuple(s.values()) for s in listed], dtype=np.int64)
                 if checked:
-                    edges = run_hashes(hashes.of(text.split()), WINDOW).view(np.int64)
+                    edges = run_hashes(word_hashes([text])[0], WINDOW).view(np.int64)
                     sums = np.bitwise_xor.accumulate(np.r_[np.int64(0), edges])
                     ends = np.minimum(pairs[:, 0] + pairs[:, 1] - WINDOW + 1, len(edges))
                     pairs = pairs[sums[ends] ^ sums[pairs[:, 0]] == pairs[:, 2]][:, :2]

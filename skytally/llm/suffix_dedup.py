@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.passages import WINDOW, anchors, remove
+from skytally.llm.passages import TOGETHER, WINDOW, anchors_of, remove
 from skytally.llm.rows import binary
-from skytally.llm.words import WordHashes, run_hashes
+from skytally.llm.words import run_hashes, word_hashes
 from skytally.session import stage
 
 #: Beginnings of suffixes a task remembers, and suffixes of each that others are compared with: before and after sorting.
@@ -90,17 +90,20 @@ class _Run:
         return same
 
 
-def _of_text(did: int, h1: int, marked: list[int], words: np.ndarray) -> Iterator[tuple[int, _Suffix]]:
-    """Key (of the first 19 words) and suffix for each of the marked minimisers of a text."""
-    anchor, prefixes = anchors(words)
+def _of_texts(dids: list[int], h1s: list[int], marked: list[list[int]], texts: list[bytes]) -> Iterator[tuple[int, _Suffix]]:
+    """Key (of the first 19 words) and suffix for each of the marked minimisers of some texts."""
+    words, starts = word_hashes(texts)
+    place, anchor, prefixes, text_of = anchors_of(words, starts)
     edges = run_hashes(words, WINDOW).view(np.int64)
     chosen = np.zeros(len(words) + 1, dtype=bool)
-    chosen[marked] = True
+    chosen[np.repeat(starts[:-1], [len(m) for m in marked]) + np.array([i for m in marked for i in m], dtype=np.int64)] = True
+    place, anchor = place[chosen[anchor]], anchor[chosen[anchor]]
     bounds = np.flatnonzero(np.diff(anchor, prepend=-1, append=-1))  # windows of a minimiser are neighbours
-    for first, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        at = int(anchor[first])
-        if chosen[at]:
-            yield int(prefixes[at].view(np.int64)), _Suffix(did, h1, at, at - first, edges[first:end])
+    at, first = anchor[bounds[:-1]], place[bounds[:-1]]
+    of = text_of[at]
+    columns = (prefixes[at].view(np.int64), of, at - starts[of], at - first, first, np.diff(bounds))
+    for key, i, own, top, begin, n in zip(*(c.tolist() for c in columns), strict=True):
+        yield key, _Suffix(dids[i], h1s[i], own, top, edges[begin : begin + n].copy())
 
 
 SUFFIX = "key long, salt long, __did long, __h1 long, at int, top int, edges binary, p int, n int"
@@ -119,24 +122,23 @@ def suffixes(docs: DataFrame) -> DataFrame:
     place = {c: docs.columns.index(c) for c in ("__did", "__h1", "__at", "__text")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         first: dict[int, _Run] = {}
         sent: dict[int, int] = {}
         for whole in batches:
-            for i in range(0, whole.num_rows, 64):
-                batch, rows = whole.slice(i, 64), []
-                dids, h1s, marked = (batch.column(place[c]).to_pylist() for c in ("__did", "__h1", "__at"))
-                for did, h1, at, text in zip(dids, h1s, marked, binary(batch.column(place["__text"])), strict=True):
-                    for key, suffix in _of_text(did, h1, at, hashes.of(text.split())):
-                        if key not in first:
-                            first[key] = _Run()
-                        same = first[key].covered(suffix, NEAR)
-                        rows += [(None, None, did, h1, None, None, None, p, n) for p, n in suffix.spans(same)]
-                        left = suffix.rest(same)
-                        if left:
-                            sent[key] = sent.get(key, 0) + 1
-                        salt = h1 if sent.get(key, 0) > MEET else 0
-                        rows += [(key, salt, did, h1, x.at, x.top, x.edges.tobytes(), None, None) for x in left]
+            for i in range(0, whole.num_rows, TOGETHER):
+                batch, rows = whole.slice(i, TOGETHER), []
+                columns = [batch.column(place[c]).to_pylist() for c in ("__did", "__h1", "__at")]
+                for key, suffix in _of_texts(*columns, binary(batch.column(place["__text"]))):
+                    did, h1 = suffix.did, suffix.h1
+                    if key not in first:
+                        first[key] = _Run()
+                    same = first[key].covered(suffix, NEAR)
+                    rows += [(None, None, did, h1, None, None, None, p, n) for p, n in suffix.spans(same)]
+                    left = suffix.rest(same)
+                    if left:
+                        sent[key] = sent.get(key, 0) + 1
+                    salt = h1 if sent.get(key, 0) > MEET else 0
+                    rows += [(key, salt, did, h1, x.at, x.top, x.edges.tobytes(), None, None) for x in left]
                 if len(first) > HELD:
                     first.clear()
                 if len(sent) > 4 * HELD:

@@ -24,6 +24,33 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+_SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", dtype=np.uint8))
+#: Bytes whose numbers are computed at once.
+BLOCK = 1 << 18
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of several texts, one after the other; where the words of each text begin, and where the last end.
+
+    A word's number comes from the sum of numbers of its bytes at their places, so all words are looked at together.
+    """
+    data = np.frombuffer(b" ".join([b"", *texts, b""]), dtype=np.uint8)
+    inside = ~_SPACE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    first, end = edges[::2], edges[1::2]
+    out = np.zeros(len(first), dtype=np.uint64)
+    cuts = np.unique(np.r_[np.searchsorted(first, np.arange(0, len(data), BLOCK)), len(first)])
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        part = slice(first[a], end[b - 1])
+        sizes = end[a:b] - first[a:b]
+        begin = np.cumsum(sizes) - sizes
+        letters = data[part][inside[part]].astype(np.uint64)
+        place = (np.arange(1, len(letters) + 1) - np.repeat(begin, sizes)).astype(np.uint64)
+        out[a:b] = mix(np.add.reduceat(mix((letters + (place << np.uint64(8))) * ODD), begin))
+    begins = np.cumsum([1, *(len(text) + 1 for text in texts)])
+    return out, np.searchsorted(first, begins)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)

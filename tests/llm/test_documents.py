@@ -9,7 +9,7 @@ import pytest
 from material import docs, frame, none  # noqa: F401
 from pyspark.sql import functions as F
 
-from skytally.llm import debruijn, line_dedup, minhash, passages, quality, sharding, suffix_dedup
+from skytally.llm import debruijn, line_dedup, minhash, passages, quality, sharding, suffix_dedup, words
 from skytally.llm.quality import BASE
 
 
@@ -250,3 +250,23 @@ def test_copies_of_a_text_beside_rows_without_ids(spark):
     for operator in (suffix_dedup, debruijn):
         found = [(r.doc_id, r.n_removed) for r in operator.dedup_passages(frame).collect()]
         assert ordered(found) == ordered([(3, 0), (3, 0), (5, 80), (9, 80), (None, 80), (None, 80)])
+
+
+def test_words_of_several_texts_are_numbered_together():
+    """As one text at a time: equal words are equal, whatever is around them, and windows never lie in two texts."""
+    rng = np.random.default_rng(5)
+    some = ["a", "ab", "ba", "é", "\x1c", "　", "x" * 300_000, "x" * 299_999 + "y"]
+    texts = [b"", b" \t\x0b ", b"a", b"\na  ab\x0cba\r"]
+    texts += [" ".join(rng.choice(some[:6], n)).encode() for n in (49, 50, 51, 400)] + [" ".join(some * 3).encode()]
+    numbers, starts = words.word_hashes(texts)
+    every = [w for text in texts for w in text.split()]
+    assert np.diff(starts).tolist() == [len(text.split()) for text in texts]
+    assert len(set(zip(every, numbers.tolist(), strict=True))) == len(set(every)) == len(set(numbers.tolist()))
+    place, anchor, prefixes, of = passages.anchors_of(numbers, starts)
+    for i, text in enumerate(texts):
+        alone, _ = words.word_hashes([text])
+        expected, own = passages.anchors(alone)
+        mine = of[place] == i
+        assert (place[mine] - starts[i]).tolist() == list(range(len(expected)))
+        assert (anchor[mine] - starts[i]).tolist() == expected.tolist()
+        assert (prefixes[anchor[mine]] == own[expected]).all()
