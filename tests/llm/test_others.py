@@ -133,6 +133,24 @@ def test_both_folds_agree(spark, monkeypatch):
     assert one == ordered(piece_lattice.encode_units(words, table, 16).collect())
 
 
+def test_pieces_of_tasks_that_forget(spark, monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(piece_lattice, "REMEMBERED", 40)
+    monkeypatch.setattr(piece_lattice, "SLICE", 3)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [*strange(200, 9), *(" " * n + "a" for n in range(40)), "therewith unlikely " * 30, "日本語の文章です。" * 40, "", "▁▁a ▁b"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    encoded = piece_lattice.encode(table.union(table), PIECES)
+    wanted = [(i, library.encode(t)) for i, t in enumerate(texts)]
+    assert ordered(encoded.select("doc_id", "ids").collect()) == ordered(wanted * 2)
+
+
+def test_pieces_shuffle_nothing(spark, frame):
+    plan = piece_lattice.encode(frame, PIECES)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 # Pages -----------------------------------------------------------------------
 
 
