@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytally.functions.keys import joined_id
@@ -146,6 +146,77 @@ def grouped_sets(
     return grouped.select(names[F.col("_SET")].alias("GRAIN"), *all_keys, *measure_names)
 
 
+def distinct_counts(
+    df: DataFrame,
+    grains: Mapping[str, Sequence[str]],
+    many: str,
+    few: str,
+    names: Sequence[str],
+    derived: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Exact numbers of distinct values of two columns at several key sets: one of ``many`` values and one of ``few``.
+
+    ``count_distinct`` over GROUPING SETS sends a row for every row and set. Here rows cross one exchange as they are, by
+    the value of ``many``. Where the rows of a value meet they are sorted once for each chain of sets that extend each
+    other, and a row counts for the sets of which it is the first of its group. Values of ``few`` are folded there by all
+    keys of sets that extend each other, and counted from that. ``derived`` keys follow from other columns and are worked
+    out behind the exchange. A group without a value of either column has no row.
+    """
+    keys, derived = _all_keys(grains), derived or {}
+    rows = df.repartition(many).withColumns(derived).select(*keys, many, few)
+    for number, chain in enumerate(_chains(grains)):
+        order = list(dict.fromkeys(key for grain in chain for key in grains[grain]))
+        before, placed = f"_before{number}", F.struct(F.lit(True).alias("_row"), *order)
+        rows = rows.withColumn(before, F.lag(placed).over(Window.partitionBy(many).orderBy(*(order or [F.lit(True)]))))
+        for grain in chain:
+            same = F.col(before).isNotNull()
+            for key in grains[grain]:
+                same = same & F.col(f"{before}.{key}").eqNullSafe(F.col(key))
+            rows = rows.withColumn(f"_{grain}", F.col(many).isNotNull() & ~same)
+        rows = rows.drop(before)
+
+    types = {c: rows.schema[c].dataType for c in (*keys, few)}
+
+    def at(grain: str, kept: Sequence[str], value: Column | None, n: int) -> Column:
+        own = [(F.col(key) if key in kept else F.lit(None).cast(types[key])).alias(key) for key in keys]
+        shown = F.lit(None).cast(types[few]) if value is None else value
+        return F.struct(F.lit(grain).alias("GRAIN"), *own, shown.alias("_value"), F.lit(n).cast("long").alias("_n"))
+
+    families = _families(grains)
+    counted = [F.when(F.col(f"_{grain}"), at(grain, grains[grain], None, 1)) for grain in grains]
+    valued = [F.when(F.col(few).isNotNull(), at(own[0], _all_keys({g: grains[g] for g in own}), F.col(few), 0)) for own in families]
+    spread = rows.select(F.explode(F.array(*counted, *valued)).alias("_at")).filter(F.col("_at").isNotNull()).select("_at.*")
+    folded = spread.groupBy("GRAIN", *keys, "_value").agg(F.sum("_n").alias("_n"))
+    # A row with a value stands for all sets of its family, one without for its own set.
+    sets = F.array(F.struct("GRAIN", *keys, "_value", "_n"))
+    for own in families:
+        all_sets = F.array(*[at(grain, grains[grain], F.col("_value"), 0) for grain in own])
+        sets = F.when(F.col("_value").isNotNull() & (F.col("GRAIN") == own[0]), all_sets).otherwise(sets)
+    found = folded.select(F.explode(sets).alias("_at")).select("_at.*").groupBy("GRAIN", *keys)
+    return found.agg(F.sum("_n").alias(names[0]), F.count_distinct("_value").alias(names[1]))
+
+
+def _chains(grains: Mapping[str, Sequence[str]]) -> list[list[str]]:
+    """The sets' names in chains, each set with all keys of the one before it."""
+    return _gathered(grains, -1)
+
+
+def _families(grains: Mapping[str, Sequence[str]]) -> list[list[str]]:
+    """The sets' names in groups, each set with all keys of the first of its group."""
+    return _gathered(grains, 0)
+
+
+def _gathered(grains: Mapping[str, Sequence[str]], place: int) -> list[list[str]]:
+    found: list[list[str]] = []
+    for grain in sorted(grains, key=lambda grain: len(grains[grain])):
+        group = next((g for g in found if set(grains[g[place]]) <= set(grains[grain])), None)
+        if group is None:
+            found.append([grain])
+        else:
+            group.append(grain)
+    return found
+
+
 def _set_number(all_keys: Sequence[str], keys: Sequence[str]) -> int:
     """Spark's grouping id: one bit per key, set when the key is left out, first key highest."""
     return sum(1 << place for place, key in enumerate(reversed(all_keys)) if key not in keys)

@@ -165,20 +165,24 @@ def open_items_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct flight numbers and dates at all grains from sketches by day, and whether they are within 5 % of the exact count."""
-    columns = ["OP_CARRIER", "ORIGIN", "DEST", "YEAR", "MONTH", "DAYOFWEEK", "FL_DATE", "OP_CARRIER_FL_NUM"]
-    rows = flights(spark, sf_dir, *columns)
-    finest = [c for c in columns if c not in ("FL_DATE", "OP_CARRIER_FL_NUM")]
-    counted = ["OP_CARRIER_FL_NUM", "FL_DATE"]
-    dated = rows.withColumn("FL_DATE", F.unix_date("FL_DATE"))
-    partials = sketches.sketch_partials(dated, finest, counted)
-    keys = ["GRAIN", *finest]
+    finest, counted = ["OP_CARRIER", "ORIGIN", "DEST", "YEAR", "MONTH", "DAYOFWEEK"], ["OP_CARRIER_FL_NUM", "FL_DATE"]
+    calendar = {name: part for name, part in calendar_parts(F.col("FL_DATE")).items() if name in finest}
+    rows = flights(spark, sf_dir, *[c for c in finest if c not in calendar], *counted)
+    # A group of the finest keys has few rows, so these meet before they become sketches; a heavy group is split.
+    group = F.pmod(F.hash("OP_CARRIER", "ORIGIN", "DEST"), F.lit(1 << 16))
+    met = rows.withColumn("_group", group).hint("rebalance", "_group").drop("_group").withColumns(calendar)
+    partials = sketches.sketch_partials(met.withColumn("FL_DATE", F.unix_date("FL_DATE")), finest, counted)
+    keys, shown = ["GRAIN", *finest], [f"{c}_EXACT" for c in counted]
     found = sketches.estimates(sketches.sketches_at(partials, catalogue.ALL_GRAINS, counted), keys, counted)
-    exact = rollups.grouped_sets(rows, catalogue.ALL_GRAINS, finest, [F.count_distinct(c).alias(f"{c}_EXACT") for c in counted])
+    exact = rollups.distinct_counts(rows, catalogue.ALL_GRAINS, *counted, shown, calendar)
     same = F.lit(True)
     for key in keys:
         same = same & found[key].eqNullSafe(exact[key])
+    joined = found.join(exact, same, "left").select(
+        *[found[k] for k in keys], *[f"{c}_DISTINCT" for c in counted], *[F.coalesce(c, F.lit(0)).alias(c) for c in shown]
+    )
     near = [(F.abs(F.col(f"{c}_DISTINCT") - F.col(f"{c}_EXACT")) <= 0.05 * F.col(f"{c}_EXACT")).alias(f"{c}_NEAR") for c in counted]
-    return found.join(exact, same).select(*[found[k] for k in keys], *[f"{c}_EXACT" for c in counted], *near)
+    return joined.select(*keys, *shown, *near)
 
 
 def quantile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
+from skytally.operators import rollups
 from skytally.operators.normalise import clean, project_published
 from skytally.plans import queries
 from skytally.schemas import PUBLISHED_COLUMNS
@@ -96,3 +97,25 @@ def test_numbers_are_read_from_text_one_by_one(spark):
     found = project_published(raw, names)
     assert found.schema.simpleString() == plain.schema.simpleString()
     assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_distinct_counts_of_many_values(spark):
+    """Values that repeat within and between groups, no value at all, keys that are NULL, a value that most rows hold."""
+    grains = {"none": [], "a": ["a"], "a_b": ["a", "b"], "a_c": ["a", "c"], "d": ["d"], "d_b": ["d", "b"]}
+    given = {
+        "a": "nullif(id % 4, 3)", "b": "nullif(id % 3, 2)", "c": "id % 2", "d": "nullif(string(id % 5), '4')",
+        "v": "CASE WHEN id % 2 = 0 THEN 'most' WHEN id % 4 > 0 AND id % 5 < 4 THEN string(id % 37) END", "w": "nullif(id % 6, 1)",
+    }
+    frame = spark.range(400).selectExpr(*[f"{e} AS {c}" for c, e in given.items()]).repartition(5)
+    keys = ["a", "b", "c", "d"]
+    found = rollups.distinct_counts(frame.drop("c"), grains, "v", "w", ["nv", "nw"], {"c": F.when(F.col("a").isNotNull(), F.col("b") % 2)})
+    frame = frame.withColumn("c", F.when(F.col("a").isNotNull(), F.col("b") % 2))
+    plain = rollups.grouped_sets(frame, grains, keys, [F.count_distinct("v").alias("nv"), F.count_distinct("w").alias("nw")])
+    order = ["GRAIN", "a", "b", "d", "c", "nv", "nw"]
+    assert rows(found.select(order)) == rows(plain.filter("nv + nw > 0").select(order))
+
+
+def test_flight_numbers_are_not_sent_for_every_grain(spark, sf_dir):
+    query = queries.distinct_sketches(spark, sf_dir)
+    assert "count(distinct OP_CARRIER_FL_NUM" not in query._jdf.queryExecution().analyzed().toString()
+    assert plan_of(query).count("hashpartitioning(OP_CARRIER_FL_NUM#") == 1
