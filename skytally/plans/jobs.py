@@ -16,7 +16,7 @@ from skytally.models import classifier
 from skytally.operators import asof, ranking, rollups, runs
 from skytally.operators.normalise import clean, numeric, project_published
 from skytally.plans.catalogue import ENTITIES, TABLES, day_partials, result_from_partials, result_table
-from skytally.session import sized_for, staged
+from skytally.session import freed_exchanges, sized_for, staged
 from skytally.sinks import merged
 from skytally.sinks.files import delete, make_folder
 from skytally.sinks.tables import (
@@ -54,11 +54,15 @@ def preprocess(spark: SparkSession, source: str, target: str, by_name: bool = Fa
     """
     raw = tables.read_raw_csv(spark, source, by_name)
     size = tables.total_bytes(raw)
-    with sized_for(spark, size):
-        # Counted above the projection: the scan still reads the published columns only.
-        read, rows_read = counted(project_published(raw), "read")
+    with sized_for(spark, size, tables.text_per_byte(raw)), freed_exchanges(spark):
         # Rows move once, by date, to lose their copies and to be written, while a day fits a task.
-        by_day = size <= DAYS_WHOLE_UP_TO
+        by_day, projected = size <= DAYS_WHOLE_UP_TO, project_published(raw)
+        if by_day:
+            # What follows from the route is sent near its like, where the exchange's compression finds it. Without the count in
+            # between, Spark would drop the order, which the removal of copies does not ask for.
+            projected = projected.sortWithinPartitions("ORIGIN", "DEST")
+        # Counted above the projection: the scan still reads the published columns only.
+        read, rows_read = counted(projected, "read")
         cleaned, rows_written = counted(clean(read, ["FL_DATE"] if by_day else ()), "written")
         write_published(cleaned, target, cluster=["FL_DATE"], gathered=by_day)
     return {"read": rows_read.get["rows"], "written": rows_written.get["rows"]}

@@ -16,7 +16,7 @@ from skytally.models import classifier
 from skytally.operators import asof, changes, concurrency, legs, normalise, ranking, rollups, runs, sampling, sketches
 from skytally.plans import catalogue, jobs
 from skytally.schemas import PROCESSED_SCHEMA
-from skytally.session import stage, work_folder
+from skytally.session import freed_exchanges, stage, work_folder
 from skytally.sinks import merged
 from skytally.sinks.tables import ResultSink, batch_folder_writer, latest_view, read_batches, write_messages
 from skytally.sources import messages, tables
@@ -249,7 +249,8 @@ def _staged_csv(spark: SparkSession, sf_dir: str) -> str:
     """Text files of the raw rows. They are mostly commas, so compressed; such a file is read by one task, so its rows are bounded."""
     folder = work_folder(spark, "raw-csv")
     bounded = {"header": True, "compression": "gzip", "maxRecordsPerFile": 1_000_000}
-    raw_flights(spark, sf_dir).write.options(**bounded).csv(folder)
+    with freed_exchanges(spark):
+        raw_flights(spark, sf_dir).write.options(**bounded).csv(folder)
     return folder
 
 

@@ -111,14 +111,34 @@ def sizing(input_bytes: int) -> dict[str, int]:
     }
 
 
+# Removes the files of a query's exchanges when it ends, not when its objects are collected.
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_exchanges(spark: SparkSession) -> Iterator[None]:
+    """The files of exchanges are removed with the end of each query that runs in a block, such as a write."""
+    before = spark.conf.get(_FREED)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED, before)
+
+
 @contextmanager
-def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Settings of at least :func:`sizing` for the time of a block; larger ones stay, and all are put back after it."""
+def sized_for(spark: SparkSession, input_bytes: int, packed: int = 1) -> Iterator[None]:
+    """Settings of at least :func:`sizing` for the time of a block; larger ones stay, and all are put back after it.
+
+    A byte of compressed files holds ``packed`` bytes of text; their splits are smaller by that, so that a task has no more rows.
+    """
     before: dict[str, str] = {}
     for key, value in sizing(input_bytes).items():
         current = spark.conf.get(key)
         now = int(current[:-1]) if current.endswith("b") and current[:-1].isdigit() else current
-        if not str(now).isdigit() or int(now) >= value:
+        if packed > 1 and key == "spark.sql.files.maxPartitionBytes":
+            value //= packed
+        elif not str(now).isdigit() or int(now) >= value:
             continue
         before[key] = current
         spark.conf.set(key, str(value))

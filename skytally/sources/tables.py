@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -95,9 +96,17 @@ def total_bytes(scan: DataFrame) -> int:
     """Size of all files of a scan, as its plan states it; no job is run. Compressed text counts as the text it holds."""
     leaves = scan._jdf.queryExecution().analyzed().collectLeaves()
     stated = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return int(stated * (1 + _share_compressed(scan) * (TEXT_IN_COMPRESSED - 1)))
+
+
+def text_per_byte(scan: DataFrame) -> int:
+    """Bytes of text in a byte of a scan's files, roughly, if most are compressed; else 1."""
+    return TEXT_IN_COMPRESSED if _share_compressed(scan) > 0.5 else 1
+
+
+def _share_compressed(scan: DataFrame) -> Fraction:
     files = scan.inputFiles()
-    packed = sum(name.endswith((".gz", ".bz2", ".zst")) for name in files)
-    return stated + stated * packed * (TEXT_IN_COMPRESSED - 1) // max(1, len(files))
+    return Fraction(sum(name.endswith((".gz", ".bz2", ".zst")) for name in files), max(1, len(files)))
 
 
 def rows_per_file(files: DataFrame, scan: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import gzip
 import re
+import time
 from pathlib import Path
 
 import pytest
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 
 from skytally.operators import rollups
 from skytally.operators.normalise import clean, project_published
-from skytally.plans import queries
+from skytally.plans import jobs, queries
 from skytally.schemas import PUBLISHED_COLUMNS
+from skytally.session import freed_exchanges, sized_for
 from skytally.sinks.tables import write_published
 from skytally.sources import messages, tables
 from skytally.sources.star import raw_flights
@@ -119,3 +121,37 @@ def test_flight_numbers_are_not_sent_for_every_grain(spark, sf_dir):
     query = queries.distinct_sketches(spark, sf_dir)
     assert "count(distinct OP_CARRIER_FL_NUM" not in query._jdf.queryExecution().analyzed().toString()
     assert plan_of(query).count("hashpartitioning(OP_CARRIER_FL_NUM#") == 1
+
+
+def test_rows_are_sent_by_date_in_few_bytes(spark, sf_dir, tmp_path, monkeypatch):
+    """In the order of routes, numbers as one array; the rows are those of the plain way."""
+    plans, write = [], jobs.write_published
+    monkeypatch.setattr(jobs, "write_published", lambda df, *given, **named: (plans.append(plan_of(df)), write(df, *given, **named)))
+    source = queries._staged_csv(spark, sf_dir)
+    counts = jobs.preprocess(spark, source, str(tmp_path / "t"))
+    below = plans[0][plans[0].index("Exchange hashpartitioning(FL_DATE"):]
+    assert "Sort [ORIGIN" in below and "AS __floats" in below
+    plain = clean(project_published(tables.read_raw_csv(spark, source)))
+    expected = rows(plain)
+    assert counts["written"] == len(expected) and rows(tables.read_published(spark, str(tmp_path / "t")).select(plain.columns)) == expected
+
+
+def test_a_split_of_compressed_text_has_as_many_rows(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    with sized_for(spark, 1 << 30, tables.TEXT_IN_COMPRESSED):
+        assert int(spark.conf.get(key)) == (128 << 20) // tables.TEXT_IN_COMPRESSED
+    assert spark.conf.get(key) == before
+
+
+def test_files_of_exchanges_go_with_their_query(spark, tmp_path):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: {files.getAllFiles().apply(i).getName() for i in range(files.getAllFiles().size())}
+    before = kept()
+    with freed_exchanges(spark):
+        spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
+    until = time.time() + 20
+    while kept() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not kept() - before
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
